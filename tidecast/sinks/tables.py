@@ -30,9 +30,11 @@ def table_writer(
     """A ``foreachBatch`` function that writes shaped rows to a parquet table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = shape(batch).write.mode("overwrite")
+        rows = shape(batch)
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # Few files per partition, while a large partition still gets several.
+            rows = rows.hint("rebalance", *partition_by)
+        writer = rows.write.mode("overwrite").partitionBy(*partition_by)
         writer.parquet(f"{path}/batch={batch_id}")
 
     return write
