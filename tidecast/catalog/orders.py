@@ -154,12 +154,8 @@ def _late_shape(spark, folder):
         inputs.arriving_details(inputs.table(spark, folder, "lineitem")),
         ts="update_ms", order=inputs.ARRIVAL, size=inputs.ORDER_WINDOW, delay=DELAY,
     )
-    joined = (
-        late.select(*columns)
-        .join(mains(spark, folder).select("oid", "total_money"), F.lit(False), "left")
-        .limit(0)
-    )
-    return orders.with_late_rows(joined, late.select(*columns))
+    right = mains(spark, folder).select("oid", "total_money").schema
+    return orders.late_row_shape(late.select(*columns), right)
 
 
 @query(

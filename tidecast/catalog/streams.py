@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import filters, gifts, orders, products, users
+from ..operators import audience, filters, gifts, orders, products, users
 from ..session import shared_folder
 from ..sinks import tables
 from ..sources.dimension import with_fresh_dimension
@@ -12,7 +12,7 @@ from ..streaming import processors
 from ..streaming.late import late_splitter
 from ..streaming.runs import append_to_table, batches_to_table, finish
 from . import inputs
-from .audience import AUDIENCE_SQL, entries_sql
+from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
 from .gifts import GIFT_POINTS_SQL, live_gifts, rewards_of
 from .products import SIZE, SIZE_MS, SLIDE, SLIDE_MS, counts_sql, shop_rows, top_sql
 from .registry import query
@@ -65,6 +65,18 @@ def _audience(spark, folder):
     return append_to_table(counted, "stream-audience")
 
 
+@query("stream_audience_snapshot", _snapshot_sql("running", "s", inputs.DAY // 4))
+def _snapshot(spark, folder):
+    """Batches add their increments to a table; its sums are the rooms' states."""
+    visits = filters.room_visits(_events(spark, folder))
+    increments = batches_to_table(
+        processors.flag_first_enters_stream(visits),
+        "stream-snapshot",
+        shape=lambda batch: audience.snapshot_increments(batch, "6 hours"),
+    )
+    return audience.snapshot_from_increments(increments)
+
+
 def _closed_sql(min_stay: int, gap: int) -> str:
     # An enter still waiting when the stream ends is not decided yet.
     return f"""WITH {entries_sql(min_stay, gap)}
@@ -158,3 +170,86 @@ def _gift_points(spark, folder):
     return table.select(
         "id", "anchor_id", "gift_id", "gift_name", F.round("points", 2).alias("points")
     )
+
+
+GROUP_CLOSED_SQL = f"""WITH {inputs.GROUPS_SQL},
+    mark AS (
+      SELECT least((SELECT max(order_ts) FROM group_orders), (SELECT max(ts) FROM members),
+                   (SELECT max(group_ts) FROM group_mains)) AS wm)
+    SELECT m.ts, m.user_id, m.group_id, m.order_id, o.order_ts, o.order_amount,
+           g.group_ts, g.group_category
+    FROM members m
+    LEFT JOIN group_orders o ON m.order_id = o.order_id AND m."windowStart" = o.w
+    LEFT JOIN group_mains g ON m.group_id = g.group_id AND m."windowStart" = g.w
+    WHERE (o.w IS NOT NULL AND g.w IS NOT NULL)
+       OR m."windowStart" + {inputs.ORDER_WINDOW_MS} <= (SELECT wm FROM mark)"""
+
+
+@query("stream_group_buy_join", GROUP_CLOSED_SQL)
+def _group_buy(spark, folder):
+    lineitem = inputs.table(spark, folder, "lineitem")
+    opened = shared_folder(spark, "group-mains")
+    inputs.group_mains(lineitem).write.parquet(opened)
+    mains = spark.read.parquet(opened)
+    joined = orders.group_buy(
+        inputs.group_details(inputs.table_stream(spark, folder, "lineitem")),
+        inputs.group_orders(inputs.table_stream(spark, folder, "orders")),
+        spark.readStream.schema(mains.schema).parquet(opened),
+        size=inputs.ORDER_WINDOW,
+    )
+    columns = (
+        "ts user_id group_id order_id order_ts order_amount group_ts group_category"
+    )
+    return append_to_table(joined.select(*columns.split()), "stream-groups")
+
+
+# Events arrive in four portions, some after the portion they belong to.
+PORTIONS = 4
+STREAM_LATE_SQL = f"""WITH {inputs.LIVE_SQL},
+    size AS (SELECT count(*) AS n FROM events),
+    portions AS (
+      SELECT id, "timestamp",
+             (id + (id * 7919) % (n // 4)) * {PORTIONS} // (n + n // 4) AS portion
+      FROM live, size),
+    highest AS (
+      SELECT portion, max("timestamp") AS top FROM portions GROUP BY portion)
+    SELECT id, "timestamp",
+           coalesce("timestamp" // {inputs.DAY // 4} * {inputs.DAY // 4} + {inputs.DAY // 4}
+                    <= (SELECT max(top) FROM highest h WHERE h.portion < p.portion)
+                       - 3600000, false) AS is_late
+    FROM portions p"""
+
+
+@query("stream_late_side_output", STREAM_LATE_SQL)
+def _late(spark, folder):
+    """One portion per run; each run goes on from the checkpoint of the last."""
+    path = shared_folder(spark, "stream-late")
+    raw = inputs.table(spark, folder, "events")
+    n = raw.count()
+    shuffled = F.col("id") + (F.col("id") * 7919) % (n // 4)
+    portion = F.floor(shuffled * PORTIONS / (n + n // 4))
+    rows = inputs.live_events(raw).select("id", "timestamp", portion.alias("portion"))
+    kept = rows.drop("portion")
+    splitter = late_splitter(
+        f"{path}/marks",
+        tables.table_writer(f"{path}/on-time"),
+        tables.table_writer(f"{path}/late"),
+        size="6 hours",
+        delay="1 hour",
+    )
+    for number in range(PORTIONS):
+        arrived = rows.where(F.col("portion") == number).drop("portion")
+        arrived.write.mode("append").parquet(f"{path}/arrived")
+        stream = (
+            spark.readStream.schema(kept.schema)
+            .option("maxFilesPerTrigger", 1_000_000)
+            .parquet(f"{path}/arrived")
+        )
+        finish(stream.writeStream.foreachBatch(splitter), f"{path}/checkpoint")
+    on_time = tables.read_table(spark, f"{path}/on-time", kept.schema)
+    late = tables.read_table(spark, f"{path}/late", kept.schema)
+    return (
+        on_time.withColumn("is_late", F.lit(False))
+        .unionByName(late.withColumn("is_late", F.lit(True)))
+        .drop("batch")
+    )

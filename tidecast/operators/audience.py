@@ -125,14 +125,23 @@ def audience_snapshot(
             .groupBy("anchor_id", "bucket_start")
             .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("uv", "pv", "online")])
         )
-        here = (
-            Window.partitionBy("anchor_id")
-            .orderBy("bucket_start")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        states = summed.withColumns(
-            {c: F.sum(c).over(here) for c in ("uv", "pv", "online")}
-        )
+        states = _states(summed)
+    return _keyed(states, tz)
+
+
+def _states(increments: DataFrame) -> DataFrame:
+    """Totals at the end of each interval from what each interval added."""
+    here = (
+        Window.partitionBy("anchor_id")
+        .orderBy("bucket_start")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return increments.withColumns(
+        {c: F.sum(c).over(here) for c in ("uv", "pv", "online")}
+    )
+
+
+def _keyed(states: DataFrame, tz: str | None) -> DataFrame:
     return states.select(
         join_text("_", "anchor_id", date_text("bucket_start", tz)).alias("anchor_date"),
         "anchor_id",
@@ -143,6 +152,32 @@ def audience_snapshot(
     )
 
 
+def snapshot_increments(
+    flagged: DataFrame, every: str | int = "10 seconds"
+) -> DataFrame:
+    """What visits add per room and interval.
+
+    ``flagged`` are visits whose ``isN`` marks a device's first enter of the
+    room. The increments of different batches of visits add up.
+    """
+    bucket = floor_ms("timestamp", duration_ms(every))
+    return flagged.groupBy("anchor_id", bucket.alias("bucket_start")).agg(
+        F.sum(F.col("entered") * F.col("isN")).cast("long").alias("uv"),
+        F.sum("entered").cast("long").alias("pv"),
+        F.sum(2 * F.col("entered") - 1).cast("long").alias("online"),
+    )
+
+
+def snapshot_from_increments(
+    increments: DataFrame, tz: str | None = None
+) -> DataFrame:
+    """Like :func:`audience_snapshot`, from the increments of all batches so far."""
+    summed = increments.groupBy("anchor_id", "bucket_start").agg(
+        *[F.sum(c).alias(c) for c in ("uv", "pv", "online")]
+    )
+    return _keyed(_states(summed), tz)
+
+
 def visit_detail(visits: DataFrame, tz: str | None = None) -> DataFrame:
     """The visits themselves with date and hour, as kept in the detail table."""
     return visits.withColumns(

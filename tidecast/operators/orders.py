@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import duration_ms, event_time, floor_ms
 from ..plans.chunks import running_max_before
@@ -84,9 +85,15 @@ def split_late(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def late_row_shape(late: DataFrame, right: T.StructType) -> DataFrame:
+    """Late rows with typed nulls in the columns of the side they never met."""
+    missing = [f for f in right.fields if f.name not in late.columns]
+    return late.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+
+
 def with_late_rows(joined: DataFrame, late: DataFrame) -> DataFrame:
-    """Joined rows followed by the late rows, whose right side is null."""
-    return joined.unionByName(late, allowMissingColumns=True)
+    """Joined rows and late rows together."""
+    return joined.unionByName(late_row_shape(late, joined.schema))
 
 
 def lookup_fill(

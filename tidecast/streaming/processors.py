@@ -284,6 +284,16 @@ def audience_timer_stream(
     )
 
 
+def flag_first_enters_stream(visits: DataFrame) -> DataFrame:
+    """Visits with ``isN`` 1 on each device's first enter of a room.
+
+    State is spread over devices, so a crowded room is not one task. Feeds
+    :func:`audience.snapshot_increments`.
+    """
+    rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
+    return flag_first_seen_stream(rows, "deviceId", ("anchor_id", "entered"))
+
+
 def popular_entries_stream(
     visits: DataFrame,
     min_stay: str | int = "60 seconds",
