@@ -11,7 +11,9 @@ from .registry import query
 
 def visits(spark, folder):
     return filters.room_visits(
-        inputs.live_events(inputs.table(spark, folder, "events"))
+        inputs.live_events(
+            inputs.table(spark, folder, "events"), *inputs.VISIT_NAMES
+        )
     )
 
 

@@ -17,9 +17,9 @@ rewards AS (SELECT * FROM live WHERE "eventId" = 'liveReward')"""
 
 
 def rewards_of(raw):
-    return gifts.reward_gifts(filters.rewards(inputs.live_events(raw))).select(
-        "id", "anchor_id", "gift_id"
-    )
+    return gifts.reward_gifts(
+        filters.rewards(inputs.live_events(raw, filters.LIVE_REWARD))
+    ).select("id", "anchor_id", "gift_id")
 
 
 def rewards(spark, folder):

@@ -42,8 +42,13 @@ def millis(column: str):
 
 
 def _named(names: dict[str, str]):
-    pairs = [F.lit(x) for pair in names.items() for x in pair]
-    return F.create_map(*pairs)[F.col("event_type")]
+    name = F.lit(None).cast("string")
+    for old, new in names.items():
+        name = F.when(F.col("event_type") == old, new).otherwise(name)
+    return name
+
+
+VISIT_NAMES = ("liveEnter", "liveLeave")
 
 
 def _numbered(raw: DataFrame) -> DataFrame:
@@ -56,8 +61,14 @@ def _numbered(raw: DataFrame) -> DataFrame:
     )
 
 
-def live_events(raw: DataFrame) -> DataFrame:
-    """App launches, room enters and leaves, rewards, from ``events``."""
+def live_events(raw: DataFrame, *wanted: str) -> DataFrame:
+    """App launches, room enters and leaves, rewards, from ``events``.
+
+    Given names of events, only their source rows are read.
+    """
+    if wanted:
+        types = [old for old, new in LIVE_NAMES.items() if new in wanted]
+        raw = raw.where(F.col("event_type").isin(*types))
     k, user = F.col("k"), F.col("user_id")
     anchor = F.when(F.col("event_type") == "purchase", user % 10).otherwise(k % 10)
     return _numbered(raw).select(

@@ -78,16 +78,16 @@ def _quoted(name: str, value):
     return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
 
 
-def _envelopes(rows, key: str, item):
-    """One envelope per ``key``, quoted values as capture tools write them."""
+def _envelopes(rows, key: str, *items):
+    """One envelope per row, with quoted values as capture tools write them."""
     kind = F.element_at(
         F.array(*[F.lit(t) for t in ("INSERT", "UPDATE", "DELETE", "ALTER")]),
         (F.col(key) % 4).cast("int") + 1,
     )
-    return rows.groupBy(key).agg(F.collect_list(item).alias("items")).select(
+    return rows.select(
         F.concat(
             F.lit('{"type":"'), kind, F.lit('","data":['),
-            F.array_join("items", ","), F.lit("]}"),
+            F.concat_ws(",", *items), F.lit("]}"),
         ).alias("value")
     )
 
@@ -124,30 +124,33 @@ def _cdc_main(spark, folder):
     )
 
 
+# Each envelope holds a line and a copy of it with a line number seven higher.
 DETAIL_CDC_SQL = f"""
-    SELECT CAST(l_linenumber AS INTEGER) AS id, CAST(l_orderkey AS INTEGER) AS order_id,
+    SELECT CAST(l_linenumber + d AS INTEGER) AS id, CAST(l_orderkey AS INTEGER) AS order_id,
            CAST(l_partkey AS INTEGER) AS sku, l_extendedprice AS money,
            CAST(l_quantity AS INTEGER) AS amount, (epoch_us(l_shipdate) // 1000) AS update_ms,
            {_cdc_type("l_orderkey")} AS type
-    FROM lineitem WHERE l_orderkey % 4 <> 3"""
+    FROM lineitem, (VALUES (0), (7)) AS copies(d) WHERE l_orderkey % 4 <> 3"""
 
 
 def _detail_envelopes(spark, folder):
     rows = inputs.table(spark, folder, "lineitem")
-    item = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            _quoted("id", F.col("l_linenumber")),
-            _quoted("order_id", F.col("l_orderkey")),
-            _quoted("sku", F.col("l_partkey")),
-            _quoted("money", F.col("l_extendedprice")),
-            _quoted("amount", F.col("l_quantity").cast("int")),
-            _quoted("update_time", inputs.millis("l_shipdate")),
-        ),
-        F.lit("}"),
+
+    def item(line):
+        return F.concat(
+            F.lit("{"), F.concat_ws(",", _quoted("id", line), rest), F.lit("}")
+        )
+
+    rest = F.concat_ws(
+        ",",
+        _quoted("order_id", F.col("l_orderkey")),
+        _quoted("sku", F.col("l_partkey")),
+        _quoted("money", F.col("l_extendedprice")),
+        _quoted("amount", F.col("l_quantity").cast("int")),
+        _quoted("update_time", inputs.millis("l_shipdate")),
     )
-    return _envelopes(rows, "l_orderkey", item)
+    line = F.col("l_linenumber")
+    return _envelopes(rows, "l_orderkey", item(line), item(line + 7))
 
 
 @query("parse_cdc_order_detail", DETAIL_CDC_SQL)
@@ -161,7 +164,7 @@ def _cdc_detail(spark, folder):
 
 @query(
     "filter_cdc_ops",
-    f"""SELECT {_cdc_type("l_orderkey")} AS type, count(*) AS items
+    f"""SELECT {_cdc_type("l_orderkey")} AS type, 2 * count(*) AS items
     FROM lineitem WHERE l_orderkey % 4 IN (0, 2) GROUP BY ALL""",
 )
 def _cdc_ops(spark, folder):
@@ -261,8 +264,8 @@ def _location_join(spark, folder):
     return placed.select("id", "longitude", "latitude", "province", "city")
 
 
-def _live(spark, folder):
-    return inputs.live_events(inputs.table(spark, folder, "events"))
+def _live(spark, folder, *wanted):
+    return inputs.live_events(inputs.table(spark, folder, "events"), *wanted)
 
 
 def _where_sql(condition: str) -> str:
@@ -276,7 +279,7 @@ def _columns(df):
 
 @query("filter_app_launch", _where_sql("\"eventId\" = 'appLaunch'"))
 def _app_launch(spark, folder):
-    return _columns(filters.app_launches(_live(spark, folder)))
+    return _columns(filters.app_launches(_live(spark, folder, filters.APP_LAUNCH)))
 
 
 @query("filter_event_prefix", _where_sql("starts_with(\"eventId\", 'live')"))
@@ -286,12 +289,12 @@ def _prefix(spark, folder):
 
 @query("filter_enter_leave", _where_sql("\"eventId\" IN ('liveEnter', 'liveLeave')"))
 def _enter_leave(spark, folder):
-    return _columns(filters.room_visits(_live(spark, folder)))
+    return _columns(filters.room_visits(_live(spark, folder, *inputs.VISIT_NAMES)))
 
 
 @query("filter_reward", _where_sql("\"eventId\" = 'liveReward'"))
 def _reward(spark, folder):
-    return _columns(filters.rewards(_live(spark, folder)))
+    return _columns(filters.rewards(_live(spark, folder, filters.LIVE_REWARD)))
 
 
 @query(
@@ -301,7 +304,7 @@ def _reward(spark, folder):
     WHERE "eventId" = 'appLaunch'""",
 )
 def _project(spark, folder):
-    return filters.app_launches(_live(spark, folder)).select(
+    return filters.app_launches(_live(spark, folder, filters.APP_LAUNCH)).select(
         "deviceType", "isNew", F.lit(1).alias("one")
     )
 

@@ -19,12 +19,12 @@ from .registry import query
 from .users import COUNT_NEW_SQL, IS_NEW_SQL, LAUNCHES_SQL, RUNNING_SUM_SQL, category_rows
 
 
-def _events(spark, folder):
-    return inputs.live_events(inputs.table_stream(spark, folder, "events"))
+def _events(spark, folder, *wanted):
+    return inputs.live_events(inputs.table_stream(spark, folder, "events"), *wanted)
 
 
 def _launches(spark, folder, *columns):
-    return filters.app_launches(_events(spark, folder)).select(
+    return filters.app_launches(_events(spark, folder, filters.APP_LAUNCH)).select(
         "id", "timestamp", "deviceId", *columns
     )
 
@@ -60,7 +60,7 @@ def _count_new(spark, folder):
 
 @query("stream_audience_uv_pv_online", AUDIENCE_SQL)
 def _audience(spark, folder):
-    visits = filters.room_visits(_events(spark, folder))
+    visits = filters.room_visits(_events(spark, folder, *inputs.VISIT_NAMES))
     counted = processors.audience_stream(visits, ttl_hours=None)
     return append_to_table(counted, "stream-audience")
 
@@ -68,7 +68,7 @@ def _audience(spark, folder):
 @query("stream_audience_snapshot", _snapshot_sql("running", "s", inputs.DAY // 4))
 def _snapshot(spark, folder):
     """Batches add their increments to a table; its sums are the rooms' states."""
-    visits = filters.room_visits(_events(spark, folder))
+    visits = filters.room_visits(_events(spark, folder, *inputs.VISIT_NAMES))
     increments = batches_to_table(
         processors.flag_first_enters_stream(visits),
         "stream-snapshot",
@@ -89,7 +89,7 @@ def _closed_sql(min_stay: int, gap: int) -> str:
 
 @query("stream_popularity", _closed_sql(inputs.DAY // 4, 3 * inputs.DAY))
 def _popularity(spark, folder):
-    visits = filters.room_visits(_events(spark, folder))
+    visits = filters.room_visits(_events(spark, folder, *inputs.VISIT_NAMES))
     entries = processors.popular_entries_stream(visits, "6 hours", "3 days")
     table = append_to_table(entries, "stream-popularity")
     return table.groupBy("anchor_id").agg(F.count("*").alias("popularity"))

@@ -19,7 +19,7 @@ launches AS (SELECT * FROM live WHERE "eventId" = 'appLaunch')"""
 
 def launches(spark, folder):
     return filters.app_launches(
-        inputs.live_events(inputs.table(spark, folder, "events"))
+        inputs.live_events(inputs.table(spark, folder, "events"), filters.APP_LAUNCH)
     )
 
 

@@ -41,7 +41,6 @@ def windowed_left_join(
     delay: str | int = "2 seconds",
     left_ts: str = "update_ms",
     right_ts: str = "update_ms",
-    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Every pair with the same key and tumbling window; lone left rows are kept.
 
@@ -53,7 +52,7 @@ def windowed_left_join(
         raise ValueError(f"right side repeats the left time column {left_ts}")
     l = _in_window(left, left_ts, size, delay)
     r = _in_window(right, right_ts, size, delay).withColumn(left_key, F.col(right_key))
-    return left_join(l, r, [left_key, WINDOW_START], rows_per_key)
+    return left_join(l, r, [left_key, WINDOW_START])
 
 
 def mark_late(
@@ -108,27 +107,29 @@ def lookup_fill(
     """Fill the given columns of rows that found no order from the order table.
 
     ``main_source`` tells where they come from: ``joined``, ``lookup`` or
-    ``none``. Only the rows without a match take part in the second join. The
-    table holds one row per key.
+    ``none``. Only rows without a match can meet the table, which holds one row
+    per key.
     """
     wanted = table.select(
         F.col(table_key).alias(key),
+        F.lit(True).alias("_lone"),
         F.lit(True).alias("_found"),
         *[F.col(c).alias(f"_{c}") for c in fill],
     )
-    lone = df.where(F.col(matched).isNull())
-    found = lookup_join(lone, wanted, [key], max_broadcast_rows)
-    filled = found.withColumns(
-        {
-            **{c: F.coalesce(c, f"_{c}") for c in fill},
-            "main_source": F.when(F.col("_found"), "lookup").otherwise("none"),
-        }
+    rows = df.withColumn("_lone", F.col(matched).isNull())
+    found = lookup_join(rows, wanted, [key, "_lone"], max_broadcast_rows)
+    source = (
+        F.when(~F.col("_lone"), "joined")
+        .when(F.col("_found"), "lookup")
+        .otherwise("none")
     )
-    kept = df.where(F.col(matched).isNotNull()).withColumn(
-        "main_source", F.lit("joined")
+    return found.select(
+        *[
+            F.coalesce(c, f"_{c}").alias(c) if c in fill else F.col(c)
+            for c in df.columns
+        ],
+        source.alias("main_source"),
     )
-    columns = [*df.columns, "main_source"]
-    return kept.select(*columns).unionByName(filled.select(*columns))
 
 
 def match_orders(
@@ -138,32 +139,23 @@ def match_orders(
     arrival: Sequence[str],
     size: str | int = "5 seconds",
     delay: str | int = "2 seconds",
-    rows_per_key: int | None = None,
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Details with their order: joined in the window, else looked up by key.
 
     Late details skip the window and go straight to the lookup.
     """
-    on_time, late = split_late(
-        details,
-        ts="update_ms",
-        order=arrival,
-        size=size,
-        delay=delay,
-        rows_per_chunk=rows_per_chunk,
-    )
-    joined = windowed_left_join(
-        on_time,
-        orders,
-        "order_id",
-        "oid",
-        size,
-        delay,
-        right_ts="main_update_ms",
-        rows_per_key=rows_per_key,
+    # A late row has no window, so it meets no order and needs no pass of its own.
+    marked = mark_late(details, "update_ms", arrival, size, delay, rows_per_chunk)
+    window = F.when(~F.col("is_late"), tumbling_start("update_ms", size))
+    joined = left_join(
+        marked.withColumn(WINDOW_START, window).drop("is_late"),
+        _in_window(orders, "main_update_ms", size, delay).withColumn(
+            "order_id", F.col("oid")
+        ),
+        ["order_id", WINDOW_START],
     )
-    return lookup_fill(with_late_rows(joined, late), order_table)
+    return lookup_fill(joined, order_table)
 
 
 def group_buy(
@@ -172,7 +164,6 @@ def group_buy(
     groups: DataFrame,
     size: str | int = "5 seconds",
     delay: str | int = "0 seconds",
-    rows_per_key: int | None = None,
 ) -> DataFrame:
     """Group-purchase details with their order and then their group, window by window.
 
@@ -199,5 +190,5 @@ def group_buy(
         "group_ts", size, delay,
     )
     d = _in_window(details, "ts", size, delay)
-    joined = left_join(d, o, ["order_id", WINDOW_START], rows_per_key)
-    return left_join(joined, g, ["group_id", WINDOW_START], rows_per_key)
+    joined = left_join(d, o, ["order_id", WINDOW_START])
+    return left_join(joined, g, ["group_id", WINDOW_START])

@@ -29,7 +29,7 @@ def _with_leaves(moves: DataFrame, rows_per_chunk: int) -> DataFrame:
     order = ["timestamp", "id"]
     if moves.count() <= rows_per_chunk:
         return _neighbour_leaves(moves, list(PAIR), order)
-    hot = hot_keys(moves, PAIR, rows_per_chunk).drop("_pieces")
+    hot = hot_keys(moves, PAIR, rows_per_chunk)
     if hot.isEmpty():
         return _neighbour_leaves(moves, list(PAIR), order)
 

@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_CHUNK = 4_000_000
-MAX_CHUNKS = 4096
+# Without keys the chunks are all the parallelism there is, so they are smaller.
+ROWS_PER_KEYLESS_CHUNK = 250_000
+MAX_CHUNKS = 16_384
+# Values read per cut point to place it.
+VALUES_PER_CUT = 200
 CHUNK = "_chunk"
 
 
@@ -31,13 +35,22 @@ def _as_number(df: DataFrame, column: str) -> Column:
 
 
 def _quantiles(df: DataFrame, number: Column, rows_per_chunk: int) -> list:
-    """Approximate cut points; empty when the rows fit one chunk."""
+    """Approximate cut points; empty when the rows fit one chunk.
+
+    They come from a sample, so the one task that merges the quantiles sees a
+    number of values that depends on the cut points wanted and not on the data.
+    """
     total = df.count()
     pieces = min(-(-total // rows_per_chunk), MAX_CHUNKS)
     if pieces <= 1:
         return []
+    values = df.select(number.alias("_number"))
+    share = min(1.0, VALUES_PER_CUT * pieces / total)
+    if share < 1.0:
+        values = values.sample(share, seed=7)
     shares = [i / pieces for i in range(1, pieces)]
-    return df.agg(F.percentile_approx(number, shares, 10 * pieces)).first()[0] or []
+    cuts = values.agg(F.percentile_approx("_number", shares, 10 * pieces)).first()[0]
+    return cuts or []
 
 
 def _bucket(df: DataFrame, number: Column, cuts: Sequence, out: str) -> DataFrame:
@@ -216,7 +229,8 @@ def running_max_before(
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Add the highest ``value`` among all rows that come earlier in ``order``."""
-    chunked = split_chunks(df, order, rows_per_chunk)
+    limit = rows_per_chunk or ROWS_PER_KEYLESS_CHUNK
+    chunked = split_chunks(df, order, limit)
     if chunked is None:
         before = Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, -1

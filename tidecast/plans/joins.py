@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-ROWS_PER_KEY = 4_000_000
+BROADCAST_ROWS = 250_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
@@ -18,66 +17,26 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_key: int) -> DataFrame:
-    """Keys with more than ``rows_per_key`` rows and how many pieces each needs.
+    """Keys with more than ``rows_per_key`` rows.
 
-    There are at most ``rows of df / rows_per_key`` of them.
+    There are fewer than ``rows of df / rows_per_key`` of them.
     """
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > rows_per_key)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_key).alias("_pieces"))
+        .select(*keys)
     )
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & (left[key] == right[key])
-    return condition
-
-
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    rows_per_key: int | None = None,
-) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``left`` with the matching rows of ``right``; keys have one name on both sides.
 
-    Rows of a hot key are spread over several tasks and only the other side's
-    rows of that key are repeated. Every pair is kept.
+    A hot key is split while the job runs: adaptive execution cuts a partition
+    that is much larger than the others by the tasks that wrote it, and reads the
+    other side's partition once per piece. ``session.prepare`` turns that on.
     """
-    if left.isStreaming or right.isStreaming:
-        return left.join(right, list(keys), "left")
-    limit = rows_per_key or ROWS_PER_KEY
-    known = left.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    hot = hot_keys(known, keys, limit)
-    if not fits_broadcast(hot) or hot.isEmpty():
-        return left.join(right, list(keys), "left")
-
-    hot = F.broadcast(hot)
-    piece = F.pmod(
-        F.xxhash64(*left.columns, F.spark_partition_id()),
-        F.coalesce("_pieces", F.lit(1)),
-    )
-    spread = (
-        left.join(hot, list(keys), "left").withColumn("_piece", piece).drop("_pieces")
-    )
-    repeated = (
-        right.join(hot, list(keys), "left")
-        .withColumn(
-            "_piece",
-            F.explode(
-                F.sequence(
-                    F.lit(0).cast("long"),
-                    F.coalesce("_pieces", F.lit(1)).cast("long") - 1,
-                )
-            ),
-        )
-        .drop("_pieces")
-    )
-    return spread.join(repeated, [*keys, "_piece"], "left").drop("_piece")
+    return left.join(right, list(keys), "left")
 
 
 def lookup_join(

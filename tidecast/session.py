@@ -14,6 +14,10 @@ ROCKSDB_PROVIDER = (
 # Settings every operator relies on; all of them can be changed on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Joins leave the splitting of hot keys to adaptive execution.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -34,7 +38,8 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
-        .config("spark.sql.adaptive.enabled", "true")
+        # Small test data still uses every core after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.python.unix.domain.socket.enabled", "true")
         .getOrCreate()
     )

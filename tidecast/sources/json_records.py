@@ -36,29 +36,48 @@ def _as_text(schema: T.StructType) -> T.StructType:
     )
 
 
+def _once(struct: Column) -> Column:
+    # As a generator's output the struct stays one expression. A plain column
+    # would be computed again in every filter pushed below it.
+    return F.explode(F.array(struct))
+
+
+def _is_text(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.MapType))
+
+
 def _typed(raw: Column, kind: T.DataType) -> Column:
-    """Text to a value; empty text and ``null`` count as no value."""
-    if isinstance(kind, (T.StringType, T.MapType)):
+    if _is_text(kind):
         return raw
-    text = F.when(~F.trim(raw).isin("", "null"), F.trim(raw))
     if isinstance(kind, T.TimestampType):
-        millis = F.timestamp_millis(text.try_cast("bigint"))
-        return F.coalesce(millis, text.try_cast("timestamp"))
-    return text.try_cast(kind)
-
-
-def _typed_row(row: str, schema: T.StructType) -> tuple[list[Column], Column]:
-    """Typed fields of a text struct and whether any of them failed to convert."""
-    fields, failed = [], F.lit(False)
-    for f in schema.fields:
-        raw = F.col(f"{row}.{f.name}")
-        value = _typed(raw, f.dataType)
-        fields.append(value.alias(f.name))
-        if not isinstance(f.dataType, (T.StringType, T.MapType)):
-            failed = failed | (
-                value.isNull() & ~F.trim(F.coalesce(raw, F.lit(""))).isin("", "null")
+        millis = F.timestamp_millis(raw.try_cast("bigint"))
+        return F.coalesce(millis, raw.try_cast("timestamp"))
+    return raw.try_cast(kind)
+
+
+def _typed_rows(df: DataFrame, text_row: str, schema: T.StructType) -> DataFrame:
+    """Add ``_row``, the typed form of a struct of texts; drop what does not convert.
+
+    Empty text and ``null`` are no value, any other unusable text is a failure.
+    """
+    typed = df.withColumn(
+        "_row",
+        _once(
+            F.struct(
+                *[
+                    _typed(F.col(f"{text_row}.{f.name}"), f.dataType).alias(f.name)
+                    for f in schema.fields
+                ]
             )
-    return fields, failed
+        ),
+    )
+    whole = F.lit(True)
+    for f in schema.fields:
+        if not _is_text(f.dataType):
+            raw = F.col(f"{text_row}.{f.name}")
+            no_value = F.coalesce(raw, F.lit("")).isin("", "null")
+            whole = whole & (F.col(f"_row.{f.name}").isNotNull() | no_value)
+    return typed.where(whole)
 
 
 def parse_events(
@@ -66,23 +85,19 @@ def parse_events(
 ) -> DataFrame:
     """JSON text to event rows; ``id_column`` names the record's id, if it has one."""
     text = _as_text(EVENT).add(CORRUPT, T.StringType())
-    is_text = F.trim(value) != ""
-    parsed = raw.where(is_text).withColumn(
-        "_event", F.from_json(value, text, OPTIONS)
+    # The JSON reader stops at the closing brace; text after it is malformed.
+    braced = F.trim(value).startswith("{") & F.trim(value).endswith("}")
+    read = raw.where(braced).withColumn(
+        "_event", _once(F.from_json(value, text, OPTIONS))
     )
-    fields, failed = _typed_row("_event", EVENT)
-    good = (
-        F.col("_event").isNotNull()
-        & F.col(f"_event.{CORRUPT}").isNull()
-        # The JSON reader stops at the closing brace; text after it is malformed.
-        & F.trim(value).startswith("{")
-        & F.trim(value).endswith("}")
-        & ~failed
+    whole = read.where(
+        F.col("_event").isNotNull() & F.col(f"_event.{CORRUPT}").isNull()
+    )
+    kept = [id_column] if id_column else []
+    names = [n for n in EVENT.names if n != "id" or not id_column]
+    events = _typed_rows(whole.select(*kept, "_event"), "_event", EVENT).select(
+        *[F.col(c).alias("id") for c in kept], *[f"_row.{n}" for n in names]
     )
-    rows = parsed.where(good)
-    if id_column:
-        fields = [F.col(id_column).alias("id"), *fields[1:]]
-    events = rows.select(*fields)
     return events.withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in EVENT_ZERO_DEFAULTS}
     )
@@ -103,7 +118,7 @@ def parse_cdc(
         ]
     )
     items = (
-        raw.withColumn("_message", F.from_json(value, envelope, OPTIONS))
+        raw.select(_once(F.from_json(value, envelope, OPTIONS)).alias("_message"))
         .where(F.col(f"_message.{CORRUPT}").isNull())
         .where(F.col("_message.type").isin(*ops))
         .select(
@@ -112,5 +127,6 @@ def parse_cdc(
         )
         .where("_item IS NOT NULL")
     )
-    fields, failed = _typed_row("_item", item_schema)
-    return items.where(~failed).select(*fields, "type")
+    return _typed_rows(items, "_item", item_schema).select(
+        *[f"_row.{n}" for n in item_schema.names], "type"
+    )

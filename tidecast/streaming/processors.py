@@ -44,12 +44,13 @@ class FirstSeen(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         is_new = not self.seen.exists()
+        if is_new:
+            self.seen.update((True,))
         for row in _in_order(rows):
             values = row.asDict()
             values["isN"] = int(is_new)
             is_new = False
             yield Row(**values)
-        self.seen.update((True,))
 
     def close(self) -> None:
         pass
@@ -75,7 +76,11 @@ class CountNew(StatefulProcessor):
 
 
 class Audience(StatefulProcessor):
-    """Running uv, pv and people online of one room, one row per visit."""
+    """Running uv, pv and people online of one room, one row per visit.
+
+    Rows with ``newcomer`` set are not visits. They name the devices that enter
+    the room for the first time in this micro-batch.
+    """
 
     def __init__(self, floor_at_zero: bool, ttl_ms: int | None) -> None:
         self.floor_at_zero = floor_at_zero
@@ -85,17 +90,19 @@ class Audience(StatefulProcessor):
         self.counts = handle.getValueState(
             "counts", "uv bigint, pv bigint, online bigint", self.ttl_ms
         )
-        self.devices = handle.getMapState(
-            "devices", "device string", "seen boolean", self.ttl_ms
-        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         uv, pv, online = self.counts.get() if self.counts.exists() else (0, 0, 0)
-        for row in _in_order(rows):
+        newcomers, visits = set(), []
+        for row in rows:
+            if row["newcomer"]:
+                newcomers.add(row["deviceId"])
+            else:
+                visits.append(row)
+        for row in _in_order(visits):
             if row["entered"]:
-                device = (row["deviceId"] or "",)
-                if not self.devices.containsKey(device):
-                    self.devices.updateValue(device, (True,))
+                if row["deviceId"] in newcomers:
+                    newcomers.remove(row["deviceId"])
                     uv += 1
                 pv += 1
                 online += 1
@@ -153,22 +160,26 @@ class Popularity(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last_leave = handle.getValueState("last_leave", "at bigint")
-        self.waiting = handle.getListState("waiting", "at bigint, id bigint")
+        # The last leave and the waiting enters' times and ids.
+        self.state = handle.getValueState(
+            "visitor", "left bigint, ats array<bigint>, ids array<bigint>"
+        )
+
+    def _load(self) -> tuple[int | None, list[tuple[int, int]]]:
+        state = self.state.get() if self.state.exists() else None
+        if state is None:
+            return None, []
+        return state[0], list(zip(state[1], state[2]))
 
-    def _put(self, waiting: list[tuple[int, int]]) -> None:
-        if waiting:
-            self.waiting.put(waiting)
-        else:
-            self.waiting.clear()
+    def _save(self, left: int | None, waiting: list[tuple[int, int]]) -> None:
+        self.state.update((left, [w[0] for w in waiting], [w[1] for w in waiting]))
 
     def _counted(self, key: Any, enters: list[tuple[int, int]]) -> Iterator[Row]:
         for at, row_id in enters:
             yield Row(anchor_id=key[0], deviceId=key[1], timestamp=at, id=row_id)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        left = self.last_leave.get()[0] if self.last_leave.exists() else None
-        before = [(w[0], w[1]) for w in self.waiting.get()]
+        left, before = self._load()
         waiting, counted = list(before), []
         for row in _in_order(rows):
             at = row["timestamp"]
@@ -183,15 +194,13 @@ class Popularity(StatefulProcessor):
             self.handle.deleteTimer(at + self.min_stay_ms)
         for at in {w[0] for w in waiting} - {w[0] for w in before}:
             self.handle.registerTimer(at + self.min_stay_ms)
-        self._put(waiting)
-        if left is not None:
-            self.last_leave.update((left,))
+        self._save(left, waiting)
         yield from self._counted(key, counted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs() - self.min_stay_ms
-        waiting = [(w[0], w[1]) for w in self.waiting.get()]
-        self._put([w for w in waiting if w[0] > due])
+        left, waiting = self._load()
+        self._save(left, [w for w in waiting if w[0] > due])
         yield from self._counted(key, [w for w in waiting if w[0] <= due])
 
     def close(self) -> None:
@@ -243,20 +252,46 @@ def count_first_seen_stream(
     )
 
 
+def _with_newcomers(visits: DataFrame, ttl_hours: float | None) -> DataFrame:
+    """Visits plus one ``newcomer`` row when a device first enters a room.
+
+    The devices are remembered by Spark's own de-duplication, spread over room
+    and device; only the counters are kept per room.
+    """
+    rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
+    enters = rows.where("entered = 1")
+    who = ["anchor_id", "deviceId"]
+    if ttl_hours is None:
+        first = enters.dropDuplicates(who)
+    else:
+        first = (
+            enters.withColumn("_ts", event_time("timestamp"))
+            .withWatermark("_ts", f"{_ttl(ttl_hours)} milliseconds")
+            .dropDuplicatesWithinWatermark(who)
+            .drop("_ts")
+        )
+    return rows.withColumn("newcomer", F.lit(False)).unionByName(
+        first.withColumn("newcomer", F.lit(True))
+    )
+
+
 def audience_stream(
     visits: DataFrame,
     floor_at_zero: bool = True,
     ttl_hours: float | None = STATE_TTL_HOURS,
 ) -> DataFrame:
     """Streaming :func:`audience.audience`, with state forgotten after ``ttl_hours``."""
-    rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.groupBy("anchor_id").transformWithState(
-        Audience(floor_at_zero, _ttl(ttl_hours)),
-        f"id {id_type}, timestamp bigint, anchor_id string,"
-        " uv bigint, pv bigint, online bigint",
-        "Append",
-        _time_mode(ttl_hours),
+    id_type = visits.schema["id"].dataType.simpleString()
+    return (
+        _with_newcomers(visits, ttl_hours)
+        .groupBy("anchor_id")
+        .transformWithState(
+            Audience(floor_at_zero, _ttl(ttl_hours)),
+            f"id {id_type}, timestamp bigint, anchor_id string,"
+            " uv bigint, pv bigint, online bigint",
+            "Append",
+            _time_mode(ttl_hours),
+        )
     )
 
 
@@ -267,7 +302,7 @@ def audience_timer_stream(
     tz: str | None = None,
 ) -> DataFrame:
     """Room state on a wall-clock timer, with the key the snapshot table uses."""
-    rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
+    rows = _with_newcomers(visits, ttl_hours)
     states = rows.groupBy("anchor_id").transformWithState(
         AudienceTimer(duration_ms(every), _ttl(ttl_hours)),
         "anchor_id string, fired_at bigint, uv bigint, pv bigint, online bigint",
