@@ -5,6 +5,11 @@ from __future__ import annotations
 import random
 
 
+# Streams take rows at or before the epoch as late, so times start later.
+START = 1_000_000
+CROWDED = START + 40_000
+
+
 def visits(seed: int, n: int = 1500, hot: float = 0.4, devices: int = 25):
     """Random enters and leaves; one room is hot and many times are equal."""
     rng = random.Random(seed)
@@ -13,7 +18,9 @@ def visits(seed: int, n: int = 1500, hot: float = 0.4, devices: int = 25):
             "id": i,
             "anchor_id": "hot" if rng.random() < hot else rng.choice("abcd"),
             "deviceId": f"d{rng.randrange(devices)}",
-            "timestamp": 40_000 if rng.random() < 0.3 else rng.randrange(0, 90) * 1000,
+            "timestamp": CROWDED
+            if rng.random() < 0.3
+            else START + rng.randrange(0, 90) * 1000,
             "entered": rng.randrange(2),
         }
         for i in range(n)
