@@ -1,0 +1,234 @@
+"""The standing jobs from records in files to tables."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from models import START
+from tidecast.operators import audience, orders
+from tidecast.sinks import tables
+from tidecast.sources.records import RECORD, read_record_files
+from tidecast.streaming import jobs
+from tidecast.streaming.runs import finish
+
+MINUTE = 60_000
+
+
+def event(kind, device, at, **extra):
+    properties = {
+        k: extra.pop(k)
+        for k in ("anchor_id", "gift_id", "categoryId", "productId")
+        if k in extra
+    }
+    return {
+        "deviceId": device, "eventId": kind, "timestamp": START + at,
+        "properties": properties, **extra,
+    }
+
+
+EVENTS = [
+    event("appLaunch", "d1", 0, deviceType="phone", releaseChannel="c", isNew=1,
+          longitude=1.0, latitude=1.0),
+    event("appLaunch", "d1", 1, deviceType="phone", releaseChannel="c", isNew=1),
+    event("appLaunch", "d2", 2, deviceType="pad", releaseChannel="c", isNew=0),
+    event("liveEnter", "d1", 10, anchor_id="a", longitude=1.0, latitude=1.0),
+    event("liveEnter", "d2", 20, anchor_id="a"),
+    event("liveLeave", "d2", 30, anchor_id="a"),
+    event("liveReward", "d1", 40, anchor_id="a", gift_id=1),
+    event("liveReward", "d1", 50, anchor_id="a", gift_id="1"),
+    event("liveReward", "d2", 60, anchor_id="b", gift_id=9),
+    event("productView", "d1", 70, categoryId="x", productId="p1"),
+    event("productView", "d2", 80, categoryId="x", productId="p1"),
+    event("productView", "d2", 90, categoryId="x", productId="p2"),
+    event("productView", "d2", 60 * MINUTE, categoryId="z", productId="p9"),
+    event("liveLeave", "d9", 60 * MINUTE, anchor_id="z"),
+]
+
+
+def as_records(spark, texts, path):
+    data = [("t", 0, i, bytearray(t.encode())) for i, t in enumerate(texts)]
+    for i in range(0, len(data), 50):
+        spark.createDataFrame(data[i : i + 50], RECORD).coalesce(1).write.mode(
+            "append"
+        ).parquet(path)
+    return read_record_files(spark, path, 1)
+
+
+@pytest.fixture(scope="module")
+def records(spark, tmp_path_factory):
+    texts = [json.dumps(e) for e in EVENTS] + ["{broken"]
+    path = str(tmp_path_factory.mktemp("records") / "r")
+    as_records(spark, texts, path)
+    return lambda: read_record_files(spark, path)
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    """Run a job into a table and return its rows with the batch number."""
+
+    def go(job, name="out"):
+        finish(job(tables.table_writer(f"{tmp_path}/{name}")), f"{tmp_path}/c-{name}")
+        return spark.read.option("basePath", f"{tmp_path}/{name}").parquet(
+            f"{tmp_path}/{name}"
+        )
+
+    return go
+
+
+@pytest.fixture(scope="module")
+def regions(spark):
+    return spark.createDataFrame(
+        [(0.0, 9.0, 0.0, 9.0, "P", "C")],
+        "lon_min double, lon_max double, lat_min double, lat_max double,"
+        " province string, city string",
+    )
+
+
+def test_clean_events(records, tmp_path):
+    finish(jobs.clean_events(records()), str(tmp_path / "c"))
+
+
+def test_user_events(records, regions, run):
+    got = run(lambda w: jobs.user_events(records(), regions, w))
+    assert got.count() == len(EVENTS)
+    assert rows(got.where("province = 'P'"), "id", "date", "hour") == [
+        ("t-0-0", "19700101", "00"), ("t-0-3", "19700101", "00"),
+    ]
+
+
+def test_user_counts(records, regions, run):
+    got = run(lambda w: jobs.user_counts(records(), w))
+    assert rows(got, "deviceType", "isNew", "users") == [("pad", 0, 1), ("phone", 1, 2)]
+    got = run(lambda w: jobs.user_counts_by_province(records(), regions, w), "p")
+    assert rows(got, "province", "isNew", "users") == [
+        (None, 0, 1), (None, 1, 1), ("P", 1, 1),
+    ]
+
+
+def test_new_users(records, run):
+    got = run(lambda w: jobs.new_users(records(), w))
+    assert rows(got, "id", "isN") == [("t-0-0", 1), ("t-0-1", 0), ("t-0-2", 1)]
+    got = run(lambda w: jobs.new_users_by_channel(records(), w), "c")
+    assert rows(got, "id", "isN", "perCnt") == [
+        ("t-0-0", 1, 1), ("t-0-1", 0, 0), ("t-0-2", 1, 2),
+    ]
+
+
+def test_room_audience(records, run):
+    got = run(lambda w: jobs.room_audience(records(), w, ttl_hours=None))
+    assert rows(got, "id", "anchor_id", "uv", "pv", "online") == [
+        ("t-0-13", "z", 0, 0, 0), ("t-0-3", "a", 1, 1, 1),
+        ("t-0-4", "a", 2, 2, 2), ("t-0-5", "a", 2, 2, 1),
+    ]
+
+
+def test_room_detail_and_snapshot(spark, records, regions, run, tmp_path):
+    detail = tables.table_writer(f"{tmp_path}/detail", partition_by=("date", "hour"))
+    table = run(
+        lambda w: jobs.room_detail_and_snapshot(records(), regions, detail, w)
+    )
+    snapshot = audience.snapshot_from_increments(table)
+    assert rows(tables.snapshot_pairs(snapshot), "key", "value") == [
+        ("a_19700101", "2,2,1"), ("z_19700101", "0,0,-1"),
+    ]
+    rows_kept = spark.read.option("basePath", f"{tmp_path}/detail").parquet(
+        f"{tmp_path}/detail"
+    )
+    assert rows(tables.latest_details(rows_kept), "id", "province") == [
+        ("t-0-13", None), ("t-0-3", "P"), ("t-0-4", None), ("t-0-5", None),
+    ]
+
+
+def test_room_popularity(records, run):
+    got = run(lambda w: jobs.room_popularity(records(), w))
+    assert rows(got, "anchor_id", "deviceId") == [("a", "d1")]
+
+
+def test_reward_points(spark, records, run):
+    gift_table = spark.createDataFrame([(1, "rose", 2.5)], "id int, name string, points double")
+    got = run(lambda w: jobs.reward_points(records(), lambda: gift_table, w))
+    assert rows(got, "anchor_id", "points") == [("a", 5.0), ("b", None)]
+
+
+def test_hot_products(records, run):
+    got = run(lambda w: jobs.hot_products(records(), w))
+    assert got.select("windowStart").distinct().count() == 10
+    first = got.where("windowStart = 960000")
+    assert rows(first, "categoryId", "rank", "productId", "count") == [
+        ("x", 1, "p1", 2), ("x", 2, "p2", 1),
+    ]
+
+
+def test_matched_orders_and_rescue(spark, run, tmp_path):
+    """Ordered input in two batches; the second brings a detail that is too late."""
+
+    def detail(i, order, ms):
+        item = {"id": str(i), "order_id": str(order), "update_time": str(ms)}
+        return json.dumps({"type": "INSERT", "data": [item]})
+
+    def main(oid, ms, money):
+        item = {"oid": str(oid), "total_money": str(money), "update_time": str(ms)}
+        return json.dumps({"type": "INSERT", "data": [item]})
+
+    base = str(tmp_path)
+    details = [detail(1, 10, START + 100), detail(2, 20, START + 200)]
+    mains = [main(10, START + 900, 1.5)]
+    later = START + 100_000
+    batches = [
+        (details, mains),
+        ([detail(8, 99, later)], [main(98, later, 0.0)]),
+        # Its window is long closed, so the join drops it.
+        ([detail(3, 10, START + 300), detail(9, 99, later + 50_000)], [main(97, later + 50_000, 0.0)]),
+    ]
+    table = spark.createDataFrame(
+        [(10, 7.5, 1, 1, "p"), (20, 8.5, 1, 2, "q")],
+        "oid int, total_money double, status int, uid int, province string",
+    )
+    for d, m in batches:
+        ds = as_records(spark, d, f"{base}/d")
+        ms = as_records(spark, m, f"{base}/m")
+        got = run(lambda w: jobs.matched_orders(ds, ms, lambda: table, w))
+    closed = later - 2000
+    done = got.drop("batch")
+    assert rows(done.where("id < 8"), "id", "main_source", "total_money") == [
+        (1, "joined", 1.5), (2, "lookup", 8.5),
+    ]
+    kept = jobs.order_details(spark.read.schema(RECORD).parquet(f"{base}/d"))
+    rescued = orders.rescue_dropped(
+        kept, done.drop("main_source"), table, ["id"], closed
+    )
+    assert rows(rescued, "id", "main_source", "total_money") == [(3, "lookup", 7.5)]
+    assert rescued.columns == [*kept.columns, *[c for c in rescued.columns if c not in kept.columns]]
+
+
+def test_group_purchases(spark, run, tmp_path):
+    def lines(name, *text):
+        path = f"{tmp_path}/{name}"
+        for t in text:
+            spark.createDataFrame([(t,)], "value string").coalesce(1).write.mode(
+                "append"
+            ).text(path)
+        return spark.readStream.text(path)
+
+    got = run(
+        lambda w: jobs.group_purchases(
+            lines("d", "1000,u1646,p201,o1002", "5001,u1647,p202,o1003"),
+            lines("o", "1001,o1002,102,200.0", "5002,o1003,101,3000.0"),
+            lines("g", "1000,p201,1,手机", "5001,p202,1,手机"),
+            w,
+        )
+    )
+    assert rows(got, "user_id", "order_amount", "group_category") == [
+        ("u1646", 200.0, "手机"), ("u1647", 3000.0, "手机"),
+    ]
+
+
+def test_category_totals(spark, run, tmp_path):
+    path = f"{tmp_path}/lines"
+    spark.createDataFrame([("a-1",), ("a-2",), ("b-5",), ("b",)], "value string").write.text(path)
+    got = run(lambda w: jobs.category_totals(spark.readStream.text(path), w))
+    assert rows(got, "category", "total") == [("a", 3), ("b", 5)]

@@ -103,3 +103,16 @@ def _sort_limit(spark, folder):
 )
 def _events(spark, folder):
     return shop(spark, folder)
+
+
+TUMBLING_SQL = f"""{inputs.SHOP_SQL},
+    counts AS (
+      SELECT "eventId", "timestamp" // {inputs.DAY} * {inputs.DAY} AS "windowStart",
+             "timestamp" // {inputs.DAY} * {inputs.DAY} + {inputs.DAY} AS "windowEnd",
+             count(*) AS "count"
+      FROM shop GROUP BY ALL)"""
+
+
+@query("tumbling_event_count", f"WITH {TUMBLING_SQL} SELECT * FROM counts")
+def _tumbling(spark, folder):
+    return products.sliding_count(shop(spark, folder), ["eventId"], "1 day", "1 day")

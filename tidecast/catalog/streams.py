@@ -14,7 +14,16 @@ from ..streaming.runs import append_to_table, batches_to_table, finish
 from . import inputs
 from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
 from .gifts import GIFT_POINTS_SQL, live_gifts, rewards_of
-from .products import SIZE, SIZE_MS, SLIDE, SLIDE_MS, counts_sql, shop_rows, top_sql
+from .products import (
+    SIZE,
+    SIZE_MS,
+    SLIDE,
+    SLIDE_MS,
+    TUMBLING_SQL,
+    counts_sql,
+    shop_rows,
+    top_sql,
+)
 from .registry import query
 from .users import COUNT_NEW_SQL, IS_NEW_SQL, LAUNCHES_SQL, RUNNING_SUM_SQL, category_rows
 
@@ -117,6 +126,16 @@ def _sliding(spark, folder):
     return append_to_table(_shop_counts(spark, folder), "stream-sliding")
 
 
+@query(
+    "stream_tumbling_event_count",
+    f"WITH {TUMBLING_SQL} SELECT * FROM counts WHERE {CLOSED}",
+)
+def _tumbling(spark, folder):
+    shop = shop_rows(inputs.table_stream(spark, folder, "events"))
+    counts = products.sliding_count(shop, ["eventId"], "1 day", "1 day")
+    return append_to_table(counts, "stream-tumbling")
+
+
 @query(
     "stream_product_top3",
     f"WITH {top_sql(SIZE_MS, SLIDE_MS)} SELECT * FROM ranked WHERE rank <= 3 AND {CLOSED}",

@@ -66,10 +66,10 @@ def audience(
     sums = {name: F.col(name) for name in ("uv", "pv", "online")}
     if floor_at_zero:
         counted = running_floored_sums(
-            steps, keys, order, sums, "online", rows_per_chunk
+            steps, keys, order, sums, "online", rows_per_chunk, visits
         )
     else:
-        counted = running_sums(steps, keys, order, sums, rows_per_chunk)
+        counted = running_sums(steps, keys, order, sums, rows_per_chunk, visits)
     rows = counted.where("_visit = 1").select(
         "id", "timestamp", "anchor_id", "uv", "pv", "online"
     )

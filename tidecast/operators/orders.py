@@ -192,3 +192,25 @@ def group_buy(
     d = _in_window(details, "ts", size, delay)
     joined = left_join(d, o, ["order_id", WINDOW_START])
     return left_join(joined, g, ["group_id", WINDOW_START])
+
+
+def rescue_dropped(
+    details: DataFrame,
+    joined: DataFrame,
+    order_table: DataFrame,
+    ids: Sequence[str],
+    closed_ms: int,
+    size: str | int = "5 seconds",
+) -> DataFrame:
+    """Details a stream join dropped as late, filled from the order table.
+
+    ``details`` are all details kept by the source, ``joined`` is what the stream
+    has written, and ``closed_ms`` its watermark. A detail whose window has
+    closed and that ``joined`` does not hold arrived too late.
+    """
+    window_end = tumbling_start("update_ms", size) + duration_ms(size)
+    missing = details.where(window_end <= closed_ms).join(
+        joined.select(*ids).distinct(), list(ids), "left_anti"
+    )
+    right = joined.select(*[c for c in joined.columns if c != WINDOW_START]).schema
+    return lookup_fill(late_row_shape(missing, right), order_table)

@@ -85,7 +85,7 @@ def count_first_seen(
     row_id = order[-1]
     first = _first_rows(df, user, (), order, key)
     counted = running_sums(
-        first, [key], order, {"perCnt": F.lit(1).cast("int")}, rows_per_chunk
+        first, [key], order, {"perCnt": F.lit(1).cast("int")}, rows_per_chunk, df
     ).select(row_id, F.lit(1).alias("isN"), F.col("perCnt").cast("int").alias("perCnt"))
     return (
         df.drop("isN", "perCnt")
@@ -129,6 +129,6 @@ def pv_uv(
     )
     sums = {"uv": F.col("uv"), "pv": F.col("pv")}
     counted = running_sums(
-        steps.unionByName(first), keys, [*order, "_row"], sums, rows_per_chunk
+        steps.unionByName(first), keys, [*order, "_row"], sums, rows_per_chunk, df
     )
     return counted.where("_row = 1").select(*order, *keys, "uv", "pv")

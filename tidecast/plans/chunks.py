@@ -70,17 +70,24 @@ def _bucket(df: DataFrame, number: Column, cuts: Sequence, out: str) -> DataFram
 
 
 def split_chunks(
-    df: DataFrame, order: Sequence[str], rows_per_chunk: int | None = None
+    df: DataFrame,
+    order: Sequence[str],
+    rows_per_chunk: int | None = None,
+    basis: DataFrame | None = None,
 ) -> DataFrame | None:
     """Add a chunk number that never decreases along ``order``.
 
     None means the rows fit a single chunk. When one value of the first order
     column alone fills a chunk, its rows are cut again along the second order
     column, if that is a number.
+
+    ``basis`` holds the order columns of rows spread like those of ``df`` but
+    cheaper to compute; the cuts are placed on it.
     """
     limit = rows_per_chunk or ROWS_PER_CHUNK
+    basis = df if basis is None else basis
     number = _as_number(df, order[0])
-    cuts = _quantiles(df, number, limit)
+    cuts = _quantiles(basis, number, limit)
     if not cuts:
         return None
     crowded = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
@@ -93,7 +100,7 @@ def split_chunks(
         return chunked
     tie = _as_number(df, order[1])
     in_crowd = number.isin(crowded)
-    inner = sorted(set(_quantiles(df.where(in_crowd), tie, limit)))
+    inner = sorted(set(_quantiles(basis.where(in_crowd), tie, limit)))
     if not inner:
         return chunked
     return (
@@ -129,9 +136,10 @@ def running_sums(
     order: Sequence[str],
     sums: Mapping[str, Column],
     rows_per_chunk: int | None = None,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per row, the sum of each expression over the key's rows up to it."""
-    chunked = split_chunks(df, order, rows_per_chunk)
+    chunked = split_chunks(df, order, rows_per_chunk, basis)
     if chunked is None:
         here = _through_here(keys, order)
         return df.withColumns({out: F.sum(e).over(here) for out, e in sums.items()})
@@ -168,13 +176,14 @@ def running_floored_sums(
     sums: Mapping[str, Column],
     floored: str,
     rows_per_chunk: int | None = None,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Like :func:`running_sums`, with one sum that is held at zero or above.
 
     The held sum equals the plain sum minus its lowest point below zero so far,
     so it needs no row-by-row loop. Keys must not be null.
     """
-    chunked = split_chunks(df, order, rows_per_chunk)
+    chunked = split_chunks(df, order, rows_per_chunk, basis)
     if chunked is None:
         here = _through_here(keys, order)
         return (

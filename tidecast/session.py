@@ -11,6 +11,8 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+DEFAULT_PARTITIONS = "200"
+
 # Settings every operator relies on; all of them can be changed on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,6 +29,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to an existing session."""
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    # On one machine the default number of shuffle partitions, each with its own
+    # state store in a stream, is far above the number of cores.
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        if spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+            spark.conf.set(
+                "spark.sql.shuffle.partitions", str(context.defaultParallelism)
+            )
     return spark
 
 

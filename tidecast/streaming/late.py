@@ -6,14 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import duration_ms
 from ..operators.orders import tumbling_start
 
-_MARK = T.StructType(
-    [T.StructField("highest", T.LongType()), T.StructField("batch", T.LongType())]
-)
+MARK = "highest bigint"
 
 
 def late_splitter(
@@ -27,8 +24,8 @@ def late_splitter(
     """A ``foreachBatch`` function that hands on-time and late rows to two writers.
 
     A row is late when its window had closed by the highest time of the earlier
-    batches less ``delay``. Each batch leaves its own mark below ``path``, one
-    row, so a batch that runs again is split the same way.
+    batches less ``delay``. Each batch leaves that time below ``path`` for the
+    next one, so a batch that runs again is split the same way.
     """
     width, slack = duration_ms(size), duration_ms(delay)
 
@@ -36,17 +33,14 @@ def late_splitter(
         spark = batch.sparkSession
         batch.persist()
         try:
-            marks = f"{path}/batch={batch_id}"
-            own = batch.agg(F.max(ts).cast("long").alias("highest"))
-            own.coalesce(1).write.mode("overwrite").parquet(marks)
-            seen = (
-                spark.read.schema(_MARK)
-                .option("basePath", path)
-                .parquet(path)
-                .where(F.col("batch") < batch_id)
-                .agg(F.max("highest"))
-                .first()[0]
-            )
+            seen = None
+            if batch_id > 0:
+                mark = spark.read.schema(MARK).parquet(f"{path}/batch={batch_id - 1}")
+                seen = mark.first()["highest"]
+            highest = F.greatest(F.max(ts), F.lit(seen).cast("long"))
+            batch.agg(highest.cast("long").alias("highest")).write.mode(
+                "overwrite"
+            ).parquet(f"{path}/batch={batch_id}")
             if seen is None:
                 is_late = F.lit(False)
             else:
