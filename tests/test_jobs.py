@@ -232,3 +232,30 @@ def test_category_totals(spark, run, tmp_path):
     spark.createDataFrame([("a-1",), ("a-2",), ("b-5",), ("b",)], "value string").write.text(path)
     got = run(lambda w: jobs.category_totals(spark.readStream.text(path), w))
     assert rows(got, "category", "total") == [("a", 3), ("b", 5)]
+
+
+def test_start_from_settings(records, tmp_path):
+    """Two starts of one job: the second has nothing left to read."""
+    from tidecast.settings import insert_interval_ms, insert_rows, read_settings
+    from tidecast.streaming.runs import start
+
+    file = tmp_path / "conf.properties"
+    file.write_text(
+        f"checkpoint.interval=500\n#checkpoint.path=/no\ncheckpoint.path={tmp_path}/ck/\n"
+        "\nclickhouse.batch.size=7\nurl=jdbc:x?a=b\n"
+    )
+    settings = read_settings(str(file))
+    assert settings["url"] == "jdbc:x?a=b" and "#checkpoint.path" not in settings
+    assert (insert_rows(settings), insert_interval_ms(settings)) == (7, 5000)
+    seen = []
+    for _ in range(2):
+        query = start(
+            jobs.new_users(records(), lambda b, n: seen.append((n, b.count()))),
+            settings, "new-users",
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    assert (tmp_path / "ck" / "new-users" / "offsets").exists()
+    assert sum(n for _, n in seen) == 3

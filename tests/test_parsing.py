@@ -7,8 +7,8 @@ import datetime as dt
 from conftest import rows
 from tidecast.operators import filters, gifts
 from tidecast.operators.location import enrich_location
-from tidecast.schemas import EVENT, ORDER_DETAIL, ORDER_MAIN
-from tidecast.sources.dimension import changed_since, latest_dimension
+from tidecast.schemas import EVENT, GIFT, ORDER_DETAIL, ORDER_MAIN
+from tidecast.sources.dimension import changed_since, conform, latest_dimension
 from tidecast.sources.json_records import parse_cdc, parse_events
 from tidecast.sources.records import kafka_options, record_values, with_record_id
 
@@ -115,6 +115,16 @@ def gift_changes(spark):
     )
 
 
+def test_table_conforms_to_schema(spark):
+    raw = spark.createDataFrame(
+        [("2023-05-01 00:00:00", 0, "1", "rose", 2)],
+        "updateTime string, deleted bigint, id string, name string, points int",
+    )
+    got = conform(raw, GIFT)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in GIFT]
+    assert got.first()["points"] == 2.0
+
+
 def test_dimension(spark):
     changes = gift_changes(spark)
     assert rows(latest_dimension(changes), "id", "points") == [(1, 2.0), (3, 6.0)]

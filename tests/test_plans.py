@@ -102,6 +102,29 @@ def test_chunks_are_even_when_one_key_and_one_instant_are_hot(spark):
         assert tuple(a["hi"]) < tuple(b["lo"])
 
 
+def test_chunks_follow_fractions_around_a_crowded_value(spark):
+    df = spark.range(9_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 5.0)
+        .when(F.col("id") % 3 == 1, 5.0 + F.col("id") / 9_000)
+        .otherwise(F.col("id").cast("double"))
+        .alias("t"),
+    )
+    chunked = split_chunks(df, ["t", "id"], 500)
+    edges = chunked.groupBy(CHUNK).agg(
+        F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi")
+    ).orderBy(CHUNK).collect()
+    assert len(edges) > 10
+    for a, b in zip(edges, edges[1:]):
+        assert tuple(a["hi"]) < tuple(b["lo"])
+
+
+def test_chunks_need_a_number(spark):
+    df = spark.createDataFrame([("a",)], "id string")
+    with pytest.raises(ValueError):
+        split_chunks(df, ["id"])
+
+
 def test_chunked_audience_shuffles_the_visits_once(spark):
     df = spark.createDataFrame(visits(4), VISIT_SCHEMA)
     counted = audience(df, rows_per_chunk=100)

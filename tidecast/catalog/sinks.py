@@ -9,7 +9,9 @@ from ..operators import filters
 from ..operators.audience import audience_snapshot, visit_detail
 from ..operators.location import enrich_location
 from ..session import shared_folder
+from ..schemas import TEST_LINE
 from ..sinks import tables
+from ..sources.records import parse_delimited
 from ..streaming.runs import finish
 from . import inputs
 from .audience import _snapshot_sql
@@ -84,11 +86,10 @@ def _small_batch(spark, folder):
     path = shared_folder(spark, "small-batch")
 
     def shape(df):
-        return df.select(
-            F.col("id").cast("int").alias("id"),
-            F.col("deviceId").alias("name"),
-            F.col("eventId").alias("add"),
+        lines = df.select(
+            F.concat_ws(",", "id", "deviceId", "eventId").alias("value")
         )
+        return parse_delimited(lines, TEST_LINE)
 
     rows = _event_stream(spark, folder)
     _run(rows, tables.table_writer(f"{path}/rows", shape), path)

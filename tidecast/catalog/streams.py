@@ -152,7 +152,8 @@ JOIN_CLOSED_SQL = f"""WITH {inputs.ORDERS_SQL},
     mark AS (
       SELECT least((SELECT max(main_update_ms) FROM mains),
                    (SELECT max(update_ms) FROM details)) - 2000 AS wm)
-    SELECT order_id, line, sku, money, update_ms, oid, total_money, main_update_ms
+    SELECT order_id, line, sku, money, update_ms, "windowStart", oid, total_money,
+           main_update_ms
     FROM details LEFT JOIN mains ON order_id = oid AND "windowStart" = main_window
     WHERE oid IS NOT NULL OR "windowStart" + {inputs.ORDER_WINDOW_MS} <= (SELECT wm FROM mark)"""
 
@@ -165,9 +166,9 @@ def _order_join(spark, folder):
         "order_id", "oid", size=inputs.ORDER_WINDOW, right_ts="main_update_ms",
     )
     columns = (
-        "order_id line sku money update_ms oid total_money main_update_ms".split()
+        "order_id line sku money update_ms windowStart oid total_money main_update_ms"
     )
-    return append_to_table(joined.select(*columns), "stream-orders")
+    return append_to_table(joined.select(*columns.split()), "stream-orders")
 
 
 @query("stream_gift_points", GIFT_POINTS_SQL)
@@ -195,7 +196,8 @@ GROUP_CLOSED_SQL = f"""WITH {inputs.GROUPS_SQL},
     mark AS (
       SELECT least((SELECT max(order_ts) FROM group_orders), (SELECT max(ts) FROM members),
                    (SELECT max(group_ts) FROM group_mains)) AS wm)
-    SELECT m.ts, m.user_id, m.group_id, m.order_id, o.order_ts, o.order_amount,
+    SELECT m.ts, m.user_id, m.group_id, m.order_id, m."windowStart", o.order_ts,
+           o.order_amount,
            g.group_ts, g.group_category
     FROM members m
     LEFT JOIN group_orders o ON m.order_id = o.order_id AND m."windowStart" = o.w
@@ -217,7 +219,8 @@ def _group_buy(spark, folder):
         size=inputs.ORDER_WINDOW,
     )
     columns = (
-        "ts user_id group_id order_id order_ts order_amount group_ts group_category"
+        "ts user_id group_id order_id windowStart order_ts order_amount"
+        " group_ts group_category"
     )
     return append_to_table(joined.select(*columns.split()), "stream-groups")
 

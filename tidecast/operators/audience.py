@@ -53,6 +53,7 @@ def audience(
     person online; leaving takes a person away, not below zero when
     ``floor_at_zero``.
     """
+    visits = visits.where("anchor_id IS NOT NULL")
     if mode == "final" and not floor_at_zero:
         return visits.groupBy("anchor_id").agg(
             F.countDistinct(
@@ -95,8 +96,8 @@ def audience_snapshot(
     Without the floor the rows are summed per room and interval first, so only
     those sums are ordered. With it the running rows are needed.
     """
-    width = duration_ms(every)
-    bucket = floor_ms("timestamp", width)
+    visits = visits.where("anchor_id IS NOT NULL")
+    bucket = floor_ms("timestamp", duration_ms(every))
     if floor_at_zero:
         last = F.max(F.struct("timestamp", "id", "uv", "pv", "online"))
         states = (

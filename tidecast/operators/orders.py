@@ -32,6 +32,13 @@ def _in_window(df: DataFrame, ts: str, size: str | int, delay: str | int) -> Dat
     )
 
 
+def _start_ms(joined: DataFrame) -> DataFrame:
+    """The window as its start in ms, on streams as on batches."""
+    if not joined.isStreaming:
+        return joined
+    return joined.withColumn(WINDOW_START, F.unix_millis(f"{WINDOW_START}.start"))
+
+
 def windowed_left_join(
     left: DataFrame,
     right: DataFrame,
@@ -52,7 +59,7 @@ def windowed_left_join(
         raise ValueError(f"right side repeats the left time column {left_ts}")
     l = _in_window(left, left_ts, size, delay)
     r = _in_window(right, right_ts, size, delay).withColumn(left_key, F.col(right_key))
-    return left_join(l, r, [left_key, WINDOW_START])
+    return _start_ms(left_join(l, r, [left_key, WINDOW_START]))
 
 
 def mark_late(
@@ -191,7 +198,7 @@ def group_buy(
     )
     d = _in_window(details, "ts", size, delay)
     joined = left_join(d, o, ["order_id", WINDOW_START])
-    return left_join(joined, g, ["group_id", WINDOW_START])
+    return _start_ms(left_join(joined, g, ["group_id", WINDOW_START]))
 
 
 def rescue_dropped(

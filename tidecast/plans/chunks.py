@@ -11,6 +11,7 @@ The cut points only decide how the work is split, never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -25,15 +26,21 @@ MAX_CHUNKS = 16_384
 # Values read per cut point to place it.
 VALUES_PER_CUT = 200
 CHUNK = "_chunk"
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_EXACT_DOUBLE = 2**53
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, _TIMES):
         return F.unix_micros(F.col(column).cast("timestamp"))
     return F.col(column)
 
 
+def _is_number(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.NumericType, *_TIMES))
+
+
 def _quantiles(df: DataFrame, number: Column, rows_per_chunk: int) -> list:
     """Approximate cut points; empty when the rows fit one chunk.
 
@@ -81,22 +88,27 @@ def split_chunks(
     column alone fills a chunk, its rows are cut again along the second order
     column, if that is a number.
 
-    ``basis`` holds the order columns of rows spread like those of ``df`` but
+    The first column must be a number or a timestamp. ``basis`` holds the order columns of rows spread like those of ``df`` but
     cheaper to compute; the cuts are placed on it.
     """
+    if not _is_number(df, order[0]):
+        raise ValueError(f"order column {order[0]} is neither a number nor a time")
     limit = rows_per_chunk or ROWS_PER_CHUNK
     basis = df if basis is None else basis
     number = _as_number(df, order[0])
     cuts = _quantiles(basis, number, limit)
     if not cuts:
         return None
-    crowded = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    edges = sorted({float(c) for c in cuts} | {float(c) + 1 for c in crowded})
-    chunked = _bucket(df, number, edges, CHUNK)
-    splittable = len(order) > 1 and isinstance(
-        df.schema[order[1]].dataType, (T.NumericType, T.TimestampType)
+    crowded = sorted(
+        {a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT_DOUBLE}
     )
-    if not crowded or not splittable:
+    # A crowded value gets a chunk that holds nothing else.
+    edges = sorted(
+        {float(c) for c in cuts}
+        | {math.nextafter(float(c), math.inf) for c in crowded}
+    )
+    chunked = _bucket(df, number, edges, CHUNK)
+    if not crowded or len(order) < 2 or not _is_number(df, order[1]):
         return chunked
     tie = _as_number(df, order[1])
     in_crowd = number.isin(crowded)

@@ -14,10 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import event_time, join_text
 from ..schemas import ANCHOR_DETAIL_COLUMNS, USER_EVENT_COLUMNS
-
-# A fixed rule of the platform's settings: rows per insert and ms between inserts.
-INSERT_ROWS = 20
-INSERT_INTERVAL_MS = 5000
+from ..settings import INSERT_ROWS
 
 BatchWriter = Callable[[DataFrame, int], None]
 

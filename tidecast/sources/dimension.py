@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_jdbc(
@@ -15,6 +16,11 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
 
 
+def conform(table: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns of a table, in its order and types."""
+    return table.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def changed_since(
     table: DataFrame,
     since=None,

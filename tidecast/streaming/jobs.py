@@ -201,7 +201,7 @@ def matched_orders(
     joined = orders.windowed_left_join(
         order_details(detail_records), mains, "order_id", "oid", size, delay,
         right_ts="main_update_ms",
-    ).drop(orders.WINDOW_START)
+    )
 
     def work(batch: DataFrame, table: DataFrame, number: int) -> None:
         write(orders.lookup_fill(batch, table), number)
@@ -225,7 +225,7 @@ def group_purchases(
         size,
         delay,
     )
-    return _each(joined.drop(orders.WINDOW_START), write)
+    return _each(joined, write)
 
 
 def category_totals(lines: DataFrame, write: BatchWriter) -> DataStreamWriter:

@@ -7,9 +7,11 @@ limit bounds how many there are.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,10 @@ from ..functions.columns import date_text, duration_ms, event_time
 
 STATE_TTL_HOURS = 6
 
+# Processors travel to the executors with their code, so that the package need
+# not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
+
 
 def _in_order(rows: Iterator[Row]) -> list[Row]:
     return sorted(rows, key=lambda r: (r["timestamp"], r["id"]))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import shared_folder
+from ..settings import CHECKPOINT_INTERVAL_MS
 
 
 def finish(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -20,6 +21,22 @@ def finish(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def start(
+    writer: DataStreamWriter, settings: Mapping[str, str], name: str
+) -> StreamingQuery:
+    """Start a standing job with the checkpoint folder and interval of the settings.
+
+    Stopping the job keeps its checkpoint, and the next start goes on from there.
+    """
+    interval = int(settings.get("checkpoint.interval", CHECKPOINT_INTERVAL_MS))
+    return (
+        writer.queryName(name)
+        .option("checkpointLocation", f"{settings['checkpoint.path'].rstrip('/')}/{name}")
+        .trigger(processingTime=f"{interval} milliseconds")
+        .start()
+    )
+
+
 def append_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append-mode stream into a parquet table and return the table."""
     spark = stream.sparkSession
