@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +15,23 @@ PAIR = ("anchor_id", "deviceId")
 _FIRST, _ROW, _LAST = 0, 1, 2
 
 
+def _sides(group: Sequence[str], order: Sequence[str]):
+    """Windows of the rows before and after each row of a group.
+
+    The rows after are taken in reverse order, because Spark extends a frame that
+    starts at the first row but computes one that ends at the last row anew for
+    every row.
+    """
+    grouped = Window.partitionBy(*group)
+    earlier = (Window.unboundedPreceding, -1)
+    before = grouped.orderBy(*order).rowsBetween(*earlier)
+    after = grouped.orderBy(*[F.desc(c) for c in order]).rowsBetween(*earlier)
+    return before, after
+
+
 def _neighbour_leaves(moves: DataFrame, group: list[str], order: list[str]):
     """Nearest leave before and after each row of a group."""
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    after = ordered.rowsBetween(1, Window.unboundedFollowing)
+    before, after = _sides(group, order)
     left_at = F.when(F.col("entered") == 0, F.col("timestamp"))
     return moves.withColumn("_left", left_at).withColumns(
         {"_previous": F.max("_left").over(before), "_next": F.min("_left").over(after)}
@@ -44,18 +58,14 @@ def _with_leaves(moves: DataFrame, rows_per_chunk: int) -> DataFrame:
     chunked = split_chunks(busy, order, rows_per_chunk)
     busy = busy.withColumn(CHUNK, F.lit(0)) if chunked is None else chunked
     left_at = F.when(F.col("entered") == 0, F.col("timestamp"))
-    ordered = Window.partitionBy(*PAIR).orderBy(CHUNK)
+    before, after = _sides(PAIR, [CHUNK])
     known = (
         busy.groupBy(*PAIR, CHUNK)
         .agg(F.min(left_at).alias("_earliest"), F.max(left_at).alias("_latest"))
         .withColumns(
             {
-                "_in": F.max("_latest").over(
-                    ordered.rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                "_out": F.min("_earliest").over(
-                    ordered.rowsBetween(1, Window.unboundedFollowing)
-                ),
+                "_in": F.max("_latest").over(before),
+                "_out": F.min("_earliest").over(after),
             }
         )
     )
