@@ -48,6 +48,8 @@ def test_no_cross_join_and_no_python(spark, data, name):
     text = plan(queries()[name](spark, data))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert bad not in text
+    # Such a frame is computed anew for every row of the group.
+    assert "unboundedfollowing" not in text
 
 
 def test_scan_reads_only_what_is_needed(spark, data):
