@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality  # noqa: F401
+from . import bpe, quality  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
