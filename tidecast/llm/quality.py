@@ -189,13 +189,10 @@ def cutoffs(
     top = by_value.where(F.col("_value").isNotNull()).orderBy(F.desc("_n"), "_value").limit(settings.max_strata)
     top = top.select(F.col("_value").alias("_stratum"), "_n", *ks)
     total = by_value.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["_n", *ks]])
-    named = top.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"_t{c}") for c in ["_n", *ks]])
-    # One row each: what is in no named stratum is the difference of two totals.
-    rest = total.withColumn("_one", F.lit(1)).join(named.withColumn("_one", F.lit(1)), "_one")
-    rest = rest.select(
-        F.lit(None).cast("string").alias("_stratum"),
-        *[(F.col(c) - F.col(f"_t{c}")).alias(c) for c in ["_n", *ks]],
-    )
+    named = top.agg(*[(-F.coalesce(F.sum(c), F.lit(0))).alias(c) for c in ["_n", *ks]])
+    # What is in no named stratum is the difference of two totals.
+    rest = total.unionByName(named).agg(*[F.sum(c).alias(c) for c in ["_n", *ks]])
+    rest = rest.select(F.lit(None).cast("string").alias("_stratum"), "_n", *ks)
     allowed = settings.max_rejected / len(settings.grids)
     limit = F.log(F.lit(settings.risk / settings.tests))
     chosen = [
@@ -217,22 +214,15 @@ def cutoffs(
 
 def judged(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Add ``kept``: false for base failures and texts above a cutoff of their stratum."""
-    # At most max_strata + 1 rows, so the broadcast is bounded.
-    limits = F.broadcast(limits)
-    rest = F.broadcast(
-        limits.where(F.col("_stratum").isNull()).select(
-            F.lit(1).alias("_one"), *[F.col(c).alias(f"_rest{c}") for c in limits.columns[1:]]
-        )
-    )
-    named = limits.where(F.col("_stratum").isNotNull()).withColumn("_named", F.lit(True))
-    rules = [c[3:] for c in limits.columns[1:]]
+    # At most max_strata rows, so the broadcast is bounded; the shared stratum is one row.
+    rest = limits.where(F.col("_stratum").isNull()).first()
+    named = F.broadcast(limits.where(F.col("_stratum").isNotNull()).withColumn("_named", F.lit(True)))
     out = counted.join(named, counted["stratum"] == named["_stratum"], "left")
-    out = out.withColumn("_one", F.lit(1)).join(rest, "_one", "left")
-    values = signals()
     bad = F.lit(False)
-    for rule in rules:
-        cut = F.when(F.col("_named"), F.col(f"_c_{rule}")).otherwise(F.col(f"_rest_c_{rule}"))
-        bad = bad | F.coalesce(values[rule] > cut, F.lit(False))
+    for rule, value in signals().items():
+        shared = F.lit(rest[f"_c_{rule}"]).cast("double")
+        cut = F.when(F.col("_named"), F.col(f"_c_{rule}")).otherwise(shared)
+        bad = bad | F.coalesce(value > cut, F.lit(False))
     return out.select(
         *[counted[c] for c in counted.columns], (~F.col("base_failed") & ~bad).alias("kept")
     )
