@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, quality, shards  # noqa: F401
+from . import bpe, langid, quality, shards, simhash  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
