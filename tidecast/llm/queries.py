@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, lines, preferences, quality, shards, simhash  # noqa: F401
+from . import bpe, langid, lines, preferences, quality, shards, simhash, tokens  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
