@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -191,6 +192,7 @@ OUTPUTS = {
     "ids_sha256": ("string", pa.string()),
     "decoded_sha256": ("string", pa.string()),
     "decoded": ("string", pa.string()),
+    "packed_ids": ("binary", pa.binary()),
 }
 
 
@@ -204,7 +206,7 @@ def encode_texts(
 ) -> DataFrame:
     """``key`` and, of each row's text, the wanted ``outputs``:
 
-    ids, starts (first byte of each id in the text's UTF-8), n_tokens, ids_sha256 (of
+    ids, packed_ids (four little-endian bytes each), starts (first byte of each id in the text's UTF-8), n_tokens, ids_sha256 (of
     the decimal ids joined by blanks), decoded (the text from its ids) and
     decoded_sha256 (of its bytes). A null or empty text has no ids. Special tokens'
     names are plain text. Rows are independent: repeated rows and null keys keep their
@@ -242,6 +244,8 @@ def encode_texts(
 def _output(coder: Codec, name: str, ids: list[int]):
     if name == "ids":
         return ids
+    if name == "packed_ids":
+        return np.array(ids, "<u4").tobytes()
     if name == "starts":
         return [start for start, _ in coder.offsets(ids)]
     if name == "n_tokens":
