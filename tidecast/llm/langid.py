@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import query, table, written
 
 UNDETERMINED = "und"
 
@@ -205,12 +205,15 @@ def sample(labelled: DataFrame, settings: Settings = Settings()) -> list[tuple[s
 
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.where(F.length("text") > 0)
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_languages)
-    hashed = rows.select("lang", F.xxhash64("text").alias("_hash")).distinct()
-    # row_number below a bound is trimmed in every task before the shuffle.
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
-    chosen = hashed.withColumn("_nth", nth).where(F.col("_nth") <= settings.per_language)
-    chosen = chosen.join(F.broadcast(common.select("lang")), "lang", "left_semi").drop("_nth")
+    hashed = written(rows.select("lang", F.xxhash64("text").alias("_hash")).distinct(), "language-hashes")
+    sizes = hashed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_languages)
+    # Hashes are spread evenly, so of a language with n texts a share of 3 * per_language / n
+    # holds the per_language smallest; only that share is ranked, whatever n is.
+    near = F.pmod(F.col("_hash"), F.lit(1 << 40)) * F.col("count") < F.lit(3.0 * settings.per_language * (1 << 40))
+    few = hashed.join(F.broadcast(sizes), "lang").where(near)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("_hash"), F.lit(1 << 40)), "_hash"))
+    chosen = few.withColumn("_nth", nth).where(F.col("_nth") <= settings.per_language)
+    chosen = chosen.select("lang", "_hash")
     # The chosen hashes are bounded, so is their broadcast.
     marked = rows.select(
         "lang",
