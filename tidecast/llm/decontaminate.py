@@ -269,9 +269,8 @@ def remove_passages(
 
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
-        out = out.withColumn("_length", F.length("text").cast("long")).withColumn(
-            "n_chars", F.coalesce("_length", "n_chars")
-        )
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.coalesce(length, "n_chars"))
     return out.select(*docs.columns)
 
 

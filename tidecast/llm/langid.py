@@ -209,7 +209,7 @@ def sample(labelled: DataFrame, settings: Settings = Settings()) -> list[tuple[s
     sizes = hashed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_languages)
     # Hashes are spread evenly, so of a language with n texts a share of 3 * per_language / n
     # holds the per_language smallest; only that share is ranked, whatever n is.
-    near = F.pmod(F.col("_hash"), F.lit(1 << 40)) * F.col("count") < F.lit(3.0 * settings.per_language * (1 << 40))
+    near = F.pmod(F.col("_hash"), F.lit(1 << 40)).cast("double") * F.col("count") < F.lit(3.0 * settings.per_language * (1 << 40))
     few = hashed.join(F.broadcast(sizes), "lang").where(near)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("_hash"), F.lit(1 << 40)), "_hash"))
     chosen = few.withColumn("_nth", nth).where(F.col("_nth") <= settings.per_language)

@@ -38,7 +38,8 @@ class Settings:
 
     @property
     def tests(self) -> int:
-        return (self.max_strata + 1) * sum(len(g) for g in self.grids.values())
+        """Cutoffs tried in each stratum."""
+        return sum(len(g) for g in self.grids.values())
 
 
 def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -184,7 +185,10 @@ def cutoffs(
         for rule, grid in settings.grids.items()
         for i, cut in enumerate(grid)
     ]
-    by_value = good.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"), *over)
+    by_value = written(
+        good.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"), *over), "quality-strata"
+    )
+    strata = min(settings.max_strata, by_value.where(F.col("_value").isNotNull()).count()) + 1
     ks = [c for c in by_value.columns if c.startswith("_k_")]
     top = by_value.where(F.col("_value").isNotNull()).orderBy(F.desc("_n"), "_value").limit(settings.max_strata)
     top = top.select(F.col("_value").alias("_stratum"), "_n", *ks)
@@ -194,7 +198,7 @@ def cutoffs(
     rest = total.unionByName(named).agg(*[F.sum(c).alias(c) for c in ["_n", *ks]])
     rest = rest.select(F.lit(None).cast("string").alias("_stratum"), "_n", *ks)
     allowed = settings.max_rejected / len(settings.grids)
-    limit = F.log(F.lit(settings.risk / settings.tests))
+    limit = F.log(F.lit(settings.risk / (strata * settings.tests)))
     chosen = [
         F.coalesce(
             *[
@@ -310,7 +314,8 @@ k AS (SELECT s, rule, cut, count(*) AS n, count(*) FILTER (WHERE x > cut) AS k
 cdf AS (SELECT s, rule, cut, (SELECT sum(exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
           + j * ln({allowed}) + (n - j) * ln(1 - {allowed}))) FROM range(0, k + 1) t(j)) AS p
         FROM k WHERE k <= {allowed} * n),
-cuts AS (SELECT s, rule, min(cut) AS cut FROM cdf WHERE p <= {SETTINGS.risk / SETTINGS.tests} GROUP BY ALL),
+cuts AS (SELECT s, rule, min(cut) AS cut FROM cdf
+         WHERE p <= {SETTINGS.risk} / ((SELECT count(*) + 1 FROM named) * {SETTINGS.tests}) GROUP BY ALL),
 bad AS (SELECT DISTINCT c.rid FROM counted c JOIN x USING (rid)
         JOIN cuts ON cuts.rule = x.rule AND cuts.s IS NOT DISTINCT FROM
           CASE WHEN c.lang IN (SELECT lang FROM named) THEN c.lang END
