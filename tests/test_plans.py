@@ -15,7 +15,6 @@ from tidecast.operators import filters
 from tidecast.operators.audience import audience
 from tidecast.operators.orders import windowed_left_join
 from tidecast.plans.chunks import CHUNK, split_chunks
-from tidecast.plans.joins import fits_broadcast, lookup_join
 from tidecast.sinks import tables
 
 BATCH = sorted(
@@ -162,12 +161,19 @@ def test_hot_key_of_a_join_is_split(spark):
     assert "skew=true" in text
 
 
-def test_broadcast_only_below_the_limit(spark):
-    table = spark.range(100).withColumnRenamed("id", "k")
-    left = spark.range(1000).select((F.col("id") % 150).alias("k"))
-    assert fits_broadcast(table, 100) and not fits_broadcast(table, 99)
+def test_large_region_tables_shuffle(spark, data):
+    """Without broadcasts places are met by cell in shuffled joins, and stay right."""
+    q = queries()
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        assert "BroadcastHashJoin" in plan(lookup_join(left, table, ["k"], 100))
-        far = lookup_join(left, table, ["k"], 99)
-        assert "SortMergeJoin" in plan(far)
-    assert far.count() == 1000 and rows(far) == rows(lookup_join(left, table, ["k"]))
+        far = q["location_join"](spark, data)
+        assert "Broadcast" not in plan(far) and "SortMergeJoin" in plan(far)
+        found = rows(far, "id", "province", "city")
+    assert found == rows(q["enrich_location"](spark, data), "id", "province", "city")
+
+
+def test_no_join_input_meets_in_one_task(spark, data):
+    for name in ("gift_points_join", "gift_points_by_anchor", "lookup_by_key", "location_join"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+            found = plan(queries()[name](spark, data))
+        joins = [x for x in found.splitlines() if "SinglePartition" in x]
+        assert not joins, (name, joins)

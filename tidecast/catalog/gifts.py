@@ -18,7 +18,7 @@ rewards AS (SELECT * FROM live WHERE "eventId" = 'liveReward')"""
 
 def rewards_of(raw):
     return gifts.reward_gifts(
-        filters.rewards(inputs.live_events(raw, filters.LIVE_REWARD))
+        filters.rewards(inputs.live_events(raw))
     ).select("id", "anchor_id", "gift_id")
 
 

@@ -25,6 +25,8 @@ PRODUCT_NAMES = {
     "view": "productView",
     "click": "productAddCart",
     "purchase": "productOrder",
+    "signup": "appLaunch",
+    "error": "clientError",
 }
 
 
@@ -48,9 +50,6 @@ def _named(names: dict[str, str]):
     return name
 
 
-VISIT_NAMES = ("liveEnter", "liveLeave")
-
-
 def _numbered(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("event_id").alias("id"),
@@ -61,14 +60,8 @@ def _numbered(raw: DataFrame) -> DataFrame:
     )
 
 
-def live_events(raw: DataFrame, *wanted: str) -> DataFrame:
-    """App launches, room enters and leaves, rewards, from ``events``.
-
-    Given names of events, only their source rows are read.
-    """
-    if wanted:
-        types = [old for old, new in LIVE_NAMES.items() if new in wanted]
-        raw = raw.where(F.col("event_type").isin(*types))
+def live_events(raw: DataFrame) -> DataFrame:
+    """App launches, room enters and leaves, rewards, client errors, from ``events``."""
     k, user = F.col("k"), F.col("user_id")
     anchor = F.when(F.col("event_type") == "purchase", user % 10).otherwise(k % 10)
     return _numbered(raw).select(
@@ -118,19 +111,15 @@ visits AS (
 
 
 def shop_events(raw: DataFrame) -> DataFrame:
-    """Product views, cart additions and orders, from ``events``."""
-    return (
-        _numbered(raw)
-        .where(F.col("event_type").isin(*PRODUCT_NAMES))
-        .select(
-            "id",
-            "timestamp",
-            _named(PRODUCT_NAMES).alias("eventId"),
-            F.create_map(
-                F.lit("categoryId"), (F.col("k") % 10).cast("string"),
-                F.lit("productId"), F.col("k").cast("string"),
-            ).alias("properties"),
-        )
+    """Product views, cart additions, orders and events of other kinds, from ``events``."""
+    return _numbered(raw).select(
+        "id",
+        "timestamp",
+        _named(PRODUCT_NAMES).alias("eventId"),
+        F.create_map(
+            F.lit("categoryId"), (F.col("k") % 10).cast("string"),
+            F.lit("productId"), F.col("k").cast("string"),
+        ).alias("properties"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators import filters
-from ..operators.location import enrich_location
+from ..operators.location import enrich_location, join_locations
 from ..schemas import ACTIVITY_LINE, GROUP_ORDER_LINE, ORDER_DETAIL, ORDER_MAIN
 from ..session import shared_folder
 from ..sources.json_records import parse_cdc, parse_events
@@ -254,18 +254,17 @@ def _location(spark, folder):
 
 @query("location_join", LOCATION_SQL)
 def _location_join(spark, folder):
-    """The form for region tables too large to broadcast, on a finer grid."""
-    placed = enrich_location(
+    """The form for large region tables, on a finer grid."""
+    placed = join_locations(
         _live(spark, folder).select("id", "longitude", "latitude"),
         inputs.regions(spark, folder),
         cell_degrees=2.5,
-        max_broadcast_rows=0,
     )
     return placed.select("id", "longitude", "latitude", "province", "city")
 
 
-def _live(spark, folder, *wanted):
-    return inputs.live_events(inputs.table(spark, folder, "events"), *wanted)
+def _live(spark, folder):
+    return inputs.live_events(inputs.table(spark, folder, "events"))
 
 
 def _where_sql(condition: str) -> str:
@@ -279,7 +278,7 @@ def _columns(df):
 
 @query("filter_app_launch", _where_sql("\"eventId\" = 'appLaunch'"))
 def _app_launch(spark, folder):
-    return _columns(filters.app_launches(_live(spark, folder, filters.APP_LAUNCH)))
+    return _columns(filters.app_launches(_live(spark, folder)))
 
 
 @query("filter_event_prefix", _where_sql("starts_with(\"eventId\", 'live')"))
@@ -289,12 +288,12 @@ def _prefix(spark, folder):
 
 @query("filter_enter_leave", _where_sql("\"eventId\" IN ('liveEnter', 'liveLeave')"))
 def _enter_leave(spark, folder):
-    return _columns(filters.room_visits(_live(spark, folder, *inputs.VISIT_NAMES)))
+    return _columns(filters.room_visits(_live(spark, folder)))
 
 
 @query("filter_reward", _where_sql("\"eventId\" = 'liveReward'"))
 def _reward(spark, folder):
-    return _columns(filters.rewards(_live(spark, folder, filters.LIVE_REWARD)))
+    return _columns(filters.rewards(_live(spark, folder)))
 
 
 @query(
@@ -304,7 +303,7 @@ def _reward(spark, folder):
     WHERE "eventId" = 'appLaunch'""",
 )
 def _project(spark, folder):
-    return filters.app_launches(_live(spark, folder, filters.APP_LAUNCH)).select(
+    return filters.app_launches(_live(spark, folder)).select(
         "deviceType", "isNew", F.lit(1).alias("one")
     )
 

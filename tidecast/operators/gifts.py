@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import lookup_join
+from ..plans.joins import left_join
 
 
 def reward_gifts(reward_events: DataFrame) -> DataFrame:
@@ -28,14 +28,12 @@ def _gift_table(gifts: DataFrame) -> DataFrame:
     )
 
 
-def gift_points(
-    rewards: DataFrame, gifts: DataFrame, max_broadcast_rows: int | None = None
-) -> DataFrame:
+def gift_points(rewards: DataFrame, gifts: DataFrame) -> DataFrame:
     """Each reward with its gift's name and points.
 
     An unknown gift keeps its number as the name and has no points.
     """
-    found = lookup_join(rewards, _gift_table(gifts), ["gift_id"], max_broadcast_rows)
+    found = left_join(rewards, _gift_table(gifts), ["gift_id"])
     return found.withColumn(
         "gift_name", F.coalesce("_name", F.col("gift_id").cast("string"))
     ).drop("_name")
@@ -48,10 +46,8 @@ def points_by(
     return df.groupBy(*keys).agg(F.sum(points).alias("points"))
 
 
-def gift_points_by_anchor(
-    rewards: DataFrame, gifts: DataFrame, max_broadcast_rows: int | None = None
-) -> DataFrame:
+def gift_points_by_anchor(rewards: DataFrame, gifts: DataFrame) -> DataFrame:
     """Points per room. Rewards are counted per room and gift before the join."""
     counted = rewards.groupBy("anchor_id", "gift_id").agg(F.count("*").alias("_n"))
-    found = lookup_join(counted, _gift_table(gifts), ["gift_id"], max_broadcast_rows)
+    found = left_join(counted, _gift_table(gifts), ["gift_id"])
     return points_by(found.withColumn("points", F.col("points") * F.col("_n")))

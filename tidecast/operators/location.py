@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import lookup_join
+from ..plans.joins import left_join
 
 
 def _cell(column: str, cell_degrees: float):
     return F.floor(F.col(column) / F.lit(float(cell_degrees))).cast("int")
 
 
-def enrich_location(
-    events: DataFrame,
-    regions: DataFrame,
-    cell_degrees: float = 10.0,
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Set ``province`` and ``city``; null where no box holds the point.
-
-    ``regions`` has ``lon_min, lon_max, lat_min, lat_max`` (upper bounds
-    exclusive), ``province`` and ``city``. Boxes are laid out on a grid, so the
-    join is on equal cells and not on ranges. A point in several boxes takes the
-    first by province and city; every event appears once.
-    """
+def _laid_out(regions: DataFrame, cell_degrees: float) -> DataFrame:
+    """One row per box and grid cell that it touches."""
     spans = {
         f"_{axis}": F.explode(
             F.sequence(
@@ -37,30 +26,72 @@ def enrich_location(
     laid_out = regions.where("lon_min < lon_max AND lat_min < lat_max")
     for name, cells in spans.items():
         laid_out = laid_out.withColumn(name, cells)
-    # One row per cell: the boxes that touch it.
-    box = F.struct("province", "city", "lon_min", "lon_max", "lat_min", "lat_max")
-    cells = laid_out.groupBy("_lon", "_lat").agg(
-        F.array_sort(F.collect_list(box)).alias("_boxes")
-    )
-    placed = events.withColumns(
+    return laid_out
+
+
+def _in_cells(events: DataFrame, cell_degrees: float) -> DataFrame:
+    return events.withColumns(
         {
             "_lon": _cell("longitude", cell_degrees),
             "_lat": _cell("latitude", cell_degrees),
         }
     )
 
-    def holds(b):
-        return (
-            (F.col("longitude") >= b["lon_min"])
-            & (F.col("longitude") < b["lon_max"])
-            & (F.col("latitude") >= b["lat_min"])
-            & (F.col("latitude") < b["lat_max"])
-        )
 
-    found = lookup_join(placed, cells, ["_lon", "_lat"], max_broadcast_rows)
-    box_of = F.try_element_at(F.filter("_boxes", holds), F.lit(1))
+def _holds(box: Column) -> Column:
+    return (
+        (F.col("longitude") >= box["lon_min"])
+        & (F.col("longitude") < box["lon_max"])
+        & (F.col("latitude") >= box["lat_min"])
+        & (F.col("latitude") < box["lat_max"])
+    )
+
+
+def enrich_location(
+    events: DataFrame,
+    regions: DataFrame,
+    cell_degrees: float = 10.0,
+) -> DataFrame:
+    """Set ``province`` and ``city``; null where no box holds the point.
+
+    ``regions`` has ``lon_min, lon_max, lat_min, lat_max`` (upper bounds
+    exclusive), ``province`` and ``city``. Boxes are laid out on a grid, so the
+    join is on equal cells and not on ranges. A point in several boxes takes the
+    first by province and city; every event appears once.
+    """
+    laid_out = _laid_out(regions, cell_degrees)
+    # One row per cell: the boxes that touch it.
+    box = F.struct("province", "city", "lon_min", "lon_max", "lat_min", "lat_max")
+    cells = laid_out.groupBy("_lon", "_lat").agg(
+        F.array_sort(F.collect_list(box)).alias("_boxes")
+    )
+    placed = _in_cells(events, cell_degrees)
+    found = left_join(placed, cells, ["_lon", "_lat"])
+    box_of = F.try_element_at(F.filter("_boxes", _holds), F.lit(1))
     return (
         found.withColumn("_box", box_of)
         .withColumns({"province": F.col("_box.province"), "city": F.col("_box.city")})
         .drop("_box", "_boxes", "_lon", "_lat")
     )
+
+
+def join_locations(
+    events: DataFrame, regions: DataFrame, key: str = "id", cell_degrees: float = 10.0
+) -> DataFrame:
+    """:func:`enrich_location` for large region tables, on rows that ``key`` names.
+
+    Boxes and events meet by grid cell, one row per cell and box, so no row holds a
+    list however many boxes a cell has. The first box of each event by province and
+    city comes from an aggregate and joins back by ``key``.
+    """
+    box = F.struct("lon_min", "lon_max", "lat_min", "lat_max")
+    boxes = _laid_out(regions, cell_degrees).select(
+        "_lon", "_lat", box.alias("_box"), F.struct("province", "city").alias("_place")
+    )
+    points = _in_cells(events.select(key, "longitude", "latitude"), cell_degrees)
+    met = points.join(boxes, ["_lon", "_lat"]).where(_holds(F.col("_box")))
+    first = met.groupBy(key).agg(F.min("_place").alias("_place"))
+    placed = left_join(events, first, [key])
+    return placed.withColumns(
+        {"province": F.col("_place.province"), "city": F.col("_place.city")}
+    ).drop("_place")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import duration_ms, event_time, floor_ms
 from ..plans.chunks import running_max_before
-from ..plans.joins import left_join, lookup_join
+from ..plans.joins import left_join
 
 WINDOW_START = "windowStart"
 
@@ -109,7 +109,6 @@ def lookup_fill(
     table_key: str = "oid",
     fill: Sequence[str] = ("total_money", "status", "uid", "province"),
     matched: str = "oid",
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Fill the given columns of rows that found no order from the order table.
 
@@ -124,7 +123,7 @@ def lookup_fill(
         *[F.col(c).alias(f"_{c}") for c in fill],
     )
     rows = df.withColumn("_lone", F.col(matched).isNull())
-    found = lookup_join(rows, wanted, [key, "_lone"], max_broadcast_rows)
+    found = left_join(rows, wanted, [key, "_lone"])
     source = (
         F.when(~F.col("_lone"), "joined")
         .when(F.col("_found"), "lookup")

@@ -7,15 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 250_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when the table has at most ``max_rows`` rows; reads no more than that."""
-    limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_key: int) -> DataFrame:
     """Keys with more than ``rows_per_key`` rows.
 
@@ -34,18 +25,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
     A hot key is split while the job runs: adaptive execution cuts a partition
     that is much larger than the others by the tasks that wrote it, and reads the
-    other side's partition once per piece. ``session.prepare`` turns that on.
+    other side's partition once per piece. ``session.prepare`` turns that on. A
+    table whose size is known to be small is broadcast by Spark itself.
     """
     return left.join(right, list(keys), "left")
-
-
-def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Left join to a static table: broadcast while it is small, shuffled beyond."""
-    if fits_broadcast(table, max_broadcast_rows):
-        return rows.join(F.broadcast(table), list(keys), "left")
-    return left_join(rows, table, keys)

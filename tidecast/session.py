@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,11 +61,13 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster shares between its machines.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a session
-    without the setting (a test on one machine) gets a temporary folder.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a session on one
+    machine may go without the setting and gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
         base = tempfile.mkdtemp(prefix="tidecast-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
