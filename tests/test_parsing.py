@@ -6,7 +6,7 @@ import datetime as dt
 
 from conftest import rows
 from tidecast.operators import filters, gifts
-from tidecast.operators.location import enrich_location
+from tidecast.operators.location import enrich_location, join_locations
 from tidecast.schemas import EVENT, GIFT, ORDER_DETAIL, ORDER_MAIN
 from tidecast.sources.dimension import changed_since, conform, latest_dimension
 from tidecast.sources.json_records import parse_cdc, parse_events
@@ -138,15 +138,14 @@ def test_gift_points(spark):
         "id int, anchor_id string, gift_id int",
     )
     live = latest_dimension(gift_changes(spark))
-    for limit in (None, 0):
-        got = gifts.gift_points(rewards, live, limit)
-        assert rows(got, "id", "gift_name", "points") == [
-            (1, "rose", 2.0), (2, "rose", 2.0), (3, "2", None), (4, "2", None),
-            (5, "cup", 6.0),
-        ]
-        want = [("a", 4.0), ("b", None), ("c", 6.0)]
-        assert rows(gifts.points_by(got)) == want
-        assert rows(gifts.gift_points_by_anchor(rewards, live, limit)) == want
+    got = gifts.gift_points(rewards, live)
+    assert rows(got, "id", "gift_name", "points") == [
+        (1, "rose", 2.0), (2, "rose", 2.0), (3, "2", None), (4, "2", None),
+        (5, "cup", 6.0),
+    ]
+    want = [("a", 4.0), ("b", None), ("c", 6.0)]
+    assert rows(gifts.points_by(got)) == want
+    assert rows(gifts.gift_points_by_anchor(rewards, live)) == want
 
 
 def test_location(spark):
@@ -173,8 +172,8 @@ def test_location(spark):
         (5, None), (6, "south"), (7, None), (8, "border"),
     ]
     for cell in (10.0, 3.0, 100.0):
-        for limit in (None, 0):
-            got = enrich_location(events, regions, cell, limit)
+        for place in (enrich_location, join_locations):
+            got = place(events, regions, cell_degrees=cell)
             assert rows(got, "id", "province") == want
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from ..streaming.runs import stream_files
 
 DAY = 86_400_000
@@ -34,9 +35,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The time column by which a table's rows arrive.
+ARRIVES_BY = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+BATCHES = 4
+_portions: dict[tuple[str, str, str], str] = {}
+
+
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    like = table(spark, folder, name)
-    return stream_files(spark, like, folder, f"{name}.parquet")
+    """A table's rows as a stream of ``BATCHES`` micro-batches in order of time.
+
+    The portions are files in the shared folder, written once per application. Within
+    a portion the rows are in no order.
+    """
+    key = (spark.sparkContext.applicationId, folder, name)
+    rows = table(spark, folder, name)
+    if key not in _portions:
+        path = shared_folder(spark, f"arriving-{name}")
+        at = millis(ARRIVES_BY[name])
+        shares = [i / BATCHES for i in range(1, BATCHES)]
+        cuts = rows.agg(F.percentile_approx(at, shares, 1000)).first()[0] or []
+        portion = sum(((at > cut).cast("int") for cut in cuts), F.lit(0))
+        for number in range(BATCHES):
+            part = rows.where(portion == number).coalesce(1)
+            part.write.mode("append").parquet(path)
+        _portions[key] = path
+    return stream_files(spark, rows, _portions[key], "*.parquet", 1)
 
 
 def millis(column: str):
@@ -135,7 +158,10 @@ shop AS (
 
 
 def raw_records(raw: DataFrame) -> DataFrame:
-    """Kafka-shaped records with one JSON event each; client errors are cut short."""
+    """Kafka-shaped records with one JSON event each.
+
+    White space stands around some; client errors are cut short, or have text behind.
+    """
     e = _numbered(raw)
     text = F.concat(
         F.lit('{"deviceId":"'), F.col("user_id"),
@@ -145,7 +171,13 @@ def raw_records(raw: DataFrame) -> DataFrame:
         F.lit(',"properties":{"anchor_id":"'), F.col("k") % 10,
         F.lit('","gift_id":'), F.col("k"), F.lit("}}"),
     )
-    cut = F.substring(text, 1, 20)
+    cut = F.when(F.col("id") % 2 == 0, F.substring(text, 1, 20)).otherwise(
+        F.concat(text, F.lit(" junk}"))
+    )
+    ends = F.element_at(
+        F.array(*[F.lit(x) for x in ("", "\n", "\r\n", " \t")]), (F.col("id") % 4 + 1).cast("int")
+    )
+    text = F.concat(F.when(F.col("id") % 3 == 0, "\t").otherwise(""), text, ends)
     return e.select(
         F.lit("live").alias("topic"),
         (F.col("id") % 3).cast("int").alias("partition"),
@@ -169,7 +201,11 @@ texts AS (
   FROM ev),
 records AS (
   SELECT 'live-' || (id % 3) || '-' || id AS id, event_type,
-         CASE WHEN event_type = 'error' THEN substr(text, 1, 20) ELSE text END AS value
+         CASE WHEN event_type <> 'error' THEN
+                CASE WHEN id % 3 = 0 THEN chr(9) ELSE '' END || text ||
+                CASE id % 4 WHEN 1 THEN chr(10) WHEN 2 THEN chr(13) || chr(10)
+                            WHEN 3 THEN ' ' || chr(9) ELSE '' END
+              WHEN id % 2 = 0 THEN substr(text, 1, 20) ELSE text || ' junk}' END AS value
   FROM texts)"""
 )
 

@@ -6,12 +6,18 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_text, hour_text
 from ..operators import filters
-from ..operators.audience import audience_snapshot, visit_detail
+from ..operators.audience import (
+    audience_snapshot,
+    snapshot_from_increments,
+    snapshot_increments,
+    visit_detail,
+)
 from ..operators.location import enrich_location
 from ..session import shared_folder
 from ..schemas import TEST_LINE
 from ..sinks import tables
 from ..sources.records import parse_delimited
+from ..streaming.processors import flag_first_enters_stream
 from ..streaming.runs import finish
 from . import inputs
 from .audience import _snapshot_sql
@@ -154,38 +160,32 @@ def _keyed_snapshot(spark, folder):
 @query(
     "sink_multi",
     f"""WITH details AS ({DETAIL_SQL}), states AS ({SNAPSHOT_SQL})
-    SELECT 'detail' AS output, anchor_id AS key, count(*) AS rows
-    FROM details GROUP BY anchor_id
-    UNION ALL SELECT 'snapshot', split_part(key, '_', 1), count(*) FROM states
-    GROUP BY split_part(key, '_', 1)""",
+    SELECT 'detail' AS output, anchor_id || '-' || id AS key, date || hour AS value FROM details
+    UNION ALL SELECT 'snapshot', key, value FROM states""",
 )
 def _multi(spark, folder):
-    """Detail and snapshot from one pass over each batch."""
+    """Detail and snapshot from one pass over each batch; snapshots add up over batches."""
     path = shared_folder(spark, "multi")
     visits = filters.room_visits(_event_stream(spark, folder))
-
-    def snapshot(batch):
-        return tables.snapshot_pairs(audience_snapshot(batch, every="6 hours"))
+    flagged = flag_first_enters_stream(visits)
 
     def detail(batch):
         return visit_detail(batch).select("id", "anchor_id", "date", "hour")
 
+    def increments(batch):
+        return snapshot_increments(batch, every="6 hours")
+
     writer = tables.multi_writer(
-        (detail, tables.table_writer(f"{path}/detail", partition_by=("date", "hour"))),
-        (snapshot, tables.table_writer(f"{path}/snapshot")),
+        (detail, tables.table_writer(f"{path}/detail")),
+        (increments, tables.table_writer(f"{path}/increments")),
     )
-    _run(visits, writer, path)
-    empty = spark.createDataFrame([], visits.schema)
+    _run(flagged, writer, path)
+    empty = spark.createDataFrame([], flagged.schema)
     details = tables.read_table(spark, f"{path}/detail", detail(empty).schema)
-    states = tables.latest_snapshot(
-        tables.read_table(spark, f"{path}/snapshot", snapshot(empty).schema)
-    )
-    counted = details.groupBy(F.col("anchor_id").alias("key")).agg(
-        F.count("*").alias("rows")
-    )
-    rooms = states.groupBy(F.split("key", "_")[0].alias("key")).agg(
-        F.count("*").alias("rows")
-    )
-    return counted.select(F.lit("detail").alias("output"), "key", "rows").unionByName(
-        rooms.select(F.lit("snapshot").alias("output"), "key", "rows")
-    )
+    added = tables.read_table(spark, f"{path}/increments", increments(empty).schema)
+    states = tables.latest_snapshot(tables.snapshot_pairs(snapshot_from_increments(added)))
+    return details.select(
+        F.lit("detail").alias("output"),
+        F.concat_ws("-", "anchor_id", "id").alias("key"),
+        F.concat("date", "hour").alias("value"),
+    ).unionByName(states.select(F.lit("snapshot").alias("output"), "key", "value"))

@@ -25,7 +25,16 @@ from .products import (
     top_sql,
 )
 from .registry import query
-from .users import COUNT_NEW_SQL, IS_NEW_SQL, LAUNCHES_SQL, RUNNING_SUM_SQL, category_rows
+from .users import (
+    ACTIVITY_SQL,
+    COUNT_NEW_SQL,
+    IS_NEW_SQL,
+    LAUNCHES_SQL,
+    RUNNING_SUM_SQL,
+    activity_rows,
+    activity_rows_of,
+    category_rows,
+)
 
 
 def _events(spark, folder):
@@ -51,6 +60,65 @@ def _users(spark, folder):
     return tables.latest_by(table, keys, ["batch"]).drop("batch")
 
 
+@query(
+    "stream_users_total_by_is_new",
+    f"""WITH {LAUNCHES_SQL} SELECT "isNew", count(*) AS users FROM launches GROUP BY ALL""",
+)
+def _users_total(spark, folder):
+    """Both levels: batches write the counts they changed, totals add the newest of each."""
+    keys = ["deviceType", "isNew"]
+    counts = users.count_users(_launches(spark, folder, *keys), keys)
+    table = batches_to_table(counts, "stream-totals", output_mode="update")
+    return users.total_users(tables.latest_by(table, keys, ["batch"]).drop("batch"))
+
+
+@query(
+    "stream_activity_pv_uv",
+    f"""WITH {ACTIVITY_SQL}
+    SELECT activity, event, count(DISTINCT uid) AS uv, count(*) AS pv
+    FROM activity_rows GROUP BY ALL""",
+)
+def _activity(spark, folder):
+    """Batches add visits and first visits; state is spread over users."""
+    rows = activity_rows_of(inputs.table_stream(spark, folder, "events"))
+    flagged = processors.flag_first_seen_stream(rows, "uid", ("activity", "event"))
+    increments = batches_to_table(
+        flagged,
+        "stream-activity",
+        shape=lambda batch: batch.groupBy("activity", "event").agg(
+            F.sum("isN").alias("uv"), F.count("*").alias("pv")
+        ),
+    )
+    return increments.groupBy("activity", "event").agg(
+        F.sum("uv").alias("uv"), F.sum("pv").alias("pv")
+    )
+
+
+@query(
+    "stream_activity_pv_uv_approx",
+    f"""WITH {ACTIVITY_SQL}
+    SELECT activity, event, count(*) AS pv, true AS uv_within_tenth
+    FROM activity_rows GROUP BY ALL""",
+)
+def _activity_approx(spark, folder):
+    """A sketch per batch and key; sketches of all batches are merged on reading."""
+    keys = ["activity", "event"]
+    rows = activity_rows_of(inputs.table_stream(spark, folder, "events"))
+    sketches = batches_to_table(
+        rows,
+        "stream-activity-approx",
+        shape=lambda batch: batch.groupBy(*keys).agg(
+            F.hll_sketch_agg("uid").alias("sketch"), F.count("*").alias("pv")
+        ),
+    )
+    merged = sketches.groupBy(*keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("uv"), F.sum("pv").alias("pv")
+    )
+    exact = users.pv_uv(activity_rows(spark, folder)).select(*keys, F.col("uv").alias("exact"))
+    close = F.abs(F.col("uv") - F.col("exact")) <= 0.1 * F.col("exact")
+    return merged.join(exact, keys).select(*keys, "pv", close.alias("uv_within_tenth"))
+
+
 @query("stream_is_new_user_by_device_type", IS_NEW_SQL)
 def _is_new(spark, folder):
     flagged = processors.flag_first_seen_stream(
@@ -74,6 +142,35 @@ def _audience(spark, folder):
     return append_to_table(counted, "stream-audience")
 
 
+TTL_HOURS = 6
+TTL_SQL = f"""WITH {inputs.VISITS_SQL},
+    marks AS (
+      SELECT *, CASE WHEN entered = 1 AND coalesce("timestamp" - lag("timestamp") OVER (
+                   PARTITION BY anchor_id, "deviceId", entered ORDER BY "timestamp", id)
+                   >= {TTL_HOURS * 3_600_000}, true) THEN 1 ELSE 0 END AS first_visit,
+             CASE WHEN "timestamp" - lag("timestamp") OVER (
+                   PARTITION BY anchor_id ORDER BY "timestamp", id) >= {TTL_HOURS * 3_600_000}
+             THEN 1 ELSE 0 END AS starts
+      FROM visits),
+    lives AS (
+      SELECT *, sum(starts) OVER (PARTITION BY anchor_id ORDER BY "timestamp", id
+                                  ROWS UNBOUNDED PRECEDING) AS life
+      FROM marks)
+    SELECT id, "timestamp", anchor_id, CAST(sum(first_visit) OVER w AS BIGINT) AS uv,
+           CAST(sum(entered) OVER w AS BIGINT) AS pv,
+           CAST(sum(2 * entered - 1) OVER w AS BIGINT) AS online
+    FROM lives
+    WINDOW w AS (PARTITION BY anchor_id, life ORDER BY "timestamp", id ROWS UNBOUNDED PRECEDING)"""
+
+
+@query("stream_audience_ttl", TTL_SQL)
+def _audience_ttl(spark, folder):
+    """With the default lifetime; rooms and devices are forgotten by event time."""
+    visits = filters.room_visits(_events(spark, folder))
+    counted = processors.audience_stream(visits, floor_at_zero=False, ttl_hours=TTL_HOURS)
+    return append_to_table(counted, "stream-audience-ttl")
+
+
 @query("stream_audience_snapshot", _snapshot_sql("running", "s", inputs.DAY // 4))
 def _snapshot(spark, folder):
     """Batches add their increments to a table; its sums are the rooms' states."""
@@ -104,6 +201,23 @@ def _popularity(spark, folder):
     return table.groupBy("anchor_id").agg(F.count("*").alias("popularity"))
 
 
+@query(
+    "stream_popularity_entries",
+    f"""WITH {entries_sql(inputs.DAY // 4, 3 * inputs.DAY)}
+    SELECT e.anchor_id, e."deviceId", e."timestamp", 'live-' || e.id AS id
+    FROM entries e JOIN sides s USING (id)
+    WHERE s.n IS NOT NULL
+       OR e."timestamp" + {inputs.DAY // 4} <= (SELECT max("timestamp") FROM visits) - 5000""",
+)
+def _popular_entries(spark, folder):
+    """The entries themselves, under text ids as records have them."""
+    visits = filters.room_visits(_events(spark, folder)).withColumn(
+        "id", F.concat(F.lit("live-"), "id")
+    )
+    entries = processors.popular_entries_stream(visits, "6 hours", "3 days")
+    return append_to_table(entries, "stream-entries")
+
+
 @query("stream_category_running_sum", RUNNING_SUM_SQL)
 def _running_sum(spark, folder):
     rows = category_rows(inputs.table_stream(spark, folder, "events"))

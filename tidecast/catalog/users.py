@@ -139,8 +139,12 @@ activity_rows AS (
 
 
 def activity_rows(spark, folder):
+    return activity_rows_of(inputs.table(spark, folder, "events"))
+
+
+def activity_rows_of(raw):
     k = F.get_json_object("props", "$.k").cast("int")
-    return inputs.table(spark, folder, "events").select(
+    return raw.select(
         F.col("event_id").alias("id"),
         inputs.millis("ts").alias("timestamp"),
         F.col("user_id").cast("string").alias("uid"),

@@ -151,8 +151,9 @@ def multi_writer(*writers: tuple[Callable[[DataFrame], DataFrame], BatchWriter])
     return write
 
 
-def console(stream: DataFrame, rows: int = 20):
-    """A writer that prints each micro-batch."""
-    return stream.writeStream.format("console").option("numRows", rows).option(
+def console(stream: DataFrame, rows: int | None = None):
+    """A writer that prints each micro-batch, all of it unless ``rows`` is given."""
+    most = 2**31 - 1 if rows is None else rows
+    return stream.writeStream.format("console").option("numRows", most).option(
         "truncate", "false"
     )

@@ -15,25 +15,26 @@ from pyspark.sql import types as T
 
 from ..schemas import EVENT, EVENT_ZERO_DEFAULTS
 
-CORRUPT = "_corrupt"
-OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-    "allowUnquotedFieldNames": "true",
-}
+OPTIONS = {"mode": "PERMISSIVE", "allowUnquotedFieldNames": "true"}
 CHANGE_TYPES = ("INSERT", "UPDATE", "DELETE")
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
-    kept = T.MapType
-    return T.StructType(
-        [
-            T.StructField(
-                f.name, f.dataType if isinstance(f.dataType, kept) else T.StringType()
-            )
-            for f in schema.fields
-        ]
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def _sole_object(raw: DataFrame, value: str, schema: T.StructType, out: str) -> DataFrame:
+    """Add the record's one JSON object as ``out``; drop records that are anything else.
+
+    White space around the object does not matter. The reader would stop at the
+    object's end, so the text is read as an array's inside, where only one object and
+    nothing behind it is allowed.
+    """
+    inside = F.from_json(
+        F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(schema), OPTIONS
     )
+    found = raw.withColumn(out, _once(inside)).where(F.size(out) == 1)
+    return found.withColumn(out, F.get(out, F.lit(0))).where(F.col(out).isNotNull())
 
 
 def _once(struct: Column) -> Column:
@@ -43,12 +44,14 @@ def _once(struct: Column) -> Column:
 
 
 def _is_text(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.StringType, T.MapType))
+    return isinstance(kind, T.StringType)
 
 
 def _typed(raw: Column, kind: T.DataType) -> Column:
     if _is_text(kind):
         return raw
+    if isinstance(kind, T.MapType):
+        return F.from_json(raw, kind, OPTIONS)
     if isinstance(kind, T.TimestampType):
         millis = F.timestamp_millis(raw.try_cast("bigint"))
         return F.coalesce(millis, raw.try_cast("timestamp"))
@@ -84,15 +87,7 @@ def parse_events(
     raw: DataFrame, value: str = "value", id_column: str | None = None
 ) -> DataFrame:
     """JSON text to event rows; ``id_column`` names the record's id, if it has one."""
-    text = _as_text(EVENT).add(CORRUPT, T.StringType())
-    # The JSON reader stops at the closing brace; text after it is malformed.
-    braced = F.trim(value).startswith("{") & F.trim(value).endswith("}")
-    read = raw.where(braced).withColumn(
-        "_event", _once(F.from_json(value, text, OPTIONS))
-    )
-    whole = read.where(
-        F.col("_event").isNotNull() & F.col(f"_event.{CORRUPT}").isNull()
-    )
+    whole = _sole_object(raw, value, _as_text(EVENT), "_event")
     kept = [id_column] if id_column else []
     names = [n for n in EVENT.names if n != "id" or not id_column]
     events = _typed_rows(whole.select(*kept, "_event"), "_event", EVENT).select(
@@ -114,12 +109,10 @@ def parse_cdc(
         [
             T.StructField("type", T.StringType()),
             T.StructField("data", T.ArrayType(_as_text(item_schema))),
-            T.StructField(CORRUPT, T.StringType()),
         ]
     )
     items = (
-        raw.select(_once(F.from_json(value, envelope, OPTIONS)).alias("_message"))
-        .where(F.col(f"_message.{CORRUPT}").isNull())
+        _sole_object(raw.select(value), value, envelope, "_message")
         .where(F.col("_message.type").isin(*ops))
         .select(
             F.explode("_message.data").alias("_item"),

@@ -23,6 +23,7 @@ from pyspark.sql.streaming.stateful_processor import (
 from ..functions.columns import date_text, duration_ms, event_time
 
 STATE_TTL_HOURS = 6
+FOREVER = 2**63 - 1
 
 # Processors travel to the executors with their code, so that the package need
 # not be installed there.
@@ -37,26 +38,31 @@ def _ttl(hours: float | None) -> int | None:
     return None if hours is None else int(hours * 3_600_000)
 
 
-def _time_mode(hours: float | None) -> str:
-    # State with a lifetime runs on the clock of the machines.
-    return "None" if hours is None else "ProcessingTime"
+class FirstSeen(StatefulProcessor):
+    """Sets ``isN`` to 1 on a key's first row and to 0 on the others.
 
+    With a lifetime a key is forgotten that long after its latest row, by the rows'
+    own time: the mark holds the time up to which it counts. No row is dropped for
+    being old, and a replay gives the same marks on any day.
+    """
 
-class FirstSeen(StatefulProcessor):
-    """Sets ``isN`` to 1 on a key's first row and to 0 on the others."""
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.seen = handle.getValueState("seen", "until bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        is_new = not self.seen.exists()
-        if is_new:
-            self.seen.update((True,))
+        until = self.seen.get()[0] if self.seen.exists() else None
         for row in _in_order(rows):
             values = row.asDict()
-            values["isN"] = int(is_new)
-            is_new = False
+            at = row["timestamp"]
+            new = until is None or (self.ttl_ms is not None and at >= until)
+            values["isN"] = int(new)
+            end = FOREVER if self.ttl_ms is None else at + self.ttl_ms
+            until = end if until is None else max(until, end)
             yield Row(**values)
+        self.seen.update((until,))
 
     def close(self) -> None:
         pass
@@ -84,8 +90,9 @@ class CountNew(StatefulProcessor):
 class Audience(StatefulProcessor):
     """Running uv, pv and people online of one room, one row per visit.
 
-    Rows with ``newcomer`` set are not visits. They name the devices that enter
-    the room for the first time in this micro-batch.
+    ``isN`` of a visit marks a device's first enter. With a lifetime the counters start
+    again once a visit comes that long after the room's latest one, by the visits' own
+    time.
     """
 
     def __init__(self, floor_at_zero: bool, ttl_ms: int | None) -> None:
@@ -94,33 +101,31 @@ class Audience(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getValueState(
-            "counts", "uv bigint, pv bigint, online bigint", self.ttl_ms
+            "counts", "uv bigint, pv bigint, online bigint, until bigint"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        uv, pv, online = self.counts.get() if self.counts.exists() else (0, 0, 0)
-        newcomers, visits = set(), []
-        for row in rows:
-            if row["newcomer"]:
-                newcomers.add(row["deviceId"])
-            else:
-                visits.append(row)
-        for row in _in_order(visits):
+        state = self.counts.get() if self.counts.exists() else (0, 0, 0, None)
+        uv, pv, online, until = state
+        for row in _in_order(rows):
+            at = row["timestamp"]
+            if until is not None and at >= until:
+                uv = pv = online = 0
             if row["entered"]:
-                if row["deviceId"] in newcomers:
-                    newcomers.remove(row["deviceId"])
-                    uv += 1
+                uv += row["isN"]
                 pv += 1
                 online += 1
             else:
                 online -= 1
                 if self.floor_at_zero:
                     online = max(online, 0)
+            end = FOREVER if self.ttl_ms is None else at + self.ttl_ms
+            until = end if until is None else max(until, end)
             yield Row(
-                id=row["id"], timestamp=row["timestamp"], anchor_id=key[0],
+                id=row["id"], timestamp=at, anchor_id=key[0],
                 uv=uv, pv=pv, online=online,
             )
-        self.counts.update((uv, pv, online))
+        self.counts.update((uv, pv, online, until))
 
     def close(self) -> None:
         pass
@@ -145,7 +150,8 @@ class AudienceTimer(Audience):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        uv, pv, online = self.counts.get() if self.counts.exists() else (0, 0, 0)
+        state = self.counts.get() if self.counts.exists() else (0, 0, 0, None)
+        uv, pv, online, _ = state
         yield Row(
             anchor_id=key[0],
             fired_at=expiredTimerInfo.getExpiryTimeInMs(),
@@ -160,7 +166,10 @@ class Popularity(StatefulProcessor):
     that cancels it; a later leave or the timer confirms it.
     """
 
-    def __init__(self, min_stay_ms: int, revisit_gap_ms: int) -> None:
+    def __init__(
+        self, min_stay_ms: int, revisit_gap_ms: int, id_type: str = "bigint"
+    ) -> None:
+        self.id_type = id_type
         self.min_stay_ms = min_stay_ms
         self.revisit_gap_ms = revisit_gap_ms
 
@@ -168,19 +177,19 @@ class Popularity(StatefulProcessor):
         self.handle = handle
         # The last leave and the waiting enters' times and ids.
         self.state = handle.getValueState(
-            "visitor", "left bigint, ats array<bigint>, ids array<bigint>"
+            "visitor", f"left bigint, ats array<bigint>, ids array<{self.id_type}>"
         )
 
-    def _load(self) -> tuple[int | None, list[tuple[int, int]]]:
+    def _load(self) -> tuple[int | None, list[tuple[int, Any]]]:
         state = self.state.get() if self.state.exists() else None
         if state is None:
             return None, []
         return state[0], list(zip(state[1], state[2]))
 
-    def _save(self, left: int | None, waiting: list[tuple[int, int]]) -> None:
+    def _save(self, left: int | None, waiting: list[tuple[int, Any]]) -> None:
         self.state.update((left, [w[0] for w in waiting], [w[1] for w in waiting]))
 
-    def _counted(self, key: Any, enters: list[tuple[int, int]]) -> Iterator[Row]:
+    def _counted(self, key: Any, enters: list[tuple[int, Any]]) -> Iterator[Row]:
         for at, row_id in enters:
             yield Row(anchor_id=key[0], deviceId=key[1], timestamp=at, id=row_id)
 
@@ -239,12 +248,15 @@ def _with_column(schema: T.StructType, name: str) -> T.StructType:
 
 
 def flag_first_seen_stream(
-    df: DataFrame, user: str = "deviceId", scope: tuple[str, ...] = ("deviceType",)
+    df: DataFrame,
+    user: str = "deviceId",
+    scope: tuple[str, ...] = ("deviceType",),
+    ttl_hours: float | None = None,
 ) -> DataFrame:
     """Streaming :func:`users.flag_first_seen`: the first row to arrive is new."""
     rows = df.drop("isN")
     return rows.groupBy(*scope, user).transformWithState(
-        FirstSeen(), _with_column(rows.schema, "isN"), "Append", "None"
+        FirstSeen(_ttl(ttl_hours)), _with_column(rows.schema, "isN"), "Append", "None"
     )
 
 
@@ -258,45 +270,26 @@ def count_first_seen_stream(
     )
 
 
-def _with_newcomers(visits: DataFrame, ttl_hours: float | None) -> DataFrame:
-    """Visits plus one ``newcomer`` row when a device first enters a room.
-
-    The devices are remembered by Spark's own de-duplication, spread over room
-    and device; only the counters are kept per room.
-    """
-    rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
-    enters = rows.where("entered = 1")
-    who = ["anchor_id", "deviceId"]
-    if ttl_hours is None:
-        first = enters.dropDuplicates(who)
-    else:
-        first = (
-            enters.withColumn("_ts", event_time("timestamp"))
-            .withWatermark("_ts", f"{_ttl(ttl_hours)} milliseconds")
-            .dropDuplicatesWithinWatermark(who)
-            .drop("_ts")
-        )
-    return rows.withColumn("newcomer", F.lit(False)).unionByName(
-        first.withColumn("newcomer", F.lit(True))
-    )
-
-
 def audience_stream(
     visits: DataFrame,
     floor_at_zero: bool = True,
     ttl_hours: float | None = STATE_TTL_HOURS,
 ) -> DataFrame:
-    """Streaming :func:`audience.audience`, with state forgotten after ``ttl_hours``."""
+    """Streaming :func:`audience.audience`, with state forgotten after ``ttl_hours``.
+
+    Devices are remembered per room and device, only the counters per room. Both go by
+    the visits' own time.
+    """
     id_type = visits.schema["id"].dataType.simpleString()
     return (
-        _with_newcomers(visits, ttl_hours)
+        flag_first_enters_stream(visits, ttl_hours)
         .groupBy("anchor_id")
         .transformWithState(
             Audience(floor_at_zero, _ttl(ttl_hours)),
             f"id {id_type}, timestamp bigint, anchor_id string,"
             " uv bigint, pv bigint, online bigint",
             "Append",
-            _time_mode(ttl_hours),
+            "None",
         )
     )
 
@@ -308,7 +301,7 @@ def audience_timer_stream(
     tz: str | None = None,
 ) -> DataFrame:
     """Room state on a wall-clock timer, with the key the snapshot table uses."""
-    rows = _with_newcomers(visits, ttl_hours)
+    rows = flag_first_enters_stream(visits, ttl_hours)
     states = rows.groupBy("anchor_id").transformWithState(
         AudienceTimer(duration_ms(every), _ttl(ttl_hours)),
         "anchor_id string, fired_at bigint, uv bigint, pv bigint, online bigint",
@@ -325,14 +318,16 @@ def audience_timer_stream(
     )
 
 
-def flag_first_enters_stream(visits: DataFrame) -> DataFrame:
+def flag_first_enters_stream(
+    visits: DataFrame, ttl_hours: float | None = None
+) -> DataFrame:
     """Visits with ``isN`` 1 on each device's first enter of a room.
 
     State is spread over devices, so a crowded room is not one task. Feeds
     :func:`audience.snapshot_increments`.
     """
     rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
-    return flag_first_seen_stream(rows, "deviceId", ("anchor_id", "entered"))
+    return flag_first_seen_stream(rows, "deviceId", ("anchor_id", "entered"), ttl_hours)
 
 
 def popular_entries_stream(
@@ -342,14 +337,15 @@ def popular_entries_stream(
     delay: str | int = "5 seconds",
 ) -> DataFrame:
     """Streaming :func:`popularity.popular_entries`, on event time."""
+    id_type = visits.schema["id"].dataType.simpleString()
     rows = (
         visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
         .withColumn("_ts", event_time("timestamp"))
         .withWatermark("_ts", f"{duration_ms(delay)} milliseconds")
     )
     return rows.groupBy("anchor_id", "deviceId").transformWithState(
-        Popularity(duration_ms(min_stay), duration_ms(revisit_gap)),
-        "anchor_id string, deviceId string, timestamp bigint, id bigint",
+        Popularity(duration_ms(min_stay), duration_ms(revisit_gap), id_type),
+        f"anchor_id string, deviceId string, timestamp bigint, id {id_type}",
         "Append",
         "EventTime",
     )
@@ -358,9 +354,10 @@ def popular_entries_stream(
 def running_sum_stream(df: DataFrame) -> DataFrame:
     """Streaming :func:`totals.running_sum` of ``quantity`` by ``category``."""
     rows = df.select("category", "quantity", "timestamp", "id")
+    id_type = rows.schema["id"].dataType.simpleString()
     return rows.groupBy("category").transformWithState(
         RunningSum(),
-        "category string, timestamp bigint, id bigint, total bigint",
+        f"category string, timestamp bigint, id {id_type}, total bigint",
         "Append",
         "None",
     )
