@@ -146,6 +146,7 @@ def test_room_detail_and_snapshot(spark, records, regions, run, tmp_path):
 def test_room_popularity(records, run):
     got = run(lambda w: jobs.room_popularity(records(), w))
     assert rows(got, "anchor_id", "deviceId") == [("a", "d1")]
+    assert all(isinstance(r["id"], str) and r["id"] for r in got.collect())
 
 
 def test_reward_points(spark, records, run):

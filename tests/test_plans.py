@@ -177,3 +177,16 @@ def test_no_join_input_meets_in_one_task(spark, data):
             found = plan(queries()[name](spark, data))
         joins = [x for x in found.splitlines() if "SinglePartition" in x]
         assert not joins, (name, joins)
+
+
+@pytest.mark.parametrize("instant", ["5", "null"])
+def test_crowded_instants_are_cut_by_text_ids(spark, instant):
+    df = spark.range(40_000).select(
+        F.expr(f"CAST({instant} AS BIGINT)").alias("timestamp"),
+        F.format_string("live-%d-%06d", F.col("id") % 3, F.col("id")).alias("id"),
+    )
+    cut = split_chunks(df, ["timestamp", "id"], 1000)
+    sizes = cut.groupBy(CHUNK).agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    found = sizes.orderBy(CHUNK).collect()
+    assert max(r["n"] for r in found) < 3000
+    assert all(x["b"] < y["a"] for x, y in zip(found, found[1:]))

@@ -326,3 +326,52 @@ def test_console(spark, sample, tmp_path):
     _, df, path = sample
     query = tables.console(stream(spark, path, df.schema, 10))
     finish(query, str(tmp_path / "checkpoint"))
+
+
+def test_late_enters_count_and_lifetimes_go_by_event_time(spark, tmp_path):
+    """An enter hours behind the newest one is not lost; a device counts anew after the
+    lifetime, and a room's counters start again after it."""
+    hour = 3_600_000
+    schema = "anchor_id string, deviceId string, timestamp bigint, id bigint, entered int"
+    batches = [
+        [("a", "x", 100 * hour, 1, 1)],
+        [("a", "y", 101 * hour, 2, 1)],
+        [("a", "z", 90 * hour, 3, 1), ("a", "x", 105 * hour, 4, 1)],
+        [("a", "x", 112 * hour, 5, 1), ("a", "y", 112 * hour, 6, 0)],
+    ]
+    path = str(tmp_path / "in")
+    for part in batches:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    got = append_to_table(
+        processors.audience_stream(stream(spark, path, schema), False, ttl_hours=6), "t"
+    )
+    assert rows(got, "id", "uv", "pv", "online") == [
+        (1, 1, 1, 1), (2, 2, 2, 2), (3, 3, 3, 3), (4, 3, 4, 4), (5, 1, 1, 1), (6, 1, 1, 0),
+    ]
+
+
+def test_table_of_another_checkpoint_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(3)
+    write = tables.table_writer(path)
+    write(df, 0)
+    write(df, 1)
+    with pytest.raises(ValueError):
+        tables.table_writer(path)(df, 0)
+    tables.table_writer(path)(df, 2)
+
+
+def test_polls_read_only_changes(spark, tmp_path):
+    from tidecast.sources.dimension import PolledDimension
+
+    rows_ = [(1, "a", 0, 1), (2, "b", 0, 2), (1, "c", 0, 3), (2, "b", 1, 4), (3, "d", 0, 5)]
+    table = spark.createDataFrame(rows_, "id int, name string, deleted int, updateTime bigint")
+    want = {2: [(1, "a"), (2, "b")], 3: [(1, "c"), (2, "b")], 5: [(1, "c"), (3, "d")]}
+    for upto, live in want.items():
+        # A new object each time: the mark is in the table.
+        polled = PolledDimension(spark, str(tmp_path / "p"), table.schema)
+        assert rows(polled.poll(lambda: table.where(F.col("updateTime") <= upto)), "id", "name") == live
+    seen = []
+    polled.poll(lambda: seen.append(1) or table)
+    assert rows(polled.live(), "id", "name") == want[5] and seen

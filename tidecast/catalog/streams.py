@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from ..operators import audience, filters, gifts, orders, products, users
 from ..session import shared_folder
 from ..sinks import tables
-from ..sources.dimension import with_fresh_dimension
+from ..sources.dimension import PolledDimension, with_fresh_dimension
 from ..streaming import processors
 from ..streaming.late import late_splitter
+from ..streaming.orders import order_matcher, tagged
 from ..streaming.runs import append_to_table, batches_to_table, finish
 from . import inputs
 from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
+from .orders import DELAY, DELAY_MS, order_table
 from .gifts import GIFT_POINTS_SQL, live_gifts, rewards_of
 from .products import (
     SIZE,
@@ -285,6 +287,62 @@ def _order_join(spark, folder):
     return append_to_table(joined.select(*columns.split()), "stream-orders")
 
 
+# Rows of both sides come in four portions of the time in which details arrive.
+PORTION_SQL = "least(3, greatest(0, ({time} - lo) * 4 // (hi - lo + 1)))"
+STREAM_FILL_SQL = f"""WITH {inputs.ORDERS_SQL},
+    span AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM details),
+    dp AS (SELECT d.*, {PORTION_SQL.format(time="arrival")} AS p FROM details d, span),
+    mp AS (SELECT m.*, {PORTION_SQL.format(time="main_update_ms")} AS p FROM mains m, span),
+    tops AS (
+      SELECT p, least((SELECT max(update_ms) FROM dp WHERE dp.p <= t.p),
+                      (SELECT max(main_update_ms) FROM mp WHERE mp.p <= t.p)) - {DELAY_MS} AS wm
+      FROM range(0, 4) t(p)),
+    marked AS (
+      SELECT dp.*, coalesce("windowStart" + {inputs.ORDER_WINDOW_MS} <= wm, false) AS is_late
+      FROM dp LEFT JOIN tops ON tops.p = dp.p - 1)
+    SELECT order_id, line, sku, update_ms,
+           CASE WHEN NOT is_late THEN "windowStart" END AS "windowStart",
+           j.oid, coalesce(j.total_money, l.total_money) AS total_money,
+           CASE WHEN j.oid IS NOT NULL THEN 'joined' WHEN l.oid IS NOT NULL THEN 'lookup'
+                ELSE 'none' END AS main_source
+    FROM marked
+    LEFT JOIN mains j ON order_id = j.oid AND "windowStart" = j.main_window AND NOT is_late
+    LEFT JOIN mains l ON order_id = l.oid AND j.oid IS NULL
+    WHERE is_late OR "windowStart" + {inputs.ORDER_WINDOW_MS} <= (SELECT wm FROM tops WHERE p = 3)"""
+
+
+@query("stream_order_lookup_fill", STREAM_FILL_SQL)
+def _order_fill(spark, folder):
+    """Windows, late details and the order table in one job."""
+    path = shared_folder(spark, "stream-fill")
+    details = inputs.arriving_details(inputs.table(spark, folder, "lineitem"))
+    mains = inputs.order_main(inputs.table(spark, folder, "orders"))
+    low, high = details.agg(F.min("arrival"), F.max("arrival")).first()
+    names = [c for c in details.columns if c != "arrival"], mains.columns
+    rows = tagged(
+        details.withColumn("at", F.col("arrival")).drop("arrival"),
+        mains.withColumn("at", F.col("main_update_ms")),
+    )
+    portion = F.floor((F.col("at") - low) * inputs.BATCHES / (high - low + 1))
+    portion = F.least(F.lit(inputs.BATCHES - 1), F.greatest(F.lit(0), portion))
+    for number in range(inputs.BATCHES):
+        part = rows.where(portion == number).coalesce(1)
+        part.write.mode("append").parquet(f"{path}/arrived")
+    stream = (
+        spark.readStream.schema(rows.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{path}/arrived")
+    )
+    matcher = order_matcher(
+        f"{path}/state", lambda: order_table(spark, folder), tables.table_writer(f"{path}/rows"),
+        *names, size=inputs.ORDER_WINDOW, delay=DELAY,
+    )
+    finish(stream.writeStream.foreachBatch(matcher), f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/rows").select(
+        "order_id", "line", "sku", "update_ms", "windowStart", "oid", "total_money", "main_source"
+    )
+
+
 @query("stream_gift_points", GIFT_POINTS_SQL)
 def _gift_points(spark, folder):
     """The gift table is read anew for every batch."""
@@ -306,6 +364,26 @@ def _gift_points(spark, folder):
     )
 
 
+@query(
+    "stream_dimension_poll",
+    f"WITH {inputs.GIFTS_SQL} SELECT id, name, points, deleted FROM gifts",
+)
+def _polled(spark, folder):
+    """A poll per micro-batch while the changes come in; each reads what is new."""
+    path = shared_folder(spark, "polled-gifts")
+    changes = inputs.gift_changes(spark, folder)
+    last = changes.agg(F.max("updateTime")).first()[0]
+    gift_table = PolledDimension(spark, f"{path}/gifts", changes.schema)
+
+    def work(batch, batch_id):
+        known = last * (batch_id + 1) // inputs.BATCHES
+        gift_table.poll(lambda: changes.where(F.col("updateTime") <= known))
+
+    _run = inputs.table_stream(spark, folder, "events").writeStream.foreachBatch(work)
+    finish(_run, f"{path}/checkpoint")
+    return gift_table.live().drop("updateTime")
+
+
 GROUP_CLOSED_SQL = f"""WITH {inputs.GROUPS_SQL},
     mark AS (
       SELECT least((SELECT max(order_ts) FROM group_orders), (SELECT max(ts) FROM members),

@@ -12,6 +12,7 @@ The cut points only decide how the work is split, never the result.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -22,12 +23,14 @@ from pyspark.sql import types as T
 ROWS_PER_CHUNK = 4_000_000
 # Without keys the chunks are all the parallelism there is, so they are smaller.
 ROWS_PER_KEYLESS_CHUNK = 250_000
-MAX_CHUNKS = 16_384
+# Bytes of a text that order it: their number is exact in a double.
+TEXT_BYTES = 6
 # Values read per cut point to place it.
 VALUES_PER_CUT = 200
 CHUNK = "_chunk"
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _EXACT_DOUBLE = 2**53
+NO_VALUE = None
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
@@ -41,6 +44,24 @@ def _is_number(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.NumericType, *_TIMES))
 
 
+def _tie_number(df: DataFrame, column: str, rows: DataFrame) -> Column | None:
+    """A number that never decreases along the column; None if there is none.
+
+    For text it is the six bytes behind what all of ``rows`` begin with, which tells
+    numbered ids apart however long their common start is.
+    """
+    if _is_number(df, column):
+        return _as_number(df, column)
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return None
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return None
+    common = len(os.path.commonprefix([low.encode(), high.encode()]))
+    part = F.substring(F.col(column).cast("binary"), common + 1, TEXT_BYTES)
+    return F.conv(F.rpad(F.hex(part), 2 * TEXT_BYTES, "0"), 16, 10).cast("bigint")
+
+
 def _quantiles(df: DataFrame, number: Column, rows_per_chunk: int) -> list:
     """Approximate cut points; empty when the rows fit one chunk.
 
@@ -48,7 +69,7 @@ def _quantiles(df: DataFrame, number: Column, rows_per_chunk: int) -> list:
     number of values that depends on the cut points wanted and not on the data.
     """
     total = df.count()
-    pieces = min(-(-total // rows_per_chunk), MAX_CHUNKS)
+    pieces = -(-total // rows_per_chunk)
     if pieces <= 1:
         return []
     values = df.select(number.alias("_number"))
@@ -57,7 +78,8 @@ def _quantiles(df: DataFrame, number: Column, rows_per_chunk: int) -> list:
         values = values.sample(share, seed=7)
     shares = [i / pieces for i in range(1, pieces)]
     cuts = values.agg(F.percentile_approx("_number", shares, 10 * pieces)).first()[0]
-    return cuts or []
+    # Many rows without a value to cut at: all of them are null or were not sampled.
+    return cuts or [NO_VALUE]
 
 
 def _bucket(df: DataFrame, number: Column, cuts: Sequence, out: str) -> DataFrame:
@@ -85,11 +107,12 @@ def split_chunks(
     """Add a chunk number that never decreases along ``order``.
 
     None means the rows fit a single chunk. When one value of the first order
-    column alone fills a chunk, its rows are cut again along the second order
-    column, if that is a number.
+    column, or its absence, alone fills a chunk, its rows are cut again along the
+    second order column, if that is a number, a time or text.
 
-    The first column must be a number or a timestamp. ``basis`` holds the order columns of rows spread like those of ``df`` but
-    cheaper to compute; the cuts are placed on it.
+    The first column must be a number or a timestamp. ``basis`` holds the order
+    columns of rows spread like those of ``df`` but cheaper to compute; the cuts are
+    placed on it.
     """
     if not _is_number(df, order[0]):
         raise ValueError(f"order column {order[0]} is neither a number nor a time")
@@ -99,6 +122,8 @@ def split_chunks(
     cuts = _quantiles(basis, number, limit)
     if not cuts:
         return None
+    no_value = cuts == [NO_VALUE]
+    cuts = [] if no_value else cuts
     crowded = sorted(
         {a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT_DOUBLE}
     )
@@ -108,11 +133,17 @@ def split_chunks(
         | {math.nextafter(float(c), math.inf) for c in crowded}
     )
     chunked = _bucket(df, number, edges, CHUNK)
-    if not crowded or len(order) < 2 or not _is_number(df, order[1]):
+    if no_value:
+        # Nulls come first.
+        chunked = df.withColumn(CHUNK, F.when(number.isNull(), -1).otherwise(0))
+    if not (crowded or no_value) or len(order) < 2:
+        return chunked
+    in_crowd = number.isNull() if no_value else number.isin(crowded)
+    crowd = basis.where(in_crowd)
+    tie = _tie_number(df, order[1], crowd)
+    if tie is None:
         return chunked
-    tie = _as_number(df, order[1])
-    in_crowd = number.isin(crowded)
-    inner = sorted(set(_quantiles(basis.where(in_crowd), tie, limit)))
+    inner = sorted({c for c in _quantiles(crowd, tie, limit) if c is not NO_VALUE})
     if not inner:
         return chunked
     return (
@@ -257,7 +288,7 @@ def running_max_before(
             Window.unboundedPreceding, -1
         )
         return df.withColumn(out, F.max(value).over(before))
-    # One row per chunk, so at most MAX_CHUNKS plus the crowded values' cuts.
+    # One row per chunk: a broadcast of a row per rows_per_chunk rows.
     carried = (
         chunked.groupBy(CHUNK)
         .agg(F.max(value).alias("_top"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import event_time, join_text
 from ..schemas import ANCHOR_DETAIL_COLUMNS, USER_EVENT_COLUMNS
-from ..settings import INSERT_ROWS
+from ..settings import INSERT_ROWS, insert_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -24,9 +24,19 @@ def table_writer(
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     partition_by: Sequence[str] = (),
 ) -> BatchWriter:
-    """A ``foreachBatch`` function that writes shaped rows to a parquet table."""
+    """A ``foreachBatch`` function that writes shaped rows to a parquet table.
+
+    A stream that starts at batch 0 on a table of earlier batches has lost its
+    checkpoint, or the table is another stream's: that is an error, as the new batches
+    would replace the old ones.
+    """
+    started = False
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal started
+        if not started and batch_id == 0 and _last_batch(batch.sparkSession, path) > 0:
+            raise ValueError(f"{path} holds later batches; start it with their checkpoint")
+        started = True
         rows = shape(batch)
         if partition_by:
             # Few files per partition, while a large partition still gets several.
@@ -37,6 +47,16 @@ def table_writer(
     return write
 
 
+def _last_batch(spark: SparkSession, path: str) -> int:
+    """Number of the table's last batch, -1 without any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return -1
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return max((int(n[6:]) for n in names if n.startswith("batch=")), default=-1)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of a batch table, with the number of the batch that wrote them."""
     return (
@@ -73,6 +93,16 @@ def jdbc_writer(
     return write
 
 
+def insert_writer(
+    settings: Mapping[str, str],
+    options: Mapping[str, str],
+    table: str,
+    shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> BatchWriter:
+    """:func:`jdbc_writer` with the rows per insert of the settings file."""
+    return jdbc_writer(options, table, shape, insert_rows(settings))
+
+
 def user_event_rows(events: DataFrame, process_time=None) -> DataFrame:
     """The 12 columns of the user-event table; ``processTime`` is in seconds."""
     now = F.unix_timestamp() if process_time is None else process_time

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import shared_folder
-from ..settings import CHECKPOINT_INTERVAL_MS
+from ..settings import CHECKPOINT_INTERVAL_MS, insert_interval_ms
 
 
 def finish(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -37,6 +37,14 @@ def start(
     )
 
 
+def start_inserts(
+    writer: DataStreamWriter, settings: Mapping[str, str], name: str
+) -> StreamingQuery:
+    """:func:`start` for a job that only inserts: a batch at each insert interval."""
+    every = {**settings, "checkpoint.interval": str(insert_interval_ms(dict(settings)))}
+    return start(writer, every, name)
+
+
 def append_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append-mode stream into a parquet table and return the table."""
     spark = stream.sparkSession
