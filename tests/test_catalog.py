@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidecast.catalog import REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def tables(data):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, data, tables, name):
     got = queries()[name](spark, data)
     columns = sorted(got.columns)
