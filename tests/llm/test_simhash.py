@@ -63,19 +63,18 @@ def test_words_two_bits_apart_share_a_key():
 def test_keys_meet_their_distance():
     rng = np.random.default_rng(3)
     fp = rng.integers(-(1 << 63), 1 << 63, 1000)
-    for keys, most in ((simhash.close_keys, 2), (simhash.wide_keys, 5)):
-        for bits in range(most + 1):
-            other = fp.copy()
-            for i in range(len(fp)):
-                for b in rng.choice(64, bits, replace=False).tolist():
-                    other[i] ^= np.int64(1 << b if b < 63 else -(1 << 63))
-            own = [set() for _ in fp]
-            theirs = [set() for _ in fp]
-            for sets, values in ((own, fp), (theirs, other)):
-                for rows, found in keys(values):
-                    for row, key in zip(rows.tolist(), found.tolist()):
-                        sets[row].add(key)
-            assert all(a & b for a, b in zip(own, theirs)), (keys.__name__, bits)
+    for bits in range(3):
+        other = fp.copy()
+        for i in range(len(fp)):
+            for b in rng.choice(64, bits, replace=False).tolist():
+                other[i] ^= np.int64(1 << b if b < 63 else -(1 << 63))
+        own = [set() for _ in fp]
+        theirs = [set() for _ in fp]
+        for sets, values in ((own, fp), (theirs, other)):
+            for rows, found in simhash.close_keys(values):
+                for row, key in zip(rows.tolist(), found.tolist()):
+                    sets[row].add(key)
+        assert all(a & b for a, b in zip(own, theirs)), bits
 
 
 def test_components_of_chains_and_stars(spark):
@@ -146,3 +145,24 @@ def test_near_copies_of_the_test_table(spark, data):
 def test_empty_table(nothing):
     assert simhash.simhash_groups(nothing).count() == 0
     assert simhash.drop_near_copies(nothing, Settings()).count() == 0
+
+
+def test_near_copies_around_the_limit_are_found(spark):
+    """Copies with scattered edits, similarity from 0.8 up: nearly all are linked, none below."""
+    from .conftest import prose
+
+    rng = random.Random(8)
+    rows, alike = [], {}
+    for i in range(300):
+        words = prose(1000 + i, 400, start="v").split()
+        other = list(words)
+        for at in rng.sample(range(400), rng.randint(1, 14)):
+            other[at] = f"edit{i}x{at}"
+        a, b = (set(zip(*(w[j:] for j in range(5)))) for w in (words, other))
+        alike[2 * i + 1] = len(a & b) / len(a | b) >= 0.8
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["keeper"] for r in simhash.near_copy_groups(docs).collect()}
+    found = {i: got[i] == i - 1 for i in alike}
+    assert not any(found[i] and not alike[i] for i in alike)
+    assert sum(found[i] for i in alike if alike[i]) >= 0.97 * sum(alike.values())

@@ -13,6 +13,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,10 +68,22 @@ def shingle_fingerprint(text: str | None, k: int) -> int:
     return fingerprint(hashes(found) for found in shingles(text, k))
 
 
-def word_fingerprint(text: str | None) -> int:
-    """Over the distinct words: an edit touches few of them, so near copies stay close."""
+def mixed(found: np.ndarray, turn: int) -> np.ndarray:
+    """Another hash out of each hash; turn 0 leaves them as they are."""
+    if not turn:
+        return found
+    x = found + np.uint64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_fingerprints(text: str | None, count: int) -> list[int]:
+    """``count`` fingerprints over the distinct words: an edit touches few of them, so
+    near copies stay close."""
     parts = [np.unique(hashes(found)) for found in shingles(text, 1)]
-    return fingerprint(iter([np.unique(np.concatenate(parts))] if parts else []))
+    words = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    return [fingerprint(iter([mixed(words, turn)])) for turn in range(count)]
 
 
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -107,21 +120,7 @@ def close_keys(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, (zero << 36) | (exact[rows] << 12) | near[rows, columns]
 
 
-def wide_keys(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, keys): fingerprints at most 5 bits apart share a key, most of those further too.
-
-    Of 5 errors at most one segment gets 3 or more; the key joins Golay keys of the two
-    others.
-    """
-    near = [golay.keys(segment(fp, s)) for s in range(3)]
-    for pair, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
-        joint = (near[x][:, :, None] << 12) | near[y][:, None, :]
-        fits = (near[x] >= 0)[:, :, None] & (near[y] >= 0)[:, None, :]
-        rows, i, j = np.nonzero(fits)
-        yield rows, (pair << 24) | joint[rows, i, j]
-
-
-def keyed(nodes: DataFrame, keys) -> DataFrame:
+def keyed(nodes: DataFrame) -> DataFrame:
     """(key, id, fp) rows of nodes (id, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +129,7 @@ def keyed(nodes: DataFrame, keys) -> DataFrame:
                 part = batch.slice(start, 2048)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 fp = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                for rows, found in keys(fp):
+                for rows, found in close_keys(fp):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found), pa.array(ids[rows]), pa.array(fp[rows])],
                         names=["key", "id", "fp"],
@@ -144,10 +143,8 @@ def bits_apart(x: Column, y: Column) -> Column:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """Key rows whose key has others, with the bucket's size ``n`` and smallest member."""
-    sizes = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "fp")).alias("leader")
-    )
+    """Key rows whose key has others, with the bucket's size ``n``."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     return written(rows.join(sizes.where(F.col("n") > 1), "key"), "buckets")
 
 
@@ -210,7 +207,7 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
         marks.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("id", F.col("fp")),
         "nodes",
     )
-    buckets = shared_buckets(keyed(nodes, close_keys))
+    buckets = shared_buckets(keyed(nodes))
     crowd = buckets.where(F.col("n") > SMALL_BUCKET).select("id", "fp").distinct()
     links = written(
         small_pairs(buckets, 2).unionByName(midpoint_links(crowd)).distinct(), "simhash-links"
@@ -228,19 +225,21 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
 
 @dataclass(frozen=True)
 class Settings:
-    """Near copies: Jaccard of ``k``-word shingles of ``similarity`` or more."""
+    """Near copies: Jaccard of ``k``-word shingles of ``similarity`` or more. More
+    ``fingerprints`` find more of the pairs near that limit, at 16 keys each."""
 
     k: int = 5
     similarity: float = 0.8
-    most_bits: int = 16
+    fingerprints: int = 6
 
 
-def _described(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, two hashes of the words in order, fp of the distinct words, whether >= k words."""
+def _described(docs: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id, two hashes of the words in order, fingerprints (none below ``k`` words)."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, other, fps, many = [], [], [], []
+            same, other, fps = [], [], []
             for value in batch.column(1):
                 text = value.as_py()
                 whole = xxhash.xxh3_128()
@@ -251,24 +250,52 @@ def _described(docs: DataFrame, k: int) -> DataFrame:
                 digest = np.frombuffer(whole.digest(), ">i8")
                 same.append(int(digest[0]))
                 other.append(int(digest[1]))
-                fps.append(word_fingerprint(text))
-                many.append(n >= k)
+                fps.append(word_fingerprints(text, settings.fingerprints) if n >= settings.k else [])
+            columns = [pa.array(x, t) for x, t in zip((same, other, fps), kinds)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(same, pa.int64()),
-                    pa.array(other, pa.int64()),
-                    pa.array(fps, pa.int64()),
-                    pa.array(many, pa.bool_()),
-                ],
-                names=["doc_id", "same", "other", "fp", "many"],
+                [batch.column(0), *columns], names=["doc_id", "same", "other", "fps"]
             )
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, same bigint, other bigint, fp bigint, many boolean"
+        run, "doc_id bigint, same bigint, other bigint, fps array<bigint>"
     )
 
 
+def _many_keyed(nodes: DataFrame) -> DataFrame:
+    """(key, id) rows of nodes (id, fps); a fingerprint's place is part of its keys.
+
+    fp is 0: with a segment alike and another close, a pair needs no look at its bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                fps = part.column(1)
+                flat = fps.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = pa.compute.list_value_length(fps).to_numpy(zero_copy_only=False)
+                owner = np.repeat(np.arange(len(ids)), sizes)
+                turn = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                for rows, found in close_keys(flat):
+                    keys = found + (3 * turn[rows] << 36)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys), pa.array(ids[owner[rows]]), pa.array(np.zeros(len(keys), np.int64))],
+                        names=["key", "id", "fp"],
+                    )
+
+    return nodes.select("id", "fps").mapInArrow(run, "key bigint, id bigint, fp bigint")
+
+
+#: Up to so many ids are sent to all tasks; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _ids(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if its counted rows allow it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
@@ -292,29 +319,26 @@ def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     """doc_id and ``keeper`` of every document with an id: the smallest id of its group.
 
     Documents of the same words in the same order are one node, named by the smallest
-    id. Nodes are candidates if fingerprints of their distinct words share a wide key
-    and differ in at most ``most_bits`` bits; candidates are linked if the shingle sets
-    reach the similarity. In buckets of more than ``SMALL_BUCKET`` nodes each is
-    compared with the bucket's smallest node only, so crowded buckets stay linear.
-    Texts of fewer than ``k`` words (also null) match only texts of the same words.
+    id. Nodes are candidates if one of several fingerprints of their distinct words
+    gives them a common key (a segment without error, the next with up to two); they
+    are linked if the shingle sets reach the similarity. In buckets of more than
+    ``SMALL_BUCKET`` nodes each is compared with the bucket's smallest node only, so
+    crowded buckets stay linear. Texts of fewer than ``k`` words (also null) match only
+    texts of the same words.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marks = written(_described(rows, settings.k), "near-marks")
+    marks = written(_described(rows, settings), "near-marks")
     nodes = marks.groupBy("same", "other").agg(
-        F.min("doc_id").alias("id"), F.first("fp").alias("fp"), F.first("many").alias("many")
+        F.min("doc_id").alias("id"), F.first("fps").alias("fps")
     )
     nodes = written(nodes, "near-nodes")
-    buckets = shared_buckets(keyed(nodes.where("many"), wide_keys))
-    led = (
-        buckets.where(F.col("n") > SMALL_BUCKET)
-        .where(F.col("id") != F.col("leader.id"))
-        .where(bits_apart(F.col("fp"), F.col("leader.fp")) <= settings.most_bits)
-        .select(F.col("leader.id").alias("a"), F.col("id").alias("b"))
-    )
-    pairs = written(
-        small_pairs(buckets, settings.most_bits).unionByName(led).distinct(), "near-pairs"
-    )
+    buckets = shared_buckets(_many_keyed(nodes))
+    crowded = buckets.where(F.col("n") > SMALL_BUCKET).select("key", "id")
+    leaders = crowded.groupBy("key").agg(F.min("id").alias("a"))
+    led = crowded.join(leaders, "key").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
+    pairs = written(small_pairs(buckets, 0).unionByName(led).distinct(), "near-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = _ids(written(wanted, "near-wanted"))
     texts = rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     # Rows that repeat an id are one document; the first of their sets stands for them.
     sets = _shingle_sets(texts, settings.k).groupBy("id").agg(F.min("set").alias("set"))
@@ -347,7 +371,7 @@ def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     groups = near_copy_groups(docs, settings)
     gone = groups.groupBy("doc_id").agg(F.min("keeper").alias("keeper"))
     gone = gone.where(F.col("keeper") != F.col("doc_id")).select(F.col("doc_id").alias("_gone"))
-    gone = written(gone, "near-gone")
+    gone = _ids(written(gone, "near-gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
