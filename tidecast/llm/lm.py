@@ -81,8 +81,8 @@ def text_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
                     pa.array([size], pa.int64()),
                     pa.array([len(order)], pa.int64()),
                     pa.array([words], pa.binary()),
-                    pa.array([counts.astype("<i8").tobytes()], pa.binary()),
-                    pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([_small(counts)], pa.binary()),
+                    pa.array([_packed(codes)], pa.binary()),
                 ],
                 names=["block", "ids", "learned", "lengths", "tokens", "distinct", "words", "counts", "codes"],
             )
@@ -110,6 +110,25 @@ def text_blocks(docs: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, compressed: high bytes are mostly zero."""
+    wide = values.astype("<i8").view(np.uint8).reshape(len(values), 8)
+    return pa.compress(np.ascontiguousarray(wide.T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True) if n else b""
+    wide = np.frombuffer(planes, np.uint8).reshape(8, n)
+    return np.ascontiguousarray(wide.T).view("<i8").reshape(n)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: rows are large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _row(names: list[str], kinds: list[pa.DataType], values: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
@@ -130,13 +149,13 @@ def word_requests(blocks: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for block, data, counted in zip(*batch.columns):
                 words = data.as_py().split(b"\n")
-                counts = np.frombuffer(counted.as_py(), "<i8")
+                counts = _unsmall(counted.as_py(), len(words))
                 shard, order = _shards_of_words(words, shards)
                 edges = np.searchsorted(shard[order], np.arange(shards + 1))
                 for s in np.flatnonzero(np.diff(edges)).tolist():
                     part = order[edges[s] : edges[s + 1]]
                     sent = b"\n".join([words[i] for i in part.tolist()])
-                    yield _row(names, kinds, [s, block.as_py(), sent, counts[part].astype("<i8").tobytes()])
+                    yield _row(names, kinds, [s, block.as_py(), sent, _small(counts[part])])
 
     return blocks.select("block", "words", "counts").mapInArrow(
         run, "shard bigint, block bigint, words binary, counts binary"
@@ -144,17 +163,20 @@ def word_requests(blocks: DataFrame, shards: int) -> DataFrame:
 
 
 def word_answers(requests: DataFrame, shards: int) -> DataFrame:
-    """(block, shard, numbers, counts, total, distinct): a number from 1 and the corpus
-    count of each word asked for, in the order asked; and the shard's sums."""
-    names = ["block", "shard", "numbers", "counts", "total", "distinct"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    """(block, shard, numbers, counts, total, distinct, largest): a number from 1 and the
+    corpus count of each word asked for, in the order asked; and the shard's sums and
+    largest number."""
+    names = ["block", "shard", "numbers", "counts", "total", "distinct", "largest"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def answer(group: pa.Table) -> pa.Table:
         asked = [w.split(b"\n") for w in group.column("words").to_pylist()]
         words = pa.chunked_array([pa.array(w, pa.binary()) for w in asked]).combine_chunks()
         coded = words.dictionary_encode()
         place = coded.indices.to_numpy()
-        counts = np.concatenate([np.frombuffer(c, "<i8") for c in group.column("counts").to_pylist()])
+        counts = np.concatenate(
+            [_unsmall(c, len(w)) for c, w in zip(group.column("counts").to_pylist(), asked)]
+        )
         sums = np.zeros(len(coded.dictionary), np.int64)
         np.add.at(sums, place, counts)
         shard = group.column("shard")[0].as_py()
@@ -164,26 +186,28 @@ def word_answers(requests: DataFrame, shards: int) -> DataFrame:
             part = place[at : at + len(own)]
             at += len(own)
             values = [
-                block, shard, numbers[part].astype("<i8").tobytes(), sums[part].astype("<i8").tobytes(),
-                int(sums.sum()), int((sums > 0).sum()),
+                block, shard, _packed(numbers[part]), _small(sums[part]),
+                int(sums.sum()), int((sums > 0).sum()), int(numbers.max()),
             ]
             out.append(_row(names, kinds, values))
         return pa.Table.from_batches(out)
 
     return requests.groupBy("shard").applyInArrow(
         answer,
-        "block bigint, shard bigint, numbers binary, counts binary, total bigint, distinct bigint",
+        "block bigint, shard bigint, numbers binary, counts binary, total bigint, distinct bigint,"
+        " largest bigint",
     )
 
 
 def _words_back(words: bytes, answers: list[dict], shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Number and corpus count of each of a block's words."""
     own = words.split(b"\n")
-    _, order = _shards_of_words(own, shards)
-    parts = sorted(answers, key=lambda a: a["shard"])
+    shard, order = _shards_of_words(own, shards)
+    sizes = np.bincount(shard, minlength=shards)
+    parts = [(a, int(sizes[a["shard"]])) for a in sorted(answers, key=lambda a: a["shard"])]
     numbers, counts = np.empty(len(own), np.int64), np.empty(len(own), np.int64)
-    numbers[order] = np.concatenate([np.frombuffer(a["numbers"], "<i8") for a in parts])
-    counts[order] = np.concatenate([np.frombuffer(a["counts"], "<i8") for a in parts])
+    numbers[order] = np.concatenate([_unpacked(a["numbers"], n) for a, n in parts])
+    counts[order] = np.concatenate([_unsmall(a["counts"], n) for a, n in parts])
     return numbers, counts
 
 
@@ -219,7 +243,7 @@ class Numbered:
 
     def __init__(self, row: dict, shards: int, word_shards: int, total: int, distinct: int):
         lengths = np.array(row["lengths"], np.int64)
-        codes = np.frombuffer(row["codes"], "<i4")
+        codes = _unpacked(row["codes"], int(lengths.sum()))
         self.lengths, self.codes = lengths, codes
         numbers, self.word_counts = _words_back(row["words"], row["answers"], word_shards)
         own = len(numbers)
@@ -242,22 +266,21 @@ def bigram_requests(blocks: DataFrame, sizes: dict, prior: float) -> DataFrame:
     words = sizes["numbers"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n = Numbered(row, sizes["shards"], sizes["word_shards"], sizes["total"], sizes["distinct"])
-                lower = quantise(n.base)
-                for s in np.flatnonzero(np.diff(n.edges)).tolist():
-                    part = n.order[n.edges[s] : n.edges[s + 1]]
-                    key = n.context[part].astype(np.uint64) * np.uint64(words) + n.number[part].astype(np.uint64)
-                    values = [
-                        s,
-                        row["block"],
-                        EliasFano.of(key, words * words).tobytes(),
-                        _small(n.bigrams.counts[part]),
-                        _small(n.context_counts[part]),
-                        lower[n.word[part]].astype("<u2").tobytes(),
-                    ]
-                    yield _row(names, kinds, values)
+        for row in _rows(batches):
+            n = Numbered(row, sizes["shards"], sizes["word_shards"], sizes["total"], sizes["distinct"])
+            lower = quantise(n.base)
+            for s in np.flatnonzero(np.diff(n.edges)).tolist():
+                part = n.order[n.edges[s] : n.edges[s + 1]]
+                key = n.context[part].astype(np.uint64) * np.uint64(words) + n.number[part].astype(np.uint64)
+                values = [
+                    s,
+                    row["block"],
+                    EliasFano.of(key, words * words).tobytes(),
+                    _small(n.bigrams.counts[part]),
+                    _small(n.context_counts[part]),
+                    lower[n.word[part]].astype("<u2").tobytes(),
+                ]
+                yield _row(names, kinds, values)
 
     return blocks.mapInArrow(
         run, "shard bigint, block bigint, keys binary, counts binary, contexts binary, lower binary"
@@ -324,29 +347,28 @@ def block_scores(blocks: DataFrame, sizes: dict, prior: float, key: str) -> Data
     key_arrow = pa.int32() if key == "int" else pa.string() if key == "string" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n = Numbered(row, sizes["shards"], sizes["word_shards"], sizes["total"], sizes["distinct"])
-                parts = sorted(row["found"], key=lambda a: a["shard"])
-                codes = np.empty(len(n.order), np.uint16)
-                codes[n.order] = np.concatenate([np.frombuffer(a["codes"], "<u2") for a in parts])
-                base = n.base[n.word]
-                unseen = base + np.log10(prior / (n.context_counts + prior))
-                p = np.where(codes == MISSING, unseen, dequantise(codes))
-                starts = np.cumsum(n.lengths) - n.lengths
-                known = (n.word_counts > 0)[n.codes].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["ids"], key_arrow),
-                        pa.array([not x for x in row["learned"]], pa.bool_()),
-                        pa.array(n.lengths, pa.int64()),
-                        pa.array(np.add.reduceat(known, starts), pa.int64()),
-                        pa.array(np.full(len(starts), sizes["total"]), pa.int64()),
-                        pa.array(np.add.reduceat(n.base[n.codes], starts), pa.float64()),
-                        pa.array(np.add.reduceat(p[n.bigrams.place], starts), pa.float64()),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for row in _rows(batches):
+            n = Numbered(row, sizes["shards"], sizes["word_shards"], sizes["total"], sizes["distinct"])
+            parts = sorted(row["found"], key=lambda a: a["shard"])
+            codes = np.empty(len(n.order), np.uint16)
+            codes[n.order] = np.concatenate([np.frombuffer(a["codes"], "<u2") for a in parts])
+            base = n.base[n.word]
+            unseen = base + np.log10(prior / (n.context_counts + prior))
+            p = np.where(codes == MISSING, unseen, dequantise(codes))
+            starts = np.cumsum(n.lengths) - n.lengths
+            known = (n.word_counts > 0)[n.codes].astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["ids"], key_arrow),
+                    pa.array([not x for x in row["learned"]], pa.bool_()),
+                    pa.array(n.lengths, pa.int64()),
+                    pa.array(np.add.reduceat(known, starts), pa.int64()),
+                    pa.array(np.full(len(starts), sizes["total"]), pa.int64()),
+                    pa.array(np.add.reduceat(n.base[n.codes], starts), pa.float64()),
+                    pa.array(np.add.reduceat(p[n.bigrams.place], starts), pa.float64()),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return blocks.mapInArrow(
         run,
@@ -373,14 +395,13 @@ def score_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
     sums = answers.groupBy("shard").agg(F.max("total").alias("n"), F.max("distinct").alias("v"))
     n, v = sums.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    most = answers.agg(F.max(F.octet_length("numbers"))).first()[0] or 0
+    largest = answers.agg(F.coalesce(F.max("largest"), F.lit(0))).first()[0]
     sizes = {
         "word_shards": word_shards,
         "shards": shards,
         "total": n,
         "distinct": v,
-        # Above any word number: a shard numbers what all blocks ask it.
-        "numbers": 1 + word_shards * (1 + _largest(answers, word_shards)) if most else 2,
+        "numbers": largest + 1,
     }
     grouped = answers.groupBy(F.col("block").alias("of")).agg(
         F.collect_list(F.struct("shard", "numbers", "counts")).alias("answers")
@@ -395,18 +416,6 @@ def score_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return block_scores(complete, sizes, settings.prior, key)
 
 
-def _largest(answers: DataFrame, word_shards: int) -> int:
-    """The largest place of a word in its shard."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            most = [int(np.frombuffer(d.as_py(), "<i8").max()) for d in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(most, pa.int64())], names=["most"])
-
-    top = answers.select("numbers").mapInArrow(run, "most bigint").agg(F.max("most")).first()[0]
-    return (top - 1) // word_shards
-
-
 @query("op2_elias_fano_lm")
 def elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents, learned from those that are not held out."""
