@@ -166,3 +166,40 @@ def test_near_copies_around_the_limit_are_found(spark):
     found = {i: got[i] == i - 1 for i in alike}
     assert not any(found[i] and not alike[i] for i in alike)
     assert sum(found[i] for i in alike if alike[i]) >= 0.97 * sum(alike.values())
+
+
+def star(seed, variants, words=300, inserts=6):
+    """Texts of edited copies and, last, of their original."""
+    from .conftest import prose
+
+    rng = random.Random(seed)
+    original = prose(seed, words, start="o").split()
+    texts = []
+    for i in range(variants):
+        copy = list(original)
+        for j, at in enumerate(sorted(rng.sample(range(words), inserts), reverse=True)):
+            copy.insert(at, f"new{i}x{j}")
+        texts.append(" ".join(copy))
+    return [*texts, " ".join(original)]
+
+
+def test_stars_of_copies_around_a_late_original_are_whole(spark):
+    """Copies are like the original, not like each other; it has the highest id."""
+    rows = [(i, t) for i, t in enumerate(star(3, 50) + star(4, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow_keepers(docs.collect())
+    got = {r["doc_id"]: r["keeper"] for r in simhash.near_copy_groups(docs).collect()}
+    assert got == want
+
+
+def test_crowded_buckets_compare_all_that_no_link_joins(spark):
+    """Chains in one bucket: pairs of different components meet once, linked ones never."""
+    ids = list(range(300))
+    crowded = spark.createDataFrame([(7, i, 300) for i in ids], "key long, id long, n long")
+    roots = {i: i % 3 for i in ids if i < 200}
+    known = spark.createDataFrame(list(roots.items()), "node long, root long")
+    got = [(r["a"], r["b"]) for r in simhash.unlinked_pairs(crowded, known).collect()]
+    root = lambda i: roots.get(i, i)
+    assert len(got) == len(set(got))
+    assert set(got) == {(i, j) for i in ids for j in ids if i < j and root(i) != root(j)}
+    assert len(simhash.led(crowded).collect()) == 299

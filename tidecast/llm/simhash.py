@@ -25,7 +25,7 @@ from .components import components
 SEED = 42
 #: First bit and width of the segments, from the low end.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-#: In a bucket of more fingerprints not all pairs are compared; see the users' notes.
+#: Buckets of more rows are not compared pairwise at once; see the users' notes.
 SMALL_BUCKET = 16
 
 
@@ -315,6 +315,77 @@ def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _alike(rows: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b), written, whose shingle sets reach the similarity."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = _ids(written(wanted, "near-wanted"))
+    texts = rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    # Rows that repeat an id are one document; the first of their sets stands for them.
+    sets = _shingle_sets(texts, settings.k).groupBy("id").agg(F.min("set").alias("set"))
+    sets = written(sets, "near-sets")
+    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where(common >= settings.similarity * (F.size("x") + F.size("y") - common))
+        .select("a", "b")
+    )
+
+
+def led(crowded: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each crowded bucket's leader with all others of the bucket.
+
+    The leader stands in most crowded buckets: of edited copies the original does, as
+    each edit takes a copy out of some.
+    """
+    known = crowded.groupBy("id").agg(F.count(F.lit(1)).alias("known"))
+    first = crowded.select("key", "id").join(known, "id").groupBy("key")
+    first = first.agg(F.max_by("id", F.struct("known", -F.col("id"))).alias("leader"))
+    others = crowded.select("key", "id").join(first, "key").where(F.col("id") != F.col("leader"))
+    return others.select(
+        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")
+    ).distinct()
+
+
+#: Rows of a crowded bucket are dealt into parts of about so many.
+BUCKET_PART = 128
+
+
+def unlinked_pairs(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of crowded buckets (key, id, n) that the components do not join yet.
+
+    A bucket is dealt into parts; each two parts meet by themselves, so a large bucket
+    is spread over tasks.
+    """
+    rooted = crowded.join(roots, crowded["id"] == roots["node"], "left").select(
+        *crowded.columns, F.coalesce("root", "id").alias("root")
+    )
+    rooted = written(rooted, "near-crowd")
+    mixed_keys = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"))
+    mixed_keys = mixed_keys.where(F.col("r") != F.col("s")).select("key")
+    parts = F.ceil(F.col("n") / BUCKET_PART)
+    rooted = rooted.join(mixed_keys, "key").withColumns(
+        {"parts": parts, "part": F.pmod(F.xxhash64("id"), parts)}
+    )
+    low = rooted.select(
+        "key", F.col("part").alias("low"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("high"),
+        F.struct("id", "root").alias("x"),
+    )
+    high = rooted.select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), "part")).alias("low"), F.col("part").alias("high"),
+        F.struct("id", "root").alias("y"),
+    )
+    met = low.join(high, ["key", "low", "high"]).where(
+        (F.col("x.root") != F.col("y.root"))
+        & ((F.col("low") < F.col("high")) | (F.col("x.id") < F.col("y.id")))
+    )
+    return met.select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
+    ).distinct()
+
+
 def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id and ``keeper`` of every document with an id: the smallest id of its group.
 
@@ -322,9 +393,9 @@ def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     id. Nodes are candidates if one of several fingerprints of their distinct words
     gives them a common key (a segment without error, the next with up to two); they
     are linked if the shingle sets reach the similarity. In buckets of more than
-    ``SMALL_BUCKET`` nodes each is compared with the bucket's smallest node only, so
-    crowded buckets stay linear. Texts of fewer than ``k`` words (also null) match only
-    texts of the same words.
+    ``SMALL_BUCKET`` nodes each is compared with one leader first, then with all that
+    these links have not joined it to; a pair left out is in one group already. Texts of
+    fewer than ``k`` words (also null) match only texts of the same words.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
     marks = written(_described(rows, settings), "near-marks")
@@ -333,25 +404,12 @@ def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     )
     nodes = written(nodes, "near-nodes")
     buckets = shared_buckets(_many_keyed(nodes))
-    crowded = buckets.where(F.col("n") > SMALL_BUCKET).select("key", "id")
-    leaders = crowded.groupBy("key").agg(F.min("id").alias("a"))
-    led = crowded.join(leaders, "key").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
-    pairs = written(small_pairs(buckets, 0).unionByName(led).distinct(), "near-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = _ids(written(wanted, "near-wanted"))
-    texts = rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    # Rows that repeat an id are one document; the first of their sets stands for them.
-    sets = _shingle_sets(texts, settings.k).groupBy("id").agg(F.min("set").alias("set"))
-    sets = written(sets, "near-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    links = (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(common >= settings.similarity * (F.size("x") + F.size("y") - common))
-        .select("a", "b")
-    )
+    crowded = buckets.where(F.col("n") > SMALL_BUCKET)
+    pairs = written(small_pairs(buckets, 0).unionByName(led(crowded)).distinct(), "near-pairs")
+    links = written(_alike(rows, pairs, settings), "near-links")
+    pairs = written(unlinked_pairs(crowded, components(links)), "near-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(_alike(rows, pairs, settings))
     roots = components(links)
     least = roots.groupBy("root").agg(F.min("node").alias("keeper"))
     grouped = roots.join(least, "root").select("node", "keeper")
