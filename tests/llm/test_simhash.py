@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tidecast.llm import golay, simhash
 from tidecast.llm.components import components
@@ -198,8 +199,43 @@ def test_crowded_buckets_compare_all_that_no_link_joins(spark):
     crowded = spark.createDataFrame([(7, i, 300) for i in ids], "key long, id long, n long")
     roots = {i: i % 3 for i in ids if i < 200}
     known = spark.createDataFrame(list(roots.items()), "node long, root long")
-    got = [(r["a"], r["b"]) for r in simhash.unlinked_pairs(crowded, known).collect()]
+    every = lambda x, y: F.lit(True)
+    got = [(r["a"], r["b"]) for r in simhash.unlinked_pairs(crowded, known, (), every).collect()]
     root = lambda i: roots.get(i, i)
     assert len(got) == len(set(got))
     assert set(got) == {(i, j) for i in ids for j in ids if i < j and root(i) != root(j)}
-    assert len(simhash.led(crowded).collect()) == 299
+    assert len(simhash.led(crowded, (), every).collect()) == 299
+
+
+def test_near_copies_with_edits_in_one_block_are_all_found(spark):
+    """Appended, cut off and replaced passages around the limit: groups equal brute force."""
+    from .conftest import prose
+
+    rows = []
+    for i in range(40):
+        words = prose(3000 + i, 400, start=f"s{i % 7}").split()
+        added = prose(4000 + i, 99, start="t").split()
+        edited = (
+            words + added[: (40, 60, 80, 97)[i // 3 % 4]],
+            words[: 400 - (40, 60, 78, 85)[i // 3 % 4]],
+            words[:150] + added[: 20 + i // 2] + words[170 + i // 2 :],
+        )[i % 3]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow_keepers(docs.collect())
+    assert sum(want[i] == i - 1 for i in range(1, 80, 2)) >= 30
+    assert {r["doc_id"]: r["keeper"] for r in simhash.near_copy_groups(docs).collect()} == want
+
+
+def test_sets_of_the_similarity_share_a_first_shingle():
+    """At any order of common shingles, down to exactly 0.8."""
+    rng = np.random.default_rng(9)
+    for turn in range(400):
+        n = int(rng.integers(1, 60))
+        union = rng.choice(1 << 20, n, replace=False).astype(np.uint64)
+        both = -(-8 * n // 10)
+        mine = both + int(rng.integers(0, n - both + 1))
+        x = np.sort(union[:mine])
+        y = np.sort(np.concatenate([union[:both], union[mine:]]))
+        common = simhash.placed(rng.permutation(union)[: int(rng.integers(0, n + 1))])
+        assert np.intersect1d(*(simhash.first_shingles(z, common, 0.8) for z in (x, y))).size

@@ -1,13 +1,15 @@
-"""Near-duplicate texts by SimHash fingerprints and Golay keys.
+"""Near-duplicate texts by SimHash fingerprints and Golay keys, or by shingle sets.
 
 A fingerprint's 64 bits are cut into three segments of at most 22 bits, each padded to a
 Golay word. Fingerprints that differ in few bits share keys; only rows with a common
-key are compared, and every link is verified.
+key are compared, and every link is verified. Near copies by Jaccard similarity, which
+fingerprints find only in part, have the first shingles of their sets as keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -68,22 +70,10 @@ def shingle_fingerprint(text: str | None, k: int) -> int:
     return fingerprint(hashes(found) for found in shingles(text, k))
 
 
-def mixed(found: np.ndarray, turn: int) -> np.ndarray:
-    """Another hash out of each hash; turn 0 leaves them as they are."""
-    if not turn:
-        return found
-    x = found + np.uint64(turn * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_fingerprints(text: str | None, count: int) -> list[int]:
-    """``count`` fingerprints over the distinct words: an edit touches few of them, so
-    near copies stay close."""
-    parts = [np.unique(hashes(found)) for found in shingles(text, 1)]
-    words = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-    return [fingerprint(iter([mixed(words, turn)])) for turn in range(count)]
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """Sorted hashes of the distinct k-word shingles."""
+    parts = [np.unique(hashes(found)) for found in shingles(text, k)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -148,21 +138,30 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return written(rows.join(sizes.where(F.col("n") > 1), "key"), "buckets")
 
 
-def small_pairs(buckets: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) at most ``most`` bits apart in buckets of up to SMALL_BUCKET rows."""
+def shared_sets(rows: DataFrame) -> DataFrame:
+    """Key rows whose key another id has too, each once, with the bucket's size ``n``."""
+    sizes = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("_low"), F.max("id").alias("_high")
+    )
+    sizes = sizes.where(F.col("_low") < F.col("_high")).select("key", "n")
+    return written(rows.join(sizes, "key").distinct(), "buckets")
+
+
+Near = Callable[[Column, Column], Column]
+
+
+def small_pairs(buckets: DataFrame, fields: tuple[str, ...], near: Near) -> DataFrame:
+    """Pairs (a, b) that are ``near`` by their fields in buckets of up to SMALL_BUCKET rows."""
     lists = (
         buckets.where(F.col("n") <= SMALL_BUCKET)
         .groupBy("key")
-        .agg(F.collect_list(F.struct("id", "fp")).alias("m"))
+        .agg(F.collect_list(F.struct("id", *fields)).alias("m"))
     )
     pairs = F.flatten(
         F.transform(
             "m",
             lambda x, i: F.transform(
-                F.filter(
-                    F.slice("m", i + 2, SMALL_BUCKET),
-                    lambda y: bits_apart(x["fp"], y["fp"]) <= most,
-                ),
+                F.filter(F.slice("m", i + 2, SMALL_BUCKET), lambda y: near(x, y)),
                 lambda y: F.struct(
                     F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")
                 ),
@@ -210,7 +209,10 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
     buckets = shared_buckets(keyed(nodes))
     crowd = buckets.where(F.col("n") > SMALL_BUCKET).select("id", "fp").distinct()
     links = written(
-        small_pairs(buckets, 2).unionByName(midpoint_links(crowd)).distinct(), "simhash-links"
+        small_pairs(buckets, ("fp",), lambda x, y: bits_apart(x["fp"], y["fp"]) <= 2)
+        .unionByName(midpoint_links(crowd))
+        .distinct(),
+        "simhash-links",
     )
     roots = components(links)
     named = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
@@ -225,66 +227,108 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
 
 @dataclass(frozen=True)
 class Settings:
-    """Near copies: Jaccard of ``k``-word shingles of ``similarity`` or more. More
-    ``fingerprints`` find more of the pairs near that limit, at 16 keys each."""
+    """Near copies: Jaccard of ``k``-word shingles of ``similarity`` or more."""
 
     k: int = 5
     similarity: float = 0.8
-    fingerprints: int = 6
 
 
-def _described(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, two hashes of the words in order, fingerprints (none below ``k`` words)."""
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+def _described(docs: DataFrame) -> DataFrame:
+    """doc_id and two hashes of the words in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, other, fps = [], [], []
+            same, other = [], []
             for value in batch.column(1):
-                text = value.as_py()
                 whole = xxhash.xxh3_128()
-                n = 0
-                for found in shingles(text, 1):
+                for found in shingles(value.as_py(), 1):
                     whole.update(b" ".join(found) + b" ")
-                    n += len(found)
                 digest = np.frombuffer(whole.digest(), ">i8")
                 same.append(int(digest[0]))
                 other.append(int(digest[1]))
-                fps.append(word_fingerprints(text, settings.fingerprints) if n >= settings.k else [])
-            columns = [pa.array(x, t) for x, t in zip((same, other, fps), kinds)]
+            columns = [pa.array(x, pa.int64()) for x in (same, other)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns], names=["doc_id", "same", "other", "fps"]
+                [batch.column(0), *columns], names=["doc_id", "same", "other"]
             )
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, same bigint, other bigint, fps array<bigint>"
+        run, "doc_id bigint, same bigint, other bigint"
     )
 
 
-def _many_keyed(nodes: DataFrame) -> DataFrame:
-    """(key, id) rows of nodes (id, fps); a fingerprint's place is part of its keys.
+#: About so many documents are looked at for common shingles, so many of these are kept.
+#: They decide in which order sets are read, that is the work, not what is found.
+SAMPLED, COMMON = 4_096, 100_000
+
+
+def common_shingles(texts: DataFrame, n: int, k: int) -> np.ndarray:
+    """Hashes of common shingles in ``n`` texts (doc_id, text), the rarer ones first."""
+    share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(max(1, n // SAMPLED)))
+    some = _shingle_sets(texts.where(share == 0), k).select(F.explode("set").alias("h"))
+    counts = some.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 3)
+    found = [r["h"] for r in counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()]
+    return np.array(found[::-1], np.int64).view(np.uint64)
+
+
+Common = tuple[np.ndarray, np.ndarray]
 
-    fp is 0: with a segment alike and another close, a pair needs no look at its bits.
+
+def placed(common: np.ndarray) -> Common:
+    """Shingles sorted by hash, and the place each had."""
+    places = np.argsort(common)
+    return common[places], places
+
+
+def first_shingles(found: np.ndarray, common: Common, similarity: float) -> np.ndarray:
+    """The shingles of which sets of the similarity have one in common, in the order of all.
+
+    That order is rare ones by hash, then ``common``. Of a set x at least similarity * |x|
+    shingles are in the other set; so many cannot all stand behind the first |x| minus
+    that plus one, and of those the first one shared stands there in both sets.
     """
+    names, places = common
+    if len(names):
+        at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+        late = names[at] == found
+        order = np.argsort(places[at[late]])
+        found = np.concatenate([found[~late], found[late][order]])
+    return found[: len(found) - math.ceil(similarity * len(found) - 1e-6) + 1]
+
+
+def _keyed_sets(texts: DataFrame, common: Common, settings: Settings) -> DataFrame:
+    """(key, id, size, pos) of each text's first shingles: its set's size, places from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                sets = [shingle_set(t.as_py(), settings.k) for t in part.column(1)]
+                keys = [first_shingles(x, common, settings.similarity) for x in sets]
+                counts = [len(x) for x in keys]
                 ids = part.column(0).to_numpy(zero_copy_only=False)
-                fps = part.column(1)
-                flat = fps.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                sizes = pa.compute.list_value_length(fps).to_numpy(zero_copy_only=False)
-                owner = np.repeat(np.arange(len(ids)), sizes)
-                turn = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                for rows, found in close_keys(flat):
-                    keys = found + (3 * turn[rows] << 36)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys), pa.array(ids[owner[rows]]), pa.array(np.zeros(len(keys), np.int64))],
-                        names=["key", "id", "fp"],
-                    )
+                columns = [
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(np.repeat(ids, counts), pa.int64()),
+                    pa.array(np.repeat([len(x) for x in sets], counts).astype(np.int32)),
+                    pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in counts])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "size", "pos"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "key bigint, id bigint, size int, pos int")
+
+
+def may_reach(similarity: float) -> Near:
+    """Whether two sets can reach the similarity if theirs is the first shingle they share.
+
+    All that they share stands from there on in both.
+    """
+    share = similarity / (1 + similarity)
 
-    return nodes.select("id", "fps").mapInArrow(run, "key bigint, id bigint, fp bigint")
+    def near(x: Column, y: Column) -> Column:
+        most = F.least(x["size"] - x["pos"], y["size"] - y["pos"])
+        return most >= share * (x["size"] + y["size"]) - 1e-6
+
+    return near
 
 
 #: Up to so many ids are sent to all tasks; more are joined by a shuffle.
@@ -296,56 +340,78 @@ def _ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
+def _shingle_sets(docs: DataFrame, k: int, slices: int = 1) -> DataFrame:
+    """id, digest and size of each text's set, and its shingles that ``slices`` divides."""
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                sets = [
-                    np.unique(np.concatenate([hashes(f) for f in shingles(t.as_py(), k)])).view(np.int64)
-                    for t in part.column(1)
-                ]
+                sets = [shingle_set(t.as_py(), k) for t in part.column(1)]
+                found = (
+                    np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64),
+                    [len(x) for x in sets],
+                    [x[x % np.uint64(slices) == 0].view(np.int64) for x in sets],
+                )
+                columns = [pa.array(x, t) for x, t in zip(found, kinds)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, kind)], names=["id", "set"]
+                    [part.column(0), *columns], names=["id", "digest", "size", "set"]
                 )
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, "id bigint, set array<bigint>"
+        run, "id bigint, digest bigint, size int, set array<bigint>"
     )
 
 
-def _alike(rows: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b), written, whose shingle sets reach the similarity."""
+#: A pair's sets are first compared in one of so many slices.
+SLICES = 5
+
+
+def _compared(rows: DataFrame, pairs: DataFrame, settings: Settings, slices: int) -> DataFrame:
+    """The pairs (a, b) that reach the similarity if all beyond the slice may agree."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     wanted = _ids(written(wanted, "near-wanted"))
     texts = rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    # Rows that repeat an id are one document; the first of their sets stands for them.
-    sets = _shingle_sets(texts, settings.k).groupBy("id").agg(F.min("set").alias("set"))
-    sets = written(sets, "near-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
+    # Rows that repeat an id are one document; the least of their sets stands for them.
+    sets = _shingle_sets(texts, settings.k, slices).groupBy("id")
+    sets = sets.agg(F.min(F.struct("digest", "size", "set")).alias("s"))
+    # Not written: the joins go on in the aggregate's partitions.
+    left = sets.select(F.col("id").alias("a"), F.col("s.size").alias("m"), F.col("s.set").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("s.size").alias("n"), F.col("s.set").alias("y"))
+    rest = F.least(F.col("m") - F.size("x"), F.col("n") - F.size("y"))
+    common = F.size(F.array_intersect("x", "y")) + rest
     return (
         pairs.join(left, "a")
         .join(right, "b")
-        .where(common >= settings.similarity * (F.size("x") + F.size("y") - common))
+        .where(common >= settings.similarity * (F.col("m") + F.col("n") - common))
         .select("a", "b")
     )
 
 
-def led(crowded: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each crowded bucket's leader with all others of the bucket.
+def _alike(rows: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose shingle sets reach the similarity.
+
+    A slice of the sets rules out most others, so few whole sets are sent around.
+    """
+    likely = written(_compared(rows, pairs, settings, SLICES), "near-likely")
+    return _compared(rows, likely, settings, 1)
+
+
+def led(crowded: DataFrame, fields: tuple[str, ...], near: Near) -> DataFrame:
+    """Pairs (a, b) of each crowded bucket's leader with the others that are near it.
 
     The leader stands in most crowded buckets: of edited copies the original does, as
     each edit takes a copy out of some.
     """
     known = crowded.groupBy("id").agg(F.count(F.lit(1)).alias("known"))
-    first = crowded.select("key", "id").join(known, "id").groupBy("key")
-    first = first.agg(F.max_by("id", F.struct("known", -F.col("id"))).alias("leader"))
-    others = crowded.select("key", "id").join(first, "key").where(F.col("id") != F.col("leader"))
-    return others.select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")
+    first = crowded.join(known, "id").groupBy("key")
+    first = first.agg(
+        F.max_by(F.struct("id", *fields), F.struct("known", -F.col("id"))).alias("x")
+    )
+    met = crowded.select("key", F.struct("id", *fields).alias("y")).join(first, "key")
+    return met.where((F.col("x.id") != F.col("y.id")) & near(F.col("x"), F.col("y"))).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
     ).distinct()
 
 
@@ -353,8 +419,10 @@ def led(crowded: DataFrame) -> DataFrame:
 BUCKET_PART = 128
 
 
-def unlinked_pairs(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of crowded buckets (key, id, n) that the components do not join yet.
+def unlinked_pairs(
+    crowded: DataFrame, roots: DataFrame, fields: tuple[str, ...], near: Near
+) -> DataFrame:
+    """Pairs (a, b) near in crowded buckets (key, id, n) that components do not join yet.
 
     A bucket is dealt into parts; each two parts meet by themselves, so a large bucket
     is spread over tasks.
@@ -371,15 +439,16 @@ def unlinked_pairs(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     )
     low = rooted.select(
         "key", F.col("part").alias("low"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("high"),
-        F.struct("id", "root").alias("x"),
+        F.struct("id", "root", *fields).alias("x"),
     )
     high = rooted.select(
         "key", F.explode(F.sequence(F.lit(0).cast("long"), "part")).alias("low"), F.col("part").alias("high"),
-        F.struct("id", "root").alias("y"),
+        F.struct("id", "root", *fields).alias("y"),
     )
     met = low.join(high, ["key", "low", "high"]).where(
         (F.col("x.root") != F.col("y.root"))
         & ((F.col("low") < F.col("high")) | (F.col("x.id") < F.col("y.id")))
+        & near(F.col("x"), F.col("y"))
     )
     return met.select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
@@ -390,24 +459,28 @@ def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     """doc_id and ``keeper`` of every document with an id: the smallest id of its group.
 
     Documents of the same words in the same order are one node, named by the smallest
-    id. Nodes are candidates if one of several fingerprints of their distinct words
-    gives them a common key (a segment without error, the next with up to two); they
-    are linked if the shingle sets reach the similarity. In buckets of more than
+    id. Nodes are candidates if the first shingles of their sets, rare ones before
+    common ones, have one in common, as those of any two that reach the similarity do;
+    they are linked if the whole sets reach it. In buckets of more than
     ``SMALL_BUCKET`` nodes each is compared with one leader first, then with all that
     these links have not joined it to; a pair left out is in one group already. Texts of
     fewer than ``k`` words (also null) match only texts of the same words.
     """
     rows = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
-    marks = written(_described(rows, settings), "near-marks")
-    nodes = marks.groupBy("same", "other").agg(
-        F.min("doc_id").alias("id"), F.first("fps").alias("fps")
-    )
+    marks = written(_described(rows), "near-marks")
+    nodes = marks.groupBy("same", "other").agg(F.min("doc_id").alias("id"))
     nodes = written(nodes, "near-nodes")
-    buckets = shared_buckets(_many_keyed(nodes))
+    texts = rows.select("doc_id", F.col("text").cast("string").alias("text")).join(
+        _ids(nodes.select(F.col("id").alias("doc_id")).distinct()), "doc_id", "left_semi"
+    )
+    common = placed(common_shingles(texts, nodes.count(), settings.k))
+    buckets = shared_sets(_keyed_sets(texts, common, settings))
     crowded = buckets.where(F.col("n") > SMALL_BUCKET)
-    pairs = written(small_pairs(buckets, 0).unionByName(led(crowded)).distinct(), "near-pairs")
+    by = ("size", "pos"), may_reach(settings.similarity)
+    pairs = small_pairs(buckets, *by).unionByName(led(crowded, *by)).where(F.col("a") != F.col("b"))
+    pairs = written(pairs.distinct(), "near-pairs")
     links = written(_alike(rows, pairs, settings), "near-links")
-    pairs = written(unlinked_pairs(crowded, components(links)), "near-pairs")
+    pairs = written(unlinked_pairs(crowded, components(links), *by), "near-pairs")
     if not pairs.isEmpty():
         links = links.unionByName(_alike(rows, pairs, settings))
     roots = components(links)
