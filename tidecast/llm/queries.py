@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, langid, lines, lm, preferences, quality, shards, simhash, tokens  # noqa: F401
+from . import bpe, decontaminate, divergence, langid, lines, lm, preferences, quality, shards, simhash, tokens  # noqa: F401
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
