@@ -58,6 +58,10 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
     return prepare(spark)
 
 
+# The temporary folder of each application that runs on one machine without a setting.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster shares between its machines.
 
@@ -68,6 +72,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
-        base = tempfile.mkdtemp(prefix="tidecast-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # The setting is fixed on a live session, so the folder is kept here.
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="tidecast-")
+        base = _local_folders[application]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
