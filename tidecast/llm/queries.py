@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, divergence, langid, lines, lm, preferences, quality, shards, simhash, tokens  # noqa: F401
+from . import (  # noqa: F401
+    bpe, decontaminate, divergence, langid, lines, lm, preferences, quality, shards, simhash, spelling, tokens, warc,
+)
 from .common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
