@@ -105,8 +105,14 @@ def test_damage_is_noticed(spark):
 
 def test_payloads_cross_one_shuffle_and_no_join(spark):
     archive = warc.write_archive(spark.createDataFrame(rows(), PAGES))
-    plan = warc.records(archive)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)
+    try:
+        plan = warc.records(archive)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
 def test_empty_and_clashing(spark):
