@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import filters, gifts
+from ..plans.as_of import validity
 from ..sources.dimension import changed_since, latest_dimension
 from . import inputs
 from .registry import query
@@ -22,6 +23,11 @@ def rewards_of(raw):
     ).select("id", "anchor_id", "gift_id")
 
 
+def timed_rewards_of(raw):
+    rows = gifts.reward_gifts(filters.rewards(inputs.live_events(raw)))
+    return rows.select("id", "timestamp", "anchor_id", "gift_id")
+
+
 def rewards(spark, folder):
     return rewards_of(inputs.table(spark, folder, "events"))
 
@@ -83,3 +89,35 @@ def _points_by_anchor(spark, folder):
         rewards(spark, folder), live_gifts(spark, folder)
     )
     return summed.select("anchor_id", F.round("points", 2).alias("points"))
+
+
+AS_OF_SQL = f"""WITH {REWARDS_SQL}, {inputs.VERSIONS_SQL}
+    SELECT r.id, r."timestamp", r.anchor_id, r.gift_id,
+           coalesce(CASE WHEN v.deleted = 0 THEN v.name END, CAST(r.gift_id AS VARCHAR)) AS gift_name,
+           round(CASE WHEN v.deleted = 0 THEN v.points END, 2) AS points
+    FROM rewards r ASOF LEFT JOIN versions v ON r.gift_id = v.id AND r."timestamp" >= v."updateTime" """
+
+
+def shown_points(found):
+    return found.select(
+        "id", "timestamp", "anchor_id", "gift_id", "gift_name", F.round("points", 2).alias("points")
+    )
+
+
+@query("gift_points_as_of", AS_OF_SQL)
+def _points_as_of(spark, folder):
+    rows = timed_rewards_of(inputs.table(spark, folder, "events"))
+    return shown_points(
+        gifts.gift_points_as_of(rows, inputs.gift_versions(spark, folder), tie=["change"])
+    )
+
+
+@query(
+    "dimension_validity",
+    f"""WITH {inputs.VERSIONS_SQL}
+    SELECT id, name, points, deleted, change, "updateTime",
+           lead("updateTime") OVER (PARTITION BY id ORDER BY "updateTime") AS "validTo"
+    FROM versions""",
+)
+def _validity(spark, folder):
+    return validity(inputs.gift_versions(spark, folder), ["id"], "updateTime", tie=["change"])

@@ -38,7 +38,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 # The time column by which a table's rows arrive.
 ARRIVES_BY = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 BATCHES = 4
-_portions: dict[tuple[str, str, str], str] = {}
+_portions: dict[tuple[str, str, str], tuple[str, int]] = {}
 
 
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,11 +55,24 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
         shares = [i / BATCHES for i in range(1, BATCHES)]
         cuts = rows.agg(F.percentile_approx(at, shares, 1000)).first()[0] or []
         portion = sum(((at > cut).cast("int") for cut in cuts), F.lit(0))
-        for number in range(BATCHES):
-            part = rows.where(portion == number).coalesce(1)
-            part.write.mode("append").parquet(path)
-        _portions[key] = path
-    return stream_files(spark, rows, _portions[key], "*.parquet", 1)
+        _portions[key] = path, write_portions(rows, portion, path)
+    path, files = _portions[key]
+    return stream_files(spark, rows, path, "*.parquet", files)
+
+
+def write_portions(rows: DataFrame, portion, path: str) -> int:
+    """Write each portion as equally many files, one after the other; how many they are.
+
+    A stream that reads so many files per trigger takes one portion per micro-batch.
+    """
+    sizes = rows.groupBy(portion.alias("portion")).count().collect()
+    smallest = min((r["count"] for r in sizes), default=0)
+    # Every file of a portion gets rows, else there would be fewer of them.
+    files = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, smallest // 16))
+    for number in range(BATCHES):
+        part = rows.where(portion == number).repartition(files)
+        part.write.mode("append").parquet(path)
+    return files
 
 
 def millis(column: str):
@@ -221,6 +234,34 @@ def gift_changes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Every gift changes several times while the events last.
+CHANGES_FROM, CHANGE_STEP, CHANGE_STEPS = 1_704_067_200_000, 1_000_000, 2592
+
+
+def gift_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of a hundred gifts over the events' time, from ``part``."""
+    change = F.col("p_partkey")
+    step = change * 7919 % CHANGE_STEPS
+    return table(spark, folder, "part").select(
+        (change % 100).cast("int").alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_retailprice").alias("points"),
+        (F.col("p_size") % 5 == 0).cast("int").alias("deleted"),
+        (F.lit(CHANGES_FROM) + step * CHANGE_STEP).alias("updateTime"),
+        change.alias("change"),
+    )
+
+
+VERSIONS_SQL = f"""
+every_version AS (
+  SELECT CAST(p_partkey % 100 AS INTEGER) AS id, p_name AS name, p_retailprice AS points,
+         CASE WHEN p_size % 5 = 0 THEN 1 ELSE 0 END AS deleted, p_partkey AS change,
+         {CHANGES_FROM} + p_partkey * 7919 % {CHANGE_STEPS} * {CHANGE_STEP} AS "updateTime"
+  FROM part),
+versions AS (
+  SELECT * FROM every_version
+  QUALIFY row_number() OVER (PARTITION BY id, "updateTime" ORDER BY change DESC) = 1)"""
+
 GIFTS_SQL = """
 changes AS (
   SELECT CAST(p_partkey // 2 AS INTEGER) AS id, p_name AS name, p_retailprice AS points,

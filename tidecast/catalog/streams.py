@@ -8,14 +8,15 @@ from ..operators import audience, filters, gifts, orders, products, users
 from ..session import shared_folder
 from ..sinks import tables
 from ..sources.dimension import PolledDimension, with_fresh_dimension
-from ..streaming import processors
-from ..streaming.late import late_splitter
-from ..streaming.orders import order_matcher, tagged
-from ..streaming.runs import append_to_table, batches_to_table, finish
+from ..streaming import as_of, carried, processors
+from ..streaming.first_seen import flagged_batch, marked
+from ..streaming.late import late_splitter, with_on_time_keys
+from ..streaming.orders import order_filler, order_stream
+from ..streaming.runs import append_to_table, batches_to_table, finish, run_batches, stream_files
 from . import inputs
 from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
 from .orders import DELAY, DELAY_MS, order_table
-from .gifts import GIFT_POINTS_SQL, live_gifts, rewards_of
+from .gifts import AS_OF_SQL, GIFT_POINTS_SQL, live_gifts, rewards_of, shown_points, timed_rewards_of
 from .products import (
     SIZE,
     SIZE_MS,
@@ -83,11 +84,11 @@ def _users_total(spark, folder):
 def _activity(spark, folder):
     """Batches add visits and first visits; state is spread over users."""
     rows = activity_rows_of(inputs.table_stream(spark, folder, "events"))
-    flagged = processors.flag_first_seen_stream(rows, "uid", ("activity", "event"))
+    scope = ("activity", "event")
     increments = batches_to_table(
-        flagged,
+        marked(rows, "uid", scope),
         "stream-activity",
-        shape=lambda batch: batch.groupBy("activity", "event").agg(
+        shape=lambda batch: flagged_batch(batch, "uid", scope).groupBy(*scope).agg(
             F.sum("isN").alias("uv"), F.count("*").alias("pv")
         ),
     )
@@ -123,25 +124,36 @@ def _activity_approx(spark, folder):
 
 @query("stream_is_new_user_by_device_type", IS_NEW_SQL)
 def _is_new(spark, folder):
-    flagged = processors.flag_first_seen_stream(
-        _launches(spark, folder, "deviceType")
-    )
-    return append_to_table(flagged, "stream-is-new")
+    """Spark's own deduplication tells new devices; no Python state."""
+    rows = marked(_launches(spark, folder, "deviceType"))
+    return batches_to_table(rows, "stream-is-new", shape=flagged_batch).drop("batch")
 
 
 @query("stream_new_user_count_by_channel", COUNT_NEW_SQL)
 def _count_new(spark, folder):
-    counted = processors.count_first_seen_stream(
-        _launches(spark, folder, "releaseChannel")
+    """New devices by deduplication, counts per channel carried from batch to batch."""
+    rows = marked(_launches(spark, folder, "releaseChannel"), scope=())
+    columns = (
+        'id bigint, timestamp bigint, deviceId string, releaseChannel string, "isN" int, "perCnt" int'
     )
-    return append_to_table(counted, "stream-count-new")
+    return run_batches(
+        rows, "stream-count-new", carried.first_seen_count_batches, columns.replace('"', "")
+    )
+
+
+VISIT_COLUMNS = ("anchor_id", "deviceId", "timestamp", "id", "entered")
 
 
 @query("stream_audience_uv_pv_online", AUDIENCE_SQL)
 def _audience(spark, folder):
+    """Totals per room are carried from batch to batch; a batch is summed in chunks."""
     visits = filters.room_visits(_events(spark, folder))
-    counted = processors.audience_stream(visits, ttl_hours=None)
-    return append_to_table(counted, "stream-audience")
+    return run_batches(
+        marked(visits.select(*VISIT_COLUMNS), "deviceId", ("anchor_id", "entered")),
+        "stream-audience",
+        carried.audience_batches,
+        "id bigint, timestamp bigint, anchor_id string, uv bigint, pv bigint, online bigint",
+    )
 
 
 TTL_HOURS = 6
@@ -177,10 +189,13 @@ def _audience_ttl(spark, folder):
 def _snapshot(spark, folder):
     """Batches add their increments to a table; its sums are the rooms' states."""
     visits = filters.room_visits(_events(spark, folder))
+    scope = ("anchor_id", "entered")
     increments = batches_to_table(
-        processors.flag_first_enters_stream(visits),
+        marked(visits.select(*VISIT_COLUMNS), "deviceId", scope),
         "stream-snapshot",
-        shape=lambda batch: audience.snapshot_increments(batch, "6 hours"),
+        shape=lambda batch: audience.snapshot_increments(
+            flagged_batch(batch, "deviceId", scope), "6 hours"
+        ),
     )
     return audience.snapshot_from_increments(increments)
 
@@ -223,7 +238,10 @@ def _popular_entries(spark, folder):
 @query("stream_category_running_sum", RUNNING_SUM_SQL)
 def _running_sum(spark, folder):
     rows = category_rows(inputs.table_stream(spark, folder, "events"))
-    return append_to_table(processors.running_sum_stream(rows), "stream-sum")
+    return run_batches(
+        rows, "stream-sum", carried.running_sum_batches,
+        "category string, timestamp bigint, id bigint, total bigint",
+    )
 
 
 CLOSED = '"windowEnd" <= (SELECT max("timestamp") FROM shop) - 5000'
@@ -287,7 +305,8 @@ def _order_join(spark, folder):
     return append_to_table(joined.select(*columns.split()), "stream-orders")
 
 
-# Rows of both sides come in four portions of the time in which details arrive.
+# Rows of both sides come in four portions of the time in which details arrive. Spark takes
+# rows as late by the watermark under which the previous batch ran.
 PORTION_SQL = "least(3, greatest(0, ({time} - lo) * 4 // (hi - lo + 1)))"
 STREAM_FILL_SQL = f"""WITH {inputs.ORDERS_SQL},
     span AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM details),
@@ -299,7 +318,7 @@ STREAM_FILL_SQL = f"""WITH {inputs.ORDERS_SQL},
       FROM range(0, 4) t(p)),
     marked AS (
       SELECT dp.*, coalesce("windowStart" + {inputs.ORDER_WINDOW_MS} <= wm, false) AS is_late
-      FROM dp LEFT JOIN tops ON tops.p = dp.p - 1)
+      FROM dp LEFT JOIN tops ON tops.p = dp.p - 2)
     SELECT order_id, line, sku, update_ms,
            CASE WHEN NOT is_late THEN "windowStart" END AS "windowStart",
            j.oid, coalesce(j.total_money, l.total_money) AS total_money,
@@ -308,7 +327,8 @@ STREAM_FILL_SQL = f"""WITH {inputs.ORDERS_SQL},
     FROM marked
     LEFT JOIN mains j ON order_id = j.oid AND "windowStart" = j.main_window AND NOT is_late
     LEFT JOIN mains l ON order_id = l.oid AND j.oid IS NULL
-    WHERE is_late OR "windowStart" + {inputs.ORDER_WINDOW_MS} <= (SELECT wm FROM tops WHERE p = 3)"""
+    WHERE is_late OR j.oid IS NOT NULL
+       OR "windowStart" + {inputs.ORDER_WINDOW_MS} <= (SELECT wm FROM tops WHERE p = 3)"""
 
 
 @query("stream_order_lookup_fill", STREAM_FILL_SQL)
@@ -318,31 +338,49 @@ def _order_fill(spark, folder):
     details = inputs.arriving_details(inputs.table(spark, folder, "lineitem"))
     mains = inputs.order_main(inputs.table(spark, folder, "orders"))
     low, high = details.agg(F.min("arrival"), F.max("arrival")).first()
-    names = [c for c in details.columns if c != "arrival"], mains.columns
-    rows = tagged(
-        details.withColumn("at", F.col("arrival")).drop("arrival"),
-        mains.withColumn("at", F.col("main_update_ms")),
-    )
-    portion = F.floor((F.col("at") - low) * inputs.BATCHES / (high - low + 1))
-    portion = F.least(F.lit(inputs.BATCHES - 1), F.greatest(F.lit(0), portion))
-    for number in range(inputs.BATCHES):
-        part = rows.where(portion == number).coalesce(1)
-        part.write.mode("append").parquet(f"{path}/arrived")
-    stream = (
-        spark.readStream.schema(rows.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{path}/arrived")
+    ids = ("order_id", "line", "sku", "update_ms")
+    sides = []
+    for name, rows, at in (
+        ("details", details.select(*ids, "arrival"), "arrival"),
+        ("mains", mains, "main_update_ms"),
+    ):
+        portion = F.floor((F.col(at) - low) * inputs.BATCHES / (high - low + 1))
+        portion = F.least(F.lit(inputs.BATCHES - 1), F.greatest(F.lit(0), portion))
+        files = inputs.write_portions(rows, portion, f"{path}/{name}")
+        like = rows.drop("arrival")
+        sides.append(stream_files(spark, like, f"{path}/{name}", "*.parquet", files))
+    stream = order_stream(*sides, ids, inputs.ORDER_WINDOW, DELAY)
+    joined = [*ids, "windowStart", *mains.columns]
+    filler = order_filler(
+        lambda: order_table(spark, folder), tables.table_writer(f"{path}/rows"), ids, ids, joined
     )
-    matcher = order_matcher(
-        f"{path}/state", lambda: order_table(spark, folder), tables.table_writer(f"{path}/rows"),
-        *names, size=inputs.ORDER_WINDOW, delay=DELAY,
-    )
-    finish(stream.writeStream.foreachBatch(matcher), f"{path}/checkpoint")
+    finish(stream.writeStream.foreachBatch(filler), f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/rows").select(
         "order_id", "line", "sku", "update_ms", "windowStart", "oid", "total_money", "main_source"
     )
 
 
+@query("stream_gift_points_as_of", AS_OF_SQL)
+def _gift_points_as_of(spark, folder):
+    """Changes and rewards arrive as one stream; versions are carried to later batches."""
+    path = shared_folder(spark, "stream-as-of")
+    rows = as_of.tagged(
+        timed_rewards_of(inputs.table(spark, folder, "events")), inputs.gift_versions(spark, folder)
+    ).withColumn("at", F.coalesce("timestamp", "updateTime"))
+    cuts = [inputs.CHANGES_FROM + i * inputs.CHANGE_STEPS // 4 * inputs.CHANGE_STEP for i in (1, 2, 3)]
+    portion = sum(((F.col("at") > cut).cast("int") for cut in cuts), F.lit(0))
+    files = inputs.write_portions(rows, portion, f"{path}/arrived")
+    stream = stream_files(spark, rows, f"{path}/arrived", "*.parquet", files)
+    points = run_batches(
+        stream, "stream-as-of-rows",
+        lambda state, write: as_of.gift_points_batches(
+            state, write, rows.schema, ("id", "timestamp", "anchor_id", "gift_id"), tie=("change",)
+        ),
+        "id bigint, timestamp bigint, anchor_id string, gift_id int, gift_name string, points double",
+    )
+    return shown_points(points)
+
+
 @query("stream_gift_points", GIFT_POINTS_SQL)
 def _gift_points(spark, folder):
     """The gift table is read anew for every batch."""
@@ -445,11 +483,7 @@ def _late(spark, folder):
     rows = inputs.live_events(raw).select("id", "timestamp", portion.alias("portion"))
     kept = rows.drop("portion")
     splitter = late_splitter(
-        f"{path}/marks",
-        tables.table_writer(f"{path}/on-time"),
-        tables.table_writer(f"{path}/late"),
-        size="6 hours",
-        delay="1 hour",
+        tables.table_writer(f"{path}/on-time"), tables.table_writer(f"{path}/late")
     )
     for number in range(PORTIONS):
         arrived = rows.where(F.col("portion") == number).drop("portion")
@@ -459,7 +493,8 @@ def _late(spark, folder):
             .option("maxFilesPerTrigger", 1_000_000)
             .parquet(f"{path}/arrived")
         )
-        finish(stream.writeStream.foreachBatch(splitter), f"{path}/checkpoint")
+        marked_rows = with_on_time_keys(stream, size="6 hours", delay="1 hour")
+        finish(marked_rows.writeStream.foreachBatch(splitter), f"{path}/checkpoint")
     on_time = tables.read_table(spark, f"{path}/on-time", kept.schema)
     late = tables.read_table(spark, f"{path}/late", kept.schema)
     return (

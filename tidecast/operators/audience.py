@@ -41,6 +41,18 @@ def _increments(visits: DataFrame) -> DataFrame:
     return steps.unionByName(first)
 
 
+def flagged_increments(visits: DataFrame) -> DataFrame:
+    """What each visit adds, for visits whose ``isN`` marks a device's first enter."""
+    return visits.where("anchor_id IS NOT NULL").select(
+        "anchor_id",
+        "timestamp",
+        "id",
+        (F.col("entered") * F.col("isN")).cast("long").alias("uv"),
+        F.col("entered").cast("long").alias("pv"),
+        (2 * F.col("entered") - 1).cast("long").alias("online"),
+    )
+
+
 def audience(
     visits: DataFrame,
     floor_at_zero: bool = True,

@@ -1,54 +1,64 @@
-"""Late rows of a stream, set aside instead of dropped."""
+"""Late rows of a stream, told apart by the engine's own watermark.
+
+Spark drops rows whose window the watermark has closed, silently. Here each row goes
+two ways in one query: as it is, and as a key through a deduplication on the window,
+which drops late ones. Rows of a micro-batch whose key did not come through are late.
+Their number depends on the batch alone, and the keys leave the state with their window.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import duration_ms
-from ..operators.orders import tumbling_start
+from ..functions.columns import duration_ms, event_time
 
-MARK = "highest bigint"
+_MARK, _WINDOW = "_on_time_key", "_window"
 
 
-def late_splitter(
-    path: str,
-    on_time: Callable[[DataFrame, int], None],
-    late: Callable[[DataFrame, int], None],
+def with_on_time_keys(
+    rows: DataFrame,
+    ids: Sequence[str] = ("id",),
     ts: str = "timestamp",
     size: str | int = "5 seconds",
     delay: str | int = "2 seconds",
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that hands on-time and late rows to two writers.
+) -> DataFrame:
+    """The rows of a stream and, as rows of their own, the keys of those on time.
 
-    A row is late when its window had closed by the highest time of the earlier
-    batches less ``delay``. Each batch leaves that time below ``path`` for the
-    next one, so a batch that runs again is split the same way.
+    ``ids`` identify a row. A row without a time is on time.
     """
-    width, slack = duration_ms(size), duration_ms(delay)
+    timed = rows.withColumn("_ts", event_time(ts)).withWatermark("_ts", f"{duration_ms(delay)} milliseconds")
+    window = F.window("_ts", f"{duration_ms(size)} milliseconds").alias(_WINDOW)
+    keys = timed.where(F.col("_ts").isNotNull()).select(*ids, window)
+    keys = keys.dropDuplicates([*ids, _WINDOW]).select(*ids, F.lit(True).alias(_MARK))
+    return rows.withColumn(_MARK, F.lit(False)).unionByName(keys, allowMissingColumns=True)
+
+
+def mark_late_batch(batch: DataFrame, ids: Sequence[str] = ("id",), ts: str = "timestamp") -> DataFrame:
+    """Rows of a :func:`with_on_time_keys` batch with ``is_late``."""
+    rows = batch.where(~F.col(_MARK)).drop(_MARK)
+    on_time = batch.where(_MARK).select(*ids).distinct().withColumn("_on_time", F.lit(True))
+    met = rows.join(on_time, list(ids), "left")
+    late = F.col("_on_time").isNull() & F.col(ts).isNotNull()
+    return met.withColumn("is_late", late).drop("_on_time")
+
+
+def late_splitter(
+    on_time: Callable[[DataFrame, int], None],
+    late: Callable[[DataFrame, int], None],
+    ids: Sequence[str] = ("id",),
+    ts: str = "timestamp",
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that hands on-time and late rows to two writers."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
+        marked = mark_late_batch(batch, ids, ts).persist()
         try:
-            seen = None
-            if batch_id > 0:
-                mark = spark.read.schema(MARK).parquet(f"{path}/batch={batch_id - 1}")
-                seen = mark.first()["highest"]
-            highest = F.greatest(F.max(ts), F.lit(seen).cast("long"))
-            batch.agg(highest.cast("long").alias("highest")).write.mode(
-                "overwrite"
-            ).parquet(f"{path}/batch={batch_id}")
-            if seen is None:
-                is_late = F.lit(False)
-            else:
-                window_end = tumbling_start(ts, width) + width
-                is_late = F.coalesce(window_end <= F.lit(seen - slack), F.lit(False))
-            on_time(batch.where(~is_late), batch_id)
-            late(batch.where(is_late), batch_id)
+            on_time(marked.where("NOT is_late").drop("is_late"), batch_id)
+            late(marked.where("is_late").drop("is_late"), batch_id)
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
     return each

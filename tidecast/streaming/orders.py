@@ -1,4 +1,9 @@
-"""The order job as one stream: windows, late rows, and the order table for the rest."""
+"""The order job as one stream: windows, late rows, and the order table for the rest.
+
+Details and orders meet in Spark's stream-stream join, whose watermark follows the slower
+side. Details that it drops as late come beside it, marked by :mod:`.late` under the same
+watermark, and go straight to the order table, as do details that met no order.
+"""
 
 from __future__ import annotations
 
@@ -7,84 +12,54 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import duration_ms
-from ..operators.orders import WINDOW_START, lookup_fill, tumbling_start
-from ..plans.joins import left_join
+from ..operators.orders import late_row_shape, lookup_fill, windowed_left_join
+from .late import mark_late_batch, with_on_time_keys
+
+_JOINED = "_joined"
 
-SIDE, DETAIL, MAIN = "side", "detail", "main"
-TOPS = "details bigint, mains bigint"
 
+def order_stream(
+    details: DataFrame,
+    mains: DataFrame,
+    ids: Sequence[str],
+    size: str | int = "5 seconds",
+    delay: str | int = "2 seconds",
+) -> DataFrame:
+    """Joined details, and every detail with its on-time key, for :func:`order_filler`.
 
-def tagged(details: DataFrame, mains: DataFrame) -> DataFrame:
-    """Details and orders as the rows of one stream."""
-    return details.withColumn(SIDE, F.lit(DETAIL)).unionByName(
-        mains.withColumn(SIDE, F.lit(MAIN)), allowMissingColumns=True
+    Details have ``order_id`` and ``update_ms``, orders ``oid`` and ``main_update_ms``.
+    """
+    joined = windowed_left_join(
+        details, mains, "order_id", "oid", size, delay, right_ts="main_update_ms"
+    )
+    arrived = with_on_time_keys(details, ids, "update_ms", size, delay)
+    return joined.withColumn(_JOINED, F.lit(True)).unionByName(
+        arrived.withColumn(_JOINED, F.lit(False)), allowMissingColumns=True
     )
 
 
-def order_matcher(
-    path: str,
+def order_filler(
     read_orders: Callable[[], DataFrame],
     write: Callable[[DataFrame, int], None],
+    ids: Sequence[str],
     details: Sequence[str],
-    mains: Sequence[str],
-    size: str | int = "5 seconds",
-    delay: str | int = "2 seconds",
+    joined: Sequence[str],
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function over :func:`tagged` rows; each detail comes out once.
+    """A ``foreachBatch`` function over :func:`order_stream`; each detail comes out once.
 
-    The watermark is the highest time that both sides have reached less ``delay``. A
-    detail whose window had closed by the earlier batches is late and goes straight to
-    the order table. Others wait below ``path`` for their window to close and then meet
-    its orders; those that meet none go to the order table too. A batch that runs again
-    decides the same rows again and replaces what it had written.
+    ``details`` and ``joined`` are the columns of a detail and of a joined row. A detail
+    that is on time comes out when it meets its order or its window closes.
     """
-    width, slack = duration_ms(size), duration_ms(delay)
-    end = F.col(WINDOW_START) + width
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            seen = (None, None)
-            if batch_id > 0:
-                seen = spark.read.schema(TOPS).parquet(f"{path}/tops/batch={batch_id - 1}").first()
-            own = batch.agg(F.max("update_ms"), F.max("main_update_ms")).first()
-            tops = [max((x for x in pair if x is not None), default=None) for pair in zip(seen, own)]
-            spark.createDataFrame([tuple(tops)], TOPS).coalesce(1).write.mode("overwrite").parquet(
-                f"{path}/tops/batch={batch_id}"
-            )
-            before, now = (None if None in x else min(x) - slack for x in (tuple(seen), tuple(tops)))
-
-            arrived = batch.where(F.col(SIDE) == DETAIL).select(*details)
-            arrived = arrived.withColumn(WINDOW_START, tumbling_start("update_ms", width))
-            late = F.lit(False) if before is None else F.coalesce(end <= before, F.lit(False))
-            known = batch.where(F.col(SIDE) == MAIN).select(*mains)
-            known = known.withColumn(WINDOW_START, tumbling_start("main_update_ms", width))
-            for name, rows in (("details", arrived.where(~late)), ("mains", known)):
-                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-
-            missing = known.drop(WINDOW_START).schema
-            out = arrived.where(late).withColumns(
-                {
-                    WINDOW_START: F.lit(None).cast("bigint"),
-                    **{f.name: F.lit(None).cast(f.dataType) for f in missing},
-                }
-            )
-            if now is not None:
-                closing = end <= now if before is None else (end <= now) & (end > before)
-                waiting = _kept(spark, f"{path}/details", arrived, batch_id).where(closing)
-                orders = _kept(spark, f"{path}/mains", known, batch_id).where(closing)
-                orders = orders.withColumn("order_id", F.col("oid"))
-                out = out.unionByName(left_join(waiting, orders, ["order_id", WINDOW_START]))
-            write(lookup_fill(out, read_orders()), batch_id)
+            met = batch.where(_JOINED).select(*joined)
+            arrived = batch.where(~F.col(_JOINED)).select(*details, "_on_time_key")
+            late = mark_late_batch(arrived, ids, "update_ms").where("is_late").drop("is_late")
+            rows = met.unionByName(late_row_shape(late, met.schema))
+            write(lookup_fill(rows, read_orders()), batch_id)
         finally:
             batch.unpersist()
 
     return each
-
-
-def _kept(spark, path: str, like: DataFrame, batch_id: int) -> DataFrame:
-    """Rows of the batches up to this one."""
-    rows = spark.read.schema(like.schema.add("batch", "long")).option("basePath", path).parquet(path)
-    return rows.where(F.col("batch") <= batch_id).drop("batch")

@@ -77,6 +77,26 @@ def batches_to_table(
     return read_table(spark, f"{folder}/rows", schema)
 
 
+def run_batches(
+    stream: DataFrame,
+    purpose: str,
+    make: Callable[[str, Callable], Callable],
+    schema: str,
+) -> DataFrame:
+    """Run a stream through ``make(folder, write)``, a ``foreachBatch`` function with state.
+
+    Returns the table of what it wrote, whose columns are those of ``schema``.
+    """
+    from ..sinks.tables import read_table, table_writer
+
+    spark = stream.sparkSession
+    folder = shared_folder(spark, purpose)
+    each = make(f"{folder}/state", table_writer(f"{folder}/rows"))
+    finish(stream.writeStream.foreachBatch(each), f"{folder}/checkpoint")
+    like = spark.createDataFrame([], schema)
+    return read_table(spark, f"{folder}/rows", like.schema).drop("batch")
+
+
 def stream_files(
     spark: SparkSession, like: DataFrame, folder: str, name: str, max_files: int = 100
 ) -> DataFrame:
