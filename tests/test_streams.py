@@ -21,7 +21,7 @@ from tidecast.operators import audience, orders, products, users
 from tidecast.sinks import tables
 from tidecast.sources.dimension import with_fresh_dimension
 from tidecast.streaming import processors
-from tidecast.streaming.late import late_splitter
+from tidecast.streaming.late import late_splitter, with_on_time_keys
 from tidecast.streaming.runs import append_to_table, batches_to_table, finish
 
 FILES = 4
@@ -201,22 +201,29 @@ def late_writers(path):
 
 
 def test_late_splitter(spark, tmp_path):
-    batches = [[1, 4, 20], [3, 12, 14, 40], [33, 37, 38, 60], [61]]
-    base = str(tmp_path)
-    each = late_splitter(f"{base}/marks", *late_writers(base), size=5000, delay=2000)
-    highest, want_late = None, []
+    """A run per portion, the third one again as after a lost commit; repeated times, no time."""
+    batches = [[1, 4, 20], [3, 12, 14, 40, None], [33, 37, 38, 60, 33], [61]]
+    base, number, highest, want_late = str(tmp_path), 0, None, []
+    schema = "id bigint, timestamp bigint"
     for n, seconds in enumerate(batches):
-        times = [s * 1000 for s in seconds]
+        times = [None if s is None else s * 1000 for s in seconds]
+        known = [t for t in times if t is not None]
         if highest is not None:
-            want_late += [t for t in times if t // 5000 * 5000 + 5000 <= highest - 2000]
-        batch = spark.createDataFrame([(t,) for t in times], "timestamp bigint")
-        each(batch, n)
+            want_late += [t for t in known if t // 5000 * 5000 + 5000 <= highest - 2000]
+        batch = spark.createDataFrame([(number + i, t) for i, t in enumerate(times)], schema)
+        number += len(times)
+        batch.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        rows_in = spark.readStream.schema(schema).parquet(f"{base}/in")
+        stream_rows = with_on_time_keys(rows_in, size=5000, delay=2000)
+        splitter = late_splitter(*late_writers(base))
+        finish(stream_rows.writeStream.foreachBatch(splitter), f"{base}/checkpoint")
+        highest = max(known + ([highest] if highest is not None else []))
         if n == 2:
-            each(batch, n)  # the same batch again, as after a failure
-        highest = max(times + ([highest] if highest is not None else []))
-    schema = batch.schema
-    late = tables.read_table(spark, f"{base}/late", schema)
-    on_time = tables.read_table(spark, f"{base}/on-time", schema)
+            last = max(int(p.name) for p in (tmp_path / "checkpoint/commits").iterdir() if p.name.isdigit())
+            for name in (f"{last}", f".{last}.crc"):
+                (tmp_path / "checkpoint/commits" / name).unlink(missing_ok=True)
+    late = tables.read_table(spark, f"{base}/late", batch.schema)
+    on_time = tables.read_table(spark, f"{base}/on-time", batch.schema)
     assert [r[0] for r in rows(late, "timestamp")] == sorted(want_late)
     assert late.count() + on_time.count() == sum(map(len, batches))
     assert len(want_late) >= 3
