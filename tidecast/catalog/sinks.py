@@ -16,8 +16,9 @@ from ..operators.location import enrich_location
 from ..session import shared_folder
 from ..schemas import TEST_LINE
 from ..sinks import tables
+from ..sinks.manifest import ManifestTable
 from ..sources.records import parse_delimited
-from ..streaming.processors import flag_first_enters_stream
+from ..streaming.first_seen import flagged_batch, marked
 from ..streaming.runs import finish
 from . import inputs
 from .audience import _snapshot_sql
@@ -110,11 +111,10 @@ DETAIL_SQL = PLACED_SQL.format(
 
 
 def _detail_columns(table):
-    return (
-        tables.latest_details(table)
-        .withColumn("event_ms", F.unix_millis("eventTime"))
-        .drop("eventTime", "processTime", "batch")
-    )
+    return table.withColumn("event_ms", F.unix_millis("eventTime")).drop("eventTime", "processTime", "batch")
+
+
+DETAIL_KEYS = ("date", "hour", "id")
 
 
 @query("sink_anchor_detail_upsert", DETAIL_SQL)
@@ -122,17 +122,16 @@ def _anchor_detail(spark, folder):
     """Each batch arrives again under another number; readers see one row per id."""
     path = shared_folder(spark, "anchor-detail")
     rows = _placed(spark, folder, filters.room_visits(_event_stream(spark, folder)))
-    writer = tables.table_writer(
-        f"{path}/rows", tables.anchor_detail_rows, partition_by=("date", "hour")
-    )
+    schema = tables.anchor_detail_rows(rows).schema
+    table = ManifestTable(spark, f"{path}/table", schema, DETAIL_KEYS, ["processTime"])
+    append = table.writer(tables.anchor_detail_rows)
 
     def write(batch, batch_id):
-        writer(batch, 2 * batch_id)
-        writer(batch, 2 * batch_id + 1)
+        append(batch, 2 * batch_id)
+        append(batch, 2 * batch_id + 1)
 
     _run(rows, write, path)
-    schema = tables.anchor_detail_rows(rows).schema
-    return _detail_columns(tables.read_table(spark, f"{path}/rows", schema))
+    return _detail_columns(table.read())
 
 
 SNAPSHOT_SQL = f"""WITH states AS ({_snapshot_sql("running", "s", inputs.DAY // 4)}),
@@ -167,7 +166,11 @@ def _multi(spark, folder):
     """Detail and snapshot from one pass over each batch; snapshots add up over batches."""
     path = shared_folder(spark, "multi")
     visits = filters.room_visits(_event_stream(spark, folder))
-    flagged = flag_first_enters_stream(visits)
+    scope = ("anchor_id", "entered")
+    rows = marked(visits.select("anchor_id", "deviceId", "timestamp", "id", "entered"), "deviceId", scope)
+
+    def flagged(batch):
+        return flagged_batch(batch, "deviceId", scope)
 
     def detail(batch):
         return visit_detail(batch).select("id", "anchor_id", "date", "hour")
@@ -179,8 +182,8 @@ def _multi(spark, folder):
         (detail, tables.table_writer(f"{path}/detail")),
         (increments, tables.table_writer(f"{path}/increments")),
     )
-    _run(flagged, writer, path)
-    empty = spark.createDataFrame([], flagged.schema)
+    _run(rows, lambda batch, batch_id: writer(flagged(batch), batch_id), path)
+    empty = flagged(spark.createDataFrame([], rows.schema))
     details = tables.read_table(spark, f"{path}/detail", detail(empty).schema)
     added = tables.read_table(spark, f"{path}/increments", increments(empty).schema)
     states = tables.latest_snapshot(tables.snapshot_pairs(snapshot_from_increments(added)))
