@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from tidecast.operators import filters, gifts
 from tidecast.operators.location import enrich_location, join_locations
 from tidecast.schemas import EVENT, GIFT, ORDER_DETAIL, ORDER_MAIN
 from tidecast.sources.dimension import changed_since, conform, latest_dimension
-from tidecast.sources.json_records import parse_cdc, parse_events
+from tidecast.sources.json_records import checked_cdc, checked_events, counted, parse_cdc, parse_events
 from tidecast.sources.records import kafka_options, record_values, with_record_id
 
 
@@ -194,3 +196,58 @@ def test_kafka_options():
         "groupIdPrefix": "g",
     }
     assert kafka_options(conf, "ordermain")["subscribe"] == "ordermain"
+
+
+DOUBTFUL = (
+    '{"deviceId":"a","timestamp":1,"properties":{"k":69}}', "{}", "{bad", "", None, "null", "[1]",
+    '{"deviceId":"x"} tail', '{"timestamp":"soon"}', '{"isNew":"x","timestamp":"soon"}', '{"latitude":"north"}',
+    ' {"deviceId":"b","isNew":"null"}\n',
+)
+
+
+def test_rejected_events_have_a_reason(spark):
+    raw = spark.createDataFrame(list(enumerate(DOUBTFUL)), "n int, value string")
+    checked = checked_events(raw)
+    assert checked.columns == ["n", "value", "event", "reason"]
+    got = {r["n"]: (r["event"] is not None, r["reason"]) for r in checked.collect()}
+    none, time = (False, "no single object"), (False, "bad value: timestamp")
+    assert got == {
+        0: (True, None), 1: (True, None), 2: none, 3: none, 4: none, 5: none, 6: none, 7: none, 8: time,
+        9: time, 10: (False, "bad value: latitude"), 11: (True, None),
+    }
+    # What is kept is what the parser gives.
+    assert rows(checked.where("reason IS NULL").select("event.*").drop("properties")) == rows(
+        parse_events(raw).drop("properties")
+    )
+
+
+def test_rejections_are_counted_with_the_batch(spark):
+    from pyspark.sql import Observation
+
+    raw = spark.createDataFrame(list(enumerate(DOUBTFUL)), "n int, value string")
+    seen = Observation("records")
+    checked = checked_events(raw)
+    observed = checked.observe(
+        seen, F.count_if(F.col("reason").isNull()).alias("kept"), F.count_if(F.col("reason").isNotNull()).alias("rejected")
+    )
+    assert observed.count() == len(DOUBTFUL)
+    assert seen.get == {"kept": 3, "rejected": len(DOUBTFUL) - 3}
+    assert counted(checked, "records").columns == checked.columns
+
+
+def test_rejected_items_and_envelopes(spark):
+    raw = texts(
+        spark,
+        '{"type":"INSERT","data":[{"id":"1","sku":"2"},{"id":"one"},null,{"id":3,"money":"much"}]}',
+        '{"type":"UPDATE","data":[]}', '{"type":"UPDATE"}', '{"type":"ALTER","data":[{"id":"x"}]}',
+        '{"data":[{"id":"1"}]}', "{", None, '{"type":"DELETE","data":[{}]} x',
+    )
+    checked = checked_cdc(raw, ORDER_DETAIL)
+    got = sorted((r["type"] or "", -1 if r["place"] is None else r["place"], r["reason"] or "") for r in checked.collect())
+    assert got == [
+        ("", -1, "no single object"), ("", -1, "no single object"), ("", -1, "no single object"),
+        ("INSERT", 0, ""), ("INSERT", 1, "bad value: id"), ("INSERT", 2, "no item"), ("INSERT", 3, "bad value: money"),
+        ("UPDATE", -1, "no items"), ("UPDATE", -1, "no items"),
+    ]
+    kept = checked.where("reason IS NULL").select("item.*", "type")
+    assert rows(kept) == rows(parse_cdc(raw, ORDER_DETAIL))

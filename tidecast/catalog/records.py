@@ -10,7 +10,7 @@ from ..operators import filters
 from ..operators.location import enrich_location, join_locations
 from ..schemas import ACTIVITY_LINE, GROUP_ORDER_LINE, ORDER_DETAIL, ORDER_MAIN
 from ..session import shared_folder
-from ..sources.json_records import parse_cdc, parse_events
+from ..sources.json_records import checked_cdc, checked_events, parse_cdc, parse_events
 from ..sources.records import (
     parse_delimited,
     read_record_files,
@@ -74,6 +74,28 @@ def _parse_with_id(spark, folder):
     return _parsed(parse_events(rows, id_column="id"), "id")
 
 
+REJECTED_SQL = f"""WITH {inputs.LIVE_SQL}
+    SELECT 'live-' || (id % 3) || '-' || id AS id, event_type <> 'error' AND id % 9 <> 0 AS kept,
+           CASE WHEN event_type = 'error' THEN 'no single object'
+                WHEN id % 9 = 0 THEN 'bad value: timestamp' END AS reason
+    FROM ev"""
+
+
+def doubtful_records(raw):
+    """Records of which some hold a time that is no number."""
+    text = F.col("value").cast("string")
+    bad = F.regexp_replace(text, '"timestamp":[0-9]+', '"timestamp":"soon"')
+    value = F.when(F.col("offset") % 9 == 0, bad).otherwise(text)
+    return with_record_id(raw.withColumn("value", F.encode(value, "UTF-8")))
+
+
+@query("rejected_event_records", REJECTED_SQL)
+def _rejected(spark, folder):
+    """Every record, with the reason where it is rejected."""
+    checked = checked_events(doubtful_records(records(spark, folder)))
+    return checked.select("id", F.col("event").isNotNull().alias("kept"), "reason")
+
+
 def _quoted(name: str, value):
     return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
 
@@ -162,6 +184,19 @@ def _cdc_detail(spark, folder):
     )
 
 
+@query(
+    "rejected_cdc_items",
+    f"""SELECT {_cdc_type("l_orderkey")} AS type,
+           CASE WHEN l_partkey % 10 = 0 THEN 'bad value: sku' END AS reason, 2 * count(*) AS items
+    FROM lineitem WHERE l_orderkey % 4 <> 3 GROUP BY ALL""",
+)
+def _rejected_items(spark, folder):
+    """Items of the change envelopes by type and reason; some have a text for a number."""
+    raw = _detail_envelopes(spark, folder)
+    raw = raw.withColumn("value", F.regexp_replace("value", '"sku":"[0-9]*0"', '"sku":"none"'))
+    return checked_cdc(raw, ORDER_DETAIL).groupBy("type", "reason").agg(F.count("*").alias("items"))
+
+
 @query(
     "filter_cdc_ops",
     f"""SELECT {_cdc_type("l_orderkey")} AS type, 2 * count(*) AS items

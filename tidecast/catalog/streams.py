@@ -8,6 +8,7 @@ from ..operators import audience, filters, gifts, orders, products, users
 from ..session import shared_folder
 from ..sinks import tables
 from ..sources.dimension import PolledDimension, with_fresh_dimension
+from ..sources.json_records import checked_events, rejecting_writer
 from ..streaming import as_of, carried, processors
 from ..streaming.first_seen import flagged_batch, marked
 from ..streaming.late import late_splitter, with_on_time_keys
@@ -27,6 +28,7 @@ from .products import (
     shop_rows,
     top_sql,
 )
+from .records import REJECTED_SQL, doubtful_records
 from .registry import query
 from .users import (
     ACTIVITY_SQL,
@@ -244,6 +246,21 @@ def _running_sum(spark, folder):
     )
 
 
+@query("stream_rejected_records", REJECTED_SQL)
+def _rejected(spark, folder):
+    """Kept rows in one table, rejected records with their reason in another."""
+    path = shared_folder(spark, "stream-rejected")
+    raw = doubtful_records(inputs.raw_records(inputs.table_stream(spark, folder, "events")))
+    checked = checked_events(raw.select("id", "value"), id_column="id")
+    writer = rejecting_writer(
+        tables.table_writer(f"{path}/kept"), tables.table_writer(f"{path}/rejected")
+    )
+    finish(checked.writeStream.foreachBatch(writer), f"{path}/checkpoint")
+    kept = spark.read.parquet(f"{path}/kept").select("id", F.lit(True).alias("kept"))
+    rejected = spark.read.parquet(f"{path}/rejected").select("id", F.lit(False).alias("kept"), "reason")
+    return kept.withColumn("reason", F.lit(None).cast("string")).unionByName(rejected)
+
+
 CLOSED = '"windowEnd" <= (SELECT max("timestamp") FROM shop) - 5000'
 
 
