@@ -10,6 +10,7 @@ from ..sinks import tables
 from ..sources.dimension import PolledDimension, with_fresh_dimension
 from ..sources.json_records import checked_events, rejecting_writer
 from ..streaming import as_of, carried, processors
+from ..streaming.bloom import bloom_flag_batches
 from ..streaming.first_seen import flagged_batch, marked
 from ..streaming.late import late_splitter, with_on_time_keys
 from ..streaming.orders import order_filler, order_stream
@@ -35,8 +36,8 @@ from .users import (
     COUNT_NEW_SQL,
     IS_NEW_SQL,
     LAUNCHES_SQL,
+    PV_UV_SQL,
     RUNNING_SUM_SQL,
-    activity_rows,
     activity_rows_of,
     category_rows,
 )
@@ -99,29 +100,28 @@ def _activity(spark, folder):
     )
 
 
-@query(
-    "stream_activity_pv_uv_approx",
-    f"""WITH {ACTIVITY_SQL}
-    SELECT activity, event, count(*) AS pv, true AS uv_within_tenth
-    FROM activity_rows GROUP BY ALL""",
-)
+@query("stream_activity_pv_uv_approx", PV_UV_SQL)
 def _activity_approx(spark, folder):
     """A sketch per batch and key; sketches of all batches are merged on reading."""
-    keys = ["activity", "event"]
     rows = activity_rows_of(inputs.table_stream(spark, folder, "events"))
-    sketches = batches_to_table(
-        rows,
-        "stream-activity-approx",
-        shape=lambda batch: batch.groupBy(*keys).agg(
-            F.hll_sketch_agg("uid").alias("sketch"), F.count("*").alias("pv")
-        ),
-    )
-    merged = sketches.groupBy(*keys).agg(
-        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("uv"), F.sum("pv").alias("pv")
+    sketches = batches_to_table(rows, "stream-activity-approx", shape=users.visit_sketches)
+    return users.sketched_pv_uv(sketches)
+
+
+@query(
+    "stream_is_new_user_bloom",
+    f"""WITH {LAUNCHES_SQL}
+    SELECT id, "timestamp", "deviceId",
+           CAST(CASE WHEN row_number() OVER (PARTITION BY "deviceId" ORDER BY "timestamp", id) = 1
+                     THEN 1 ELSE 0 END AS INTEGER) AS "isN"
+    FROM launches""",
+)
+def _is_new_bloom(spark, folder):
+    """By a filter that is carried from batch to batch; so few devices share no bits."""
+    return run_batches(
+        _launches(spark, folder), "stream-bloom", bloom_flag_batches,
+        "id bigint, timestamp bigint, deviceId string, isN int",
     )
-    exact = users.pv_uv(activity_rows(spark, folder)).select(*keys, F.col("uv").alias("exact"))
-    close = F.abs(F.col("uv") - F.col("exact")) <= 0.1 * F.col("exact")
-    return merged.join(exact, keys).select(*keys, "pv", close.alias("uv_within_tenth"))
 
 
 @query("stream_is_new_user_by_device_type", IS_NEW_SQL)

@@ -96,6 +96,29 @@ def count_first_seen(
     )
 
 
+#: Up to 3/4 * 2^(SKETCH_SIZE - 3) visitors a sketch keeps them all and is exact.
+SKETCH_SIZE = 14
+
+
+def visit_sketches(
+    df: DataFrame, keys: Sequence[str] = ("activity", "event"), user: str = "uid"
+) -> DataFrame:
+    """``pv`` and a sketch of the visitors per key, which :func:`sketched_pv_uv` adds up."""
+    return df.groupBy(*keys).agg(
+        F.hll_sketch_agg(user, SKETCH_SIZE).alias("sketch"), F.count("*").alias("pv")
+    )
+
+
+def sketched_pv_uv(sketches: DataFrame, keys: Sequence[str] = ("activity", "event")) -> DataFrame:
+    """Visits and estimated distinct visitors per key, from sketches of any number of parts.
+
+    Beyond the visitors that a sketch keeps, the estimate is off by 1 % or so.
+    """
+    return sketches.groupBy(*keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("uv"), F.sum("pv").alias("pv")
+    )
+
+
 def pv_uv(
     df: DataFrame,
     keys: Sequence[str] = ("activity", "event"),
