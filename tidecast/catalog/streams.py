@@ -181,9 +181,14 @@ TTL_SQL = f"""WITH {inputs.VISITS_SQL},
 
 @query("stream_audience_ttl", TTL_SQL)
 def _audience_ttl(spark, folder):
-    """With the default lifetime; rooms and devices are forgotten by event time."""
+    """With the default lifetime; rooms and devices are forgotten by event time.
+
+    Timers delete what is spent. Rows come in order of time but for those of a batch.
+    """
     visits = filters.room_visits(_events(spark, folder))
-    counted = processors.audience_stream(visits, floor_at_zero=False, ttl_hours=TTL_HOURS)
+    counted = processors.audience_stream(
+        visits, floor_at_zero=False, ttl_hours=TTL_HOURS, evict_delay="1 hour"
+    )
     return append_to_table(counted, "stream-audience-ttl")
 
 

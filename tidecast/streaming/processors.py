@@ -38,22 +38,55 @@ def _ttl(hours: float | None) -> int | None:
     return None if hours is None else int(hours * 3_600_000)
 
 
-class FirstSeen(StatefulProcessor):
+class Expiring(StatefulProcessor):
+    """Clears spent state by a timer on event time, if ``evict`` is set.
+
+    A key has one timer, at the end of its life. Once the watermark has passed it, only
+    rows behind that end can come, for which spent state and none are the same.
+    """
+
+    def __init__(self, evict: bool) -> None:
+        self.evict = evict
+
+    def move_timer(self, before: int | None, until: int) -> None:
+        if self.evict and until != before and until < FOREVER:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.expire(expiredTimerInfo.getExpiryTimeInMs())
+        return iter([])
+
+    def expire(self, at: int) -> None:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class FirstSeen(Expiring):
     """Sets ``isN`` to 1 on a key's first row and to 0 on the others.
 
     With a lifetime a key is forgotten that long after its latest row, by the rows'
-    own time: the mark holds the time up to which it counts. No row is dropped for
-    being old, and a replay gives the same marks on any day.
+    own time: the mark holds the time up to which it counts. Without eviction no row is
+    dropped for being old, and a replay gives the same marks on any day.
     """
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
+    def __init__(self, ttl_ms: int | None = None, evict: bool = False) -> None:
+        super().__init__(evict)
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.seen = handle.getValueState("seen", "until bigint")
 
+    def expire(self, at: int) -> None:
+        if self.seen.exists() and self.seen.get()[0] <= at:
+            self.seen.clear()
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        until = self.seen.get()[0] if self.seen.exists() else None
+        before = until = self.seen.get()[0] if self.seen.exists() else None
         for row in _in_order(rows):
             values = row.asDict()
             at = row["timestamp"]
@@ -62,11 +95,9 @@ class FirstSeen(StatefulProcessor):
             end = FOREVER if self.ttl_ms is None else at + self.ttl_ms
             until = end if until is None else max(until, end)
             yield Row(**values)
+        self.move_timer(before, until)
         self.seen.update((until,))
 
-    def close(self) -> None:
-        pass
-
 
 class CountNew(StatefulProcessor):
     """Numbers a key's rows with ``isN`` = 1 in ``perCnt``; others get 0."""
@@ -87,7 +118,7 @@ class CountNew(StatefulProcessor):
         pass
 
 
-class Audience(StatefulProcessor):
+class Audience(Expiring):
     """Running uv, pv and people online of one room, one row per visit.
 
     ``isN`` of a visit marks a device's first enter. With a lifetime the counters start
@@ -95,11 +126,17 @@ class Audience(StatefulProcessor):
     time.
     """
 
-    def __init__(self, floor_at_zero: bool, ttl_ms: int | None) -> None:
+    def __init__(self, floor_at_zero: bool, ttl_ms: int | None, evict: bool = False) -> None:
+        super().__init__(evict)
         self.floor_at_zero = floor_at_zero
         self.ttl_ms = ttl_ms
 
+    def expire(self, at: int) -> None:
+        if self.counts.exists() and self.counts.get()[3] <= at:
+            self.counts.clear()
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.counts = handle.getValueState(
             "counts", "uv bigint, pv bigint, online bigint, until bigint"
         )
@@ -107,6 +144,7 @@ class Audience(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.counts.get() if self.counts.exists() else (0, 0, 0, None)
         uv, pv, online, until = state
+        before = until
         for row in _in_order(rows):
             at = row["timestamp"]
             if until is not None and at >= until:
@@ -125,11 +163,9 @@ class Audience(StatefulProcessor):
                 id=row["id"], timestamp=at, anchor_id=key[0],
                 uv=uv, pv=pv, online=online,
             )
+        self.move_timer(before, until)
         self.counts.update((uv, pv, online, until))
 
-    def close(self) -> None:
-        pass
-
 
 class AudienceTimer(Audience):
     """State of a room at each aligned interval's end, if the interval had visits."""
@@ -138,10 +174,6 @@ class AudienceTimer(Audience):
         super().__init__(False, ttl_ms)
         self.every_ms = every_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.handle = handle
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
         self.handle.registerTimer(now - now % self.every_ms + self.every_ms)
@@ -252,11 +284,25 @@ def flag_first_seen_stream(
     user: str = "deviceId",
     scope: tuple[str, ...] = ("deviceType",),
     ttl_hours: float | None = None,
+    evict_delay: str | int | None = None,
 ) -> DataFrame:
-    """Streaming :func:`users.flag_first_seen`: the first row to arrive is new."""
+    """Streaming :func:`users.flag_first_seen`: the first row to arrive is new.
+
+    With ``evict_delay``, keys leave the state once the watermark, that long behind the
+    latest row, has passed their life. Rows further behind are then dropped, and the
+    event time stays as column ``_ts`` for the next keyed step.
+    """
     rows = df.drop("isN")
-    return rows.groupBy(*scope, user).transformWithState(
-        FirstSeen(_ttl(ttl_hours)), _with_column(rows.schema, "isN"), "Append", "None"
+    if evict_delay is None or ttl_hours is None:
+        return rows.groupBy(*scope, user).transformWithState(
+            FirstSeen(_ttl(ttl_hours)), _with_column(rows.schema, "isN"), "Append", "None"
+        )
+    timed = rows.withColumn("_ts", event_time("timestamp")).withWatermark(
+        "_ts", f"{duration_ms(evict_delay)} milliseconds"
+    )
+    return timed.groupBy(*scope, user).transformWithState(
+        FirstSeen(_ttl(ttl_hours), True), _with_column(timed.schema, "isN"), "Append", "EventTime",
+        eventTimeColumnName="_ts",
     )
 
 
@@ -274,22 +320,25 @@ def audience_stream(
     visits: DataFrame,
     floor_at_zero: bool = True,
     ttl_hours: float | None = STATE_TTL_HOURS,
+    evict_delay: str | int | None = None,
 ) -> DataFrame:
     """Streaming :func:`audience.audience`, with state forgotten after ``ttl_hours``.
 
     Devices are remembered per room and device, only the counters per room. Both go by
-    the visits' own time.
+    the visits' own time. With ``evict_delay`` spent state of both is also deleted; see
+    :func:`flag_first_seen_stream`.
     """
     id_type = visits.schema["id"].dataType.simpleString()
+    evict = evict_delay is not None and ttl_hours is not None
     return (
-        flag_first_enters_stream(visits, ttl_hours)
+        flag_first_enters_stream(visits, ttl_hours, evict_delay)
         .groupBy("anchor_id")
         .transformWithState(
-            Audience(floor_at_zero, _ttl(ttl_hours)),
+            Audience(floor_at_zero, _ttl(ttl_hours), evict),
             f"id {id_type}, timestamp bigint, anchor_id string,"
             " uv bigint, pv bigint, online bigint",
             "Append",
-            "None",
+            "EventTime" if evict else "None",
         )
     )
 
@@ -319,7 +368,9 @@ def audience_timer_stream(
 
 
 def flag_first_enters_stream(
-    visits: DataFrame, ttl_hours: float | None = None
+    visits: DataFrame,
+    ttl_hours: float | None = None,
+    evict_delay: str | int | None = None,
 ) -> DataFrame:
     """Visits with ``isN`` 1 on each device's first enter of a room.
 
@@ -327,7 +378,9 @@ def flag_first_enters_stream(
     :func:`audience.snapshot_increments`.
     """
     rows = visits.select("anchor_id", "deviceId", "timestamp", "id", "entered")
-    return flag_first_seen_stream(rows, "deviceId", ("anchor_id", "entered"), ttl_hours)
+    return flag_first_seen_stream(
+        rows, "deviceId", ("anchor_id", "entered"), ttl_hours, evict_delay
+    )
 
 
 def popular_entries_stream(
