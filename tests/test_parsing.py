@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidecast.operators import filters, gifts
-from tidecast.operators.location import enrich_location, join_locations
+from tidecast.operators.location import _laid_out, enrich_location, join_locations
 from tidecast.schemas import EVENT, GIFT, ORDER_DETAIL, ORDER_MAIN
 from tidecast.sources.dimension import changed_since, conform, latest_dimension
 from tidecast.sources.json_records import checked_cdc, checked_events, counted, parse_cdc, parse_events
@@ -173,10 +174,53 @@ def test_location(spark):
         (1, "west"), (2, "west"), (3, "east"), (4, None),
         (5, None), (6, "south"), (7, None), (8, "border"),
     ]
-    for cell in (10.0, 3.0, 100.0):
-        for place in (enrich_location, join_locations):
-            got = place(events, regions, cell_degrees=cell)
-            assert rows(got, "id", "province") == want
+    for place in (enrich_location, join_locations):
+        got = place(events, regions)
+        assert got.columns == [*events.columns, "province", "city"]
+        assert rows(got, "id", "province") == want
+        assert place(events.limit(0), regions).count() == 0
+        assert place(events, regions.limit(0)).where("province IS NULL").count() == 8
+
+
+BOX = "lon_min double, lon_max double, lat_min double, lat_max double, province string, city string"
+
+
+def test_boxes_of_very_different_sizes(spark):
+    """From a whole world to a house, overlapping, on cell borders, and beyond the map."""
+    rng = random.Random(11)
+    boxes = [(-180.0, 180.0, -90.0, 90.0, "z", "world"), (-400.0, 400.0, -400.0, 400.0, "zz", "more")]
+    for i in range(300):
+        size = 10 ** rng.uniform(-7, 2)
+        lon, lat = rng.uniform(-180, 180), rng.uniform(-90, 90)
+        if i % 5 == 0:
+            lon, lat, size = round(lon / 45) * 45.0, round(lat / 22.5) * 22.5, 360 / 2 ** rng.randint(1, 20)
+        boxes.append((lon, lon + size, lat, lat + size * rng.uniform(0.1, 1), rng.choice("abcdef"), f"c{i}"))
+    points = [(rng.uniform(-200, 200), rng.uniform(-100, 100)) for _ in range(200)]
+    for b in boxes:
+        points += [(b[0], b[2]), (b[1], b[3]), ((b[0] + b[1]) / 2, (b[2] + b[3]) / 2)]
+    events = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, longitude double, latitude double")
+    want = []
+    for i, (x, y) in enumerate(points):
+        held = [b[4:] for b in boxes if b[0] <= x < b[1] and b[2] <= y < b[3]]
+        want.append((i, *min(held, default=(None, None))))
+    regions = spark.createDataFrame(boxes, BOX)
+    for place in (enrich_location, join_locations):
+        assert rows(place(events, regions), "id", "province", "city") == want
+
+
+def test_cells_hold_few_boxes(spark):
+    """A hundred thousand cities and their country: a handful of cells a box, of boxes a cell."""
+    cities = spark.range(100_000).select(
+        (F.col("id") % 400 * 0.1).alias("lon_min"), (F.floor(F.col("id") / 400) * 0.1).alias("lat_min"), "id"
+    )
+    boxes = cities.select(
+        "lon_min", (F.col("lon_min") + 0.1).alias("lon_max"), "lat_min", (F.col("lat_min") + 0.1).alias("lat_max"),
+        F.lit("p").alias("province"), F.col("id").cast("string").alias("city"),
+    ).unionByName(spark.createDataFrame([(0.0, 40.0, 0.0, 25.0, "p", "country")], BOX))
+    cells = _laid_out(boxes)
+    per_box = cells.groupBy("city").count().agg(F.max("count")).first()[0]
+    per_cell = cells.groupBy("_level", "_lon", "_lat").count().agg(F.max("count")).first()[0]
+    assert per_box <= 4 and per_cell <= 16
 
 
 def test_kafka_options():

@@ -293,7 +293,6 @@ def _location_join(spark, folder):
     placed = join_locations(
         _live(spark, folder).select("id", "longitude", "latitude"),
         inputs.regions(spark, folder),
-        cell_degrees=2.5,
     )
     return placed.select("id", "longitude", "latitude", "province", "city")
 

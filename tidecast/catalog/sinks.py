@@ -16,6 +16,7 @@ from ..operators.location import enrich_location
 from ..session import shared_folder
 from ..schemas import TEST_LINE
 from ..sinks import tables
+from ..sinks.committed import CommittedFiles, read_published
 from ..sinks.manifest import ManifestTable
 from ..sources.records import parse_delimited
 from ..streaming.first_seen import flagged_batch, marked
@@ -103,6 +104,21 @@ def _small_batch(spark, folder):
     return tables.read_table(spark, f"{path}/rows", shape(rows).schema).drop("batch")
 
 
+@query(
+    "sink_committed_files",
+    f"""WITH {inputs.LIVE_SQL}
+    SELECT id, "deviceId", "eventId", "timestamp", "isNew" FROM live""",
+)
+def _committed(spark, folder):
+    """Files that appear batch by batch through the sink's commit protocol."""
+    spark.dataSource.register(CommittedFiles)
+    path = shared_folder(spark, "committed")
+    rows = _event_stream(spark, folder).select("id", "deviceId", "eventId", "timestamp", "isNew")
+    writer = rows.writeStream.format("committed_files").option("path", f"{path}/rows")
+    finish(writer, f"{path}/checkpoint")
+    return read_published(spark, f"{path}/rows", rows.schema)
+
+
 DETAIL_SQL = PLACED_SQL.format(
     rows="visits",
     columns='anchor_id, "deviceId", "eventId", "osName" AS os, province,'
