@@ -304,6 +304,20 @@ def _top3(spark, folder):
     return table.drop("batch")
 
 
+# A list is told once the watermark has passed the instant behind its window.
+TIMED = '"windowEnd" + 1 <= (SELECT max("timestamp") FROM shop) - 5000'
+
+
+@query(
+    "stream_product_top3_timer",
+    f"WITH {top_sql(SIZE_MS, SLIDE_MS)} SELECT * FROM ranked WHERE rank <= 3 AND {TIMED}",
+)
+def _top3_timer(spark, folder):
+    """Lists in state behind the window counts, told by timers."""
+    top = processors.top_products_stream(_shop_counts(spark, folder))
+    return append_to_table(top, "stream-top3-timer")
+
+
 JOIN_CLOSED_SQL = f"""WITH {inputs.ORDERS_SQL},
     mark AS (
       SELECT least((SELECT max(main_update_ms) FROM mains),

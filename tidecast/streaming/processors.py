@@ -7,6 +7,8 @@ limit bounds how many there are.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import sys
 from collections.abc import Iterator
 from typing import Any
@@ -254,6 +256,40 @@ class Popularity(StatefulProcessor):
         pass
 
 
+class TopList(StatefulProcessor):
+    """The first ``n`` products of a window, told by a timer right behind its end.
+
+    The list holds no more than ``n`` products, whatever number was counted.
+    """
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.items = handle.getListState("items", "productId string, count bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = [tuple(i) for i in self.items.get()] if self.items.exists() else []
+        counted = itertools.chain(held, ((r["productId"], r["count"]) for r in rows))
+        self.items.put(heapq.nsmallest(self.n, counted, key=lambda i: (-i[1], i[0])))
+        if not held:
+            self.handle.registerTimer(key[3] + 1)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        category, event, start, end = key
+        for rank, (product, count) in enumerate(self.items.get(), 1):
+            yield Row(
+                eventId=event, categoryId=category, productId=product, count=count,
+                windowStart=start, windowEnd=end, rank=rank,
+            )
+        self.items.clear()
+
+    def close(self) -> None:
+        pass
+
+
 class RunningSum(StatefulProcessor):
     """Running sum of ``quantity`` per key, one row per input row."""
 
@@ -404,6 +440,21 @@ def popular_entries_stream(
     )
 
 
+def top_products_stream(counts: DataFrame, n: int = 3) -> DataFrame:
+    """The top products of every window of a streaming :func:`products.sliding_count`.
+
+    Two keyed steps in a row: Spark counts windows and hands on those that close, and a
+    list of ``n`` products per category, event and window waits for the window's timer.
+    """
+    return counts.groupBy("categoryId", "eventId", "windowStart", "windowEnd").transformWithState(
+        TopList(n),
+        "eventId string, categoryId string, productId string, count bigint,"
+        " windowStart bigint, windowEnd bigint, rank int",
+        "Append",
+        "EventTime",
+    )
+
+
 def running_sum_stream(df: DataFrame) -> DataFrame:
     """Streaming :func:`totals.running_sum` of ``quantity`` by ``category``."""
     rows = df.select("category", "quantity", "timestamp", "id")
