@@ -162,6 +162,28 @@ def test_top_products(spark, sample):
     assert want.count() > 50
 
 
+def test_top_lists_of_timers(spark, tmp_path):
+    """Lists of two, ties, windows that wait for their timer, and counts that come late."""
+    size, parts = 10_000, [
+        [("v", "c", p, t) for t in range(0, 30_000, 1000) for p in "xyz"[: 1 + t // 1000 % 3]],
+        [("v", "c", "w", 25_000), ("v", "d", "x", 26_000), ("v", "c", "x", 47_000)],
+        [("v", "c", "late", 3_000)] * 50 + [("v", "c", "x", 48_000)],
+        [("v", "c", "x", 90_000)],
+    ]
+    schema = "eventId string, categoryId string, productId string, timestamp bigint"
+    for part in parts:
+        df = spark.createDataFrame(part, schema).coalesce(1)
+        df.write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    source = stream(spark, f"{tmp_path}/in", df.schema)
+    counts = products.sliding_count(source, size=size, slide=size, delay=2000)
+    got = append_to_table(processors.top_products_stream(counts, n=2), "t")
+    on_time = spark.createDataFrame([r for p in parts for r in p if r[2] != "late" and r[3] < 80_000], schema)
+    want = products.top_products(on_time, size, size, n=2)
+    columns = "eventId categoryId productId count windowStart windowEnd rank".split()
+    assert rows(got, *columns) == rows(want, *columns) and got.count() > 6
+
+
 def test_group_buy_closes_windows(spark, tmp_path):
     """Lone details appear once later rows on all inputs close their window."""
     flush = 600_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..operators import audience, filters, gifts, orders, products, users
@@ -251,6 +252,29 @@ def _running_sum(spark, folder):
     )
 
 
+@query(
+    "stream_exactly_once",
+    f"""WITH {inputs.LIVE_SQL} SELECT id, "deviceId", "eventId", "timestamp" FROM live""",
+)
+def _exactly_once(spark, folder):
+    """The job fails between writing a batch and committing it, and starts again."""
+    path = shared_folder(spark, "stream-once")
+    rows = _events(spark, folder).select("id", "deviceId", "eventId", "timestamp")
+    write = tables.table_writer(f"{path}/rows")
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 2:
+            raise RuntimeError("lost between write and commit")
+
+    try:
+        finish(rows.writeStream.foreachBatch(failing), f"{path}/checkpoint")
+        raise AssertionError("the job was to fail")
+    except StreamingQueryException:
+        finish(rows.writeStream.foreachBatch(write), f"{path}/checkpoint")
+    return tables.read_table(spark, f"{path}/rows", rows.schema).drop("batch")
+
+
 @query("stream_rejected_records", REJECTED_SQL)
 def _rejected(spark, folder):
     """Kept rows in one table, rejected records with their reason in another."""

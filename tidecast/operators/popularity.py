@@ -49,7 +49,7 @@ def _with_leaves(moves: DataFrame, rows_per_chunk: int) -> DataFrame:
 
     # Only visitors with very many moves are cut along time. There are at most
     # rows / rows_per_chunk of them.
-    hot = F.broadcast(hot.select(*[F.col(c).alias(f"_{c}") for c in PAIR]))
+    hot = hot.select(*[F.col(c).alias(f"_{c}") for c in PAIR])
     same = F.lit(True)
     for c in PAIR:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -288,7 +288,7 @@ def running_max_before(
             Window.unboundedPreceding, -1
         )
         return df.withColumn(out, F.max(value).over(before))
-    # One row per chunk: a broadcast of a row per rows_per_chunk rows.
+    # One row per chunk; Spark broadcasts it if it is small.
     carried = (
         chunked.groupBy(CHUNK)
         .agg(F.max(value).alias("_top"))
@@ -301,7 +301,7 @@ def running_max_before(
     )
     return (
         chunked.withColumn(out, F.max(value).over(before))
-        .join(F.broadcast(carried), CHUNK)
+        .join(carried, CHUNK)
         .withColumn(out, F.greatest(out, "_carried"))
         .drop(CHUNK, "_carried")
     )
