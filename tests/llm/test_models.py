@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -54,6 +55,46 @@ def test_the_sample_is_bounded_and_repeats(spark):
     assert sorted(got) == sorted(langid.sample(docs.repartition(7), settings))
 
 
+def _syllables(lang: int, seed: int, words: int = 60) -> str:
+    rng, own = random.Random(1000 * lang + seed), random.Random(lang)
+    stock = ["".join(own.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(4)]
+    return " ".join("".join(rng.choices(stock, k=rng.randint(1, 2))) for _ in range(words))
+
+
+def test_every_language_is_learned(spark):
+    """Eighty languages, one of which has almost all rows, one only three."""
+    rows = [(_syllables(lang, i), f"l{lang:02d}") for lang in range(80) for i in range(3 if lang == 7 else 25)]
+    rows += [(_syllables(0, i), "l00") for i in range(25, 2500)]
+    settings = langid.Settings(per_language=25, epochs=20)
+    taken = langid.sample(spark.createDataFrame(rows, "text string, lang string"), settings)
+    assert Counter(x for _, x in taken) == {f"l{lang:02d}": 3 if lang == 7 else 25 for lang in range(80)}
+    net = langid.train(taken, settings)
+    docs = spark.createDataFrame([(lang, _syllables(lang, 9999)) for lang in range(80)], "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, net, settings).collect()}
+    assert sum(found[lang] == f"l{lang:02d}" for lang in range(80)) >= 76
+
+
+def test_the_sample_is_shared_out_and_never_leaves_a_language_out(spark):
+    docs = spark.range(4000).select(F.col("id").cast("string").alias("text"), (F.col("id") % 50).cast("string").alias("lang"))
+    got = langid.sample(docs, langid.Settings(sample_texts=120))
+    assert Counter(Counter(x for _, x in got).values()) == {2: 50}
+    with pytest.raises(ValueError, match="50 languages"):
+        langid.sample(docs, langid.Settings(sample_texts=49))
+
+
+def test_excerpts_come_from_the_whole_text(spark):
+    text = "".join(f"{i:06d}" for i in range(20_000))
+    docs = spark.createDataFrame([(text[j:], "x") for j in range(20)] + [("short", "x")], "text string, lang string")
+    places = []
+    for excerpt, _ in langid.sample(docs):
+        if excerpt == "short":
+            continue
+        parts = excerpt.split("\n")
+        assert [len(p) for p in parts] == [512] * 4 and all(p in text for p in parts)
+        places += [text.index(p) for p in parts]
+    assert len(places) == 80 and min(places) < 30_000 and max(places) > 90_000
+
+
 def test_sequences_and_tries():
     rng = np.random.default_rng(0)
     for _ in range(60):

@@ -23,16 +23,17 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``per_language``, ``max_languages`` and ``sample_chars`` bound the training sample:
-    that many texts of that many languages, of each text its first characters, of which
-    ``train_windows`` windows are learned."""
+    """``per_language``, ``sample_texts`` and ``sample_chars`` bound the training sample: that
+    many texts of a language and of all together, every language with the same number, and
+    of each text that many characters, in ``train_windows`` excerpts from anywhere in it, of
+    which as many windows are learned."""
 
     window: int = 256
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 12
     embedding: int = 8
     per_language: int = 400
-    max_languages: int = 64
+    sample_texts: int = 25_600
     sample_chars: int = 2048
     train_windows: int = 4
     epochs: int = 6
@@ -195,33 +196,47 @@ def train(samples: list[tuple[str, str]], settings: Settings = Settings()) -> Ne
     return net
 
 
+def _excerpts(settings: Settings) -> Column:
+    """The text if it is short, else pieces of it at places that its hash tells."""
+    part = settings.sample_chars // settings.train_windows
+    places = F.sequence(F.lit(1), F.lit(settings.train_windows))
+    last = F.length("text") - part + 1
+    pieces = F.transform(
+        places, lambda i: F.substring("text", (F.pmod(F.xxhash64("_hash", i), last) + 1).cast("int"), F.lit(part))
+    )
+    return F.when(F.length("text") <= settings.sample_chars, F.col("text")).otherwise(F.array_join(pieces, "\n"))
+
+
 def sample(labelled: DataFrame, settings: Settings = Settings()) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each of the ``max_languages`` commonest languages.
+    """At most ``per_language`` texts of every language, ``sample_texts`` in all.
 
     The texts with the smallest hashes are taken, so the sample depends on the rows
-    alone. Hashes are ranked first; texts are read again for the chosen ones only.
+    alone. Hashes are ranked first; texts are read again for the chosen ones only. More
+    languages than ``sample_texts`` are an error: no language is left out.
     """
     from pyspark.sql import Window
 
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.where(F.length("text") > 0)
     hashed = written(rows.select("lang", F.xxhash64("text").alias("_hash")).distinct(), "language-hashes")
-    sizes = hashed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_languages)
-    # Hashes are spread evenly, so of a language with n texts a share of 3 * per_language / n
-    # holds the per_language smallest; only that share is ranked, whatever n is.
-    near = F.pmod(F.col("_hash"), F.lit(1 << 40)).cast("double") * F.col("count") < F.lit(3.0 * settings.per_language * (1 << 40))
+    sizes = hashed.groupBy("lang").count()
+    languages = sizes.count()
+    if languages > settings.sample_texts:
+        raise ValueError(f"{languages} languages, but a sample of {settings.sample_texts} texts")
+    each = min(settings.per_language, settings.sample_texts // max(1, languages))
+    # Hashes are spread evenly, so of a language with n texts a share of 3 * each / n holds
+    # the smallest, unless it is small itself; only that share is ranked, whatever n is.
+    share = F.greatest(F.lit(3.0 * each), F.lit(each + 60.0)) * (1 << 40)
+    near = F.pmod(F.col("_hash"), F.lit(1 << 40)).cast("double") * F.col("count") < share
+    # As many rows as languages, of which there are no more than texts in the sample.
     few = hashed.join(F.broadcast(sizes), "lang").where(near)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("_hash"), F.lit(1 << 40)), "_hash"))
-    chosen = few.withColumn("_nth", nth).where(F.col("_nth") <= settings.per_language)
+    chosen = few.withColumn("_nth", nth).where(F.col("_nth") <= each)
     chosen = chosen.select("lang", "_hash")
     # The chosen hashes are bounded, so is their broadcast.
-    marked = rows.select(
-        "lang",
-        F.xxhash64("text").alias("_hash"),
-        F.substring("text", 1, settings.sample_chars).alias("text"),
-    )
+    marked = rows.select("lang", F.xxhash64("text").alias("_hash"), "text")
     chosen = marked.join(F.broadcast(chosen), ["lang", "_hash"], "left_semi")
-    chosen = chosen.dropDuplicates(["lang", "_hash"])
+    chosen = chosen.select("lang", "_hash", _excerpts(settings).alias("text")).dropDuplicates(["lang", "_hash"])
     return [(r["text"], r["lang"]) for r in chosen.select("text", "lang").collect()]
 
 
