@@ -126,6 +126,37 @@ def test_room_audience(records, run):
     ]
 
 
+def test_carried_forms(records, run, tmp_path):
+    got = run(lambda w: jobs.room_audience(records(), w, None, state=f"{tmp_path}/rooms"))
+    assert rows(got, "id", "anchor_id", "uv", "pv", "online") == [
+        ("t-0-13", "z", 0, 0, 0), ("t-0-3", "a", 1, 1, 1),
+        ("t-0-4", "a", 2, 2, 2), ("t-0-5", "a", 2, 2, 1),
+    ]
+    with pytest.raises(ValueError, match="lifetime"):
+        jobs.room_audience(records(), None, state=f"{tmp_path}/rooms")
+    got = run(lambda w: jobs.new_users_by_channel(records(), w, f"{tmp_path}/channels"), "c")
+    assert rows(got, "id", "isN", "perCnt") == [
+        ("t-0-0", 1, 1), ("t-0-1", 0, 0), ("t-0-2", 1, 2),
+    ]
+
+
+def test_rewards_with_versions(spark, records, run, tmp_path):
+    schema = "id int, name string, points double, deleted int, updateTime long"
+    spark.createDataFrame([(1, "rose", 2.5, 0, -5)], schema).write.parquet(f"{tmp_path}/changes")
+    changes = spark.readStream.schema(schema).parquet(f"{tmp_path}/changes")
+    got = run(lambda w: jobs.reward_points_as_of(records(), changes, f"{tmp_path}/state", w))
+    found = {(r["anchor_id"], r["gift_name"]): r["points"] for r in got.collect()}
+    assert found["a", "rose"] == 2.5 and all(p is None for (_, n), p in found.items() if n != "rose")
+
+
+def test_stored_events(records, run, tmp_path):
+    rejected = tables.table_writer(f"{tmp_path}/rejected")
+    got = run(lambda w: jobs.stored_events(records(), w, rejected))
+    beside = got.sparkSession.read.parquet(f"{tmp_path}/rejected")
+    assert got.count() == len(EVENTS)
+    assert rows(beside, "id", "value", "reason") == [("t-0-14", "{broken", "no single object")]
+
+
 def test_room_detail_and_snapshot(spark, records, regions, run, tmp_path):
     detail = tables.table_writer(f"{tmp_path}/detail", partition_by=("date", "hour"))
     table = run(

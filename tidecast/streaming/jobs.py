@@ -33,9 +33,13 @@ from ..schemas import (
 from ..sinks import tables
 from ..sinks.tables import BatchWriter
 from ..sources.dimension import with_fresh_dimension
-from ..sources.json_records import parse_cdc, parse_events
+from ..sources.json_records import checked_events, parse_cdc, parse_events, rejecting_writer
 from ..sources.records import parse_delimited, record_values, with_record_id
-from . import processors
+from . import as_of, carried, processors
+from .first_seen import flagged_batch, marked
+
+#: A device's enters and leaves of a room are told apart.
+ENTERS = ("anchor_id", "entered")
 
 
 def _events(records: DataFrame) -> DataFrame:
@@ -88,23 +92,46 @@ def user_counts_by_province(
 def new_users(records: DataFrame, write: BatchWriter) -> DataStreamWriter:
     """Launches with a first-seen mark per device type."""
     launches = filters.app_launches(_events(records))
-    return _each(processors.flag_first_seen_stream(launches), write)
+    return _each(
+        marked(launches), lambda batch, n: write(flagged_batch(batch), n)
+    )
 
 
-def new_users_by_channel(records: DataFrame, write: BatchWriter) -> DataStreamWriter:
-    """Launches with a first-seen mark and the channel's count of new users."""
+def new_users_by_channel(
+    records: DataFrame, write: BatchWriter, state: str | None = None
+) -> DataStreamWriter:
+    """Launches with a first-seen mark and the channel's count of new users.
+
+    With a folder for ``state``, counts are carried there from batch to batch and a
+    channel's launches are spread over tasks; without one each channel is a Python state.
+    """
     launches = filters.app_launches(_events(records))
-    return _each(processors.count_first_seen_stream(launches), write)
+    if state is None:
+        return _each(processors.count_first_seen_stream(launches), write)
+    return _each(marked(launches, scope=()), carried.first_seen_count_batches(state, write))
 
 
 def room_audience(
     records: DataFrame,
     write: BatchWriter,
     ttl_hours: float | None = processors.STATE_TTL_HOURS,
+    evict_delay: str | int | None = None,
+    state: str | None = None,
 ) -> DataStreamWriter:
-    """Running visitors, visits and people online per room."""
-    counted = processors.audience_stream(_visits(records), ttl_hours=ttl_hours)
-    return _each(counted, write)
+    """Running visitors, visits and people online per room.
+
+    With a lifetime, ``evict_delay`` deletes spent state. Without one, a folder for
+    ``state`` lets totals be carried there, and a crowded room is spread over tasks.
+    """
+    if state is None:
+        counted = processors.audience_stream(
+            _visits(records), ttl_hours=ttl_hours, evict_delay=evict_delay
+        )
+        return _each(counted, write)
+    if ttl_hours is not None:
+        raise ValueError("carried totals have no lifetime")
+    visits = _visits(records).select("anchor_id", "deviceId", "timestamp", "id", "entered")
+    return _each(marked(visits, "deviceId", ENTERS), carried.audience_batches(state, write))
 
 
 def room_detail_and_snapshot(
@@ -121,14 +148,12 @@ def room_detail_and_snapshot(
     :func:`audience.snapshot_from_increments`.
     """
     placed = enrich_location(_visits(records), regions)
-    flagged = processors.flag_first_seen_stream(
-        audience.visit_detail(placed, tz), "deviceId", ("anchor_id", "entered")
-    )
+    rows = marked(audience.visit_detail(placed, tz), "deviceId", ENTERS)
     both = tables.multi_writer(
         (tables.anchor_detail_rows, write_detail),
         (lambda b: audience.snapshot_increments(b, every), write_increments),
     )
-    return _each(flagged, both)
+    return _each(rows, lambda batch, n: both(flagged_batch(batch, "deviceId", ENTERS), n))
 
 
 def room_popularity(
@@ -156,6 +181,28 @@ def reward_points(
     )
 
 
+def reward_points_as_of(
+    records: DataFrame, changes: DataFrame, state: str, write: BatchWriter
+) -> DataStreamWriter:
+    """Rewards with the gift version of their time.
+
+    ``changes`` is a stream of gift versions, such as the polled table source gives, with
+    the time of the change in ms. Versions are carried below ``state``.
+    """
+    rewards = gifts.reward_gifts(filters.rewards(_events(records)))
+    columns = ("id", "timestamp", "anchor_id", "gift_id")
+    rows = as_of.tagged(rewards.select(*columns), changes.select(*as_of.CHANGE))
+    return _each(rows, as_of.gift_points_batches(state, write, rows.schema, columns))
+
+
+def stored_events(
+    records: DataFrame, write: BatchWriter, write_rejected: BatchWriter
+) -> DataStreamWriter:
+    """Parsed events to one writer, records that are none to another, with the reason."""
+    checked = checked_events(with_record_id(records), id_column="id")
+    return _each(checked, rejecting_writer(write, write_rejected))
+
+
 def hot_products(
     records: DataFrame,
     write: BatchWriter,
