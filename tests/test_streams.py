@@ -404,3 +404,47 @@ def test_polls_read_only_changes(spark, tmp_path):
     seen = []
     polled.poll(lambda: seen.append(1) or table)
     assert rows(polled.live(), "id", "name") == want[5] and seen
+
+
+def stored(spark, checkpoint, operator, name):
+    found = spark.read.format("statestore").option("operatorId", operator)
+    return found.option("stateVarName", name).load(checkpoint).count()
+
+
+def test_visitors_share_states(spark, tmp_path):
+    """Many visitors of few visits: states, and so calls, are bounded by the shares."""
+    n, base = 3 * processors.SHARES, str(tmp_path)
+    events = [(i, "a", f"d{i % n}", 1000 + i, 1) for i in range(n + 100)]
+    df = spark.createDataFrame(events, VISIT_SCHEMA)
+    path = write_files(df, f"{base}/in", ("timestamp", "id"), 2)
+    entries = processors.popular_entries_stream(stream(spark, path, df.schema), 10, 5, delay=0)
+    finish(entries.writeStream.format("parquet").option("path", f"{base}/entries"), f"{base}/c1")
+    # The last ten enters stay within their minimum; the watermark is one behind the last.
+    waits = {r["id"] for r in spark.read.schema(entries.schema).parquet(f"{base}/entries").collect()}
+    assert waits >= set(range(n + 80)) and len(waits) < n + 100
+    assert 0 < stored(spark, f"{base}/c1", 0, "visitors") <= processors.SHARES
+    flagged = processors.flag_first_enters_stream(stream(spark, path, df.schema))
+    finish(flagged.writeStream.format("parquet").option("path", f"{base}/flagged"), f"{base}/c2")
+    got = spark.read.schema(flagged.schema).parquet(f"{base}/flagged")
+    assert rows(got, "id", "isN") == [(i, int(i < n)) for i in range(n + 100)]
+    assert 0 < stored(spark, f"{base}/c2", 0, "seen") <= processors.SHARES
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """However often the shape reads it."""
+    df = spark.createDataFrame([(i, "d") for i in range(40)], "id bigint, deviceId string")
+    path = write_files(df, f"{tmp_path}/in", ("id",), 2)
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        computed.add(1)
+        return value
+
+    counted = stream(spark, path, df.schema).withColumn("id", F.udf(seen, "bigint")("id"))
+
+    def shape(batch):
+        return batch.unionByName(batch).join(batch.groupBy("deviceId").count(), "deviceId")
+
+    table = batches_to_table(counted, "t", shape)
+    # The empty frame that gives the schema has no rows to count.
+    assert table.count() == 80 and computed.value == 40

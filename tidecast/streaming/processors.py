@@ -3,14 +3,18 @@
 The rows of a micro-batch reach a processor unordered, so each puts its key's
 rows of that batch in (timestamp, id) order first. The source's per-trigger
 limit bounds how many there are.
+
+A call and its reads and writes of state cost far more than a row. Where keys are many and
+have few rows each, such as visitors, a call serves a share of them, dealt by hash.
 """
 
 from __future__ import annotations
 
 import heapq
 import itertools
+import pickle
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark import cloudpickle
@@ -32,8 +36,25 @@ FOREVER = 2**63 - 1
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
 
+#: Visitors are dealt into so many shares, each with one state that holds its visitors'.
+SHARES = 512
+_SHARE = "_share"
+
+
+def _place(row: Row) -> tuple:
+    # Rows of several visitors may tie without a time or an id; those come first.
+    at, row_id = row["timestamp"], row["id"]
+    return at is not None, at, row_id is not None, row_id
+
+
 def _in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r["timestamp"], r["id"]))
+    return sorted(rows, key=_place)
+
+
+def _by_share(rows: DataFrame, keys: Sequence[str]):
+    """The rows grouped by their keys' share, which is column ``_share``."""
+    share = F.pmod(F.xxhash64(*keys), F.lit(SHARES)).cast("int")
+    return rows.withColumn(_SHARE, share).groupBy(_SHARE)
 
 
 def _ttl(hours: float | None) -> int | None:
@@ -68,37 +89,49 @@ class Expiring(StatefulProcessor):
 
 
 class FirstSeen(Expiring):
-    """Sets ``isN`` to 1 on a key's first row and to 0 on the others.
+    """Sets ``isN`` to 1 on a key's first row and to 0 on the others, for a share of keys.
 
     With a lifetime a key is forgotten that long after its latest row, by the rows'
-    own time: the mark holds the time up to which it counts. Without eviction no row is
-    dropped for being old, and a replay gives the same marks on any day.
+    own time: the state holds the time up to which each key counts, and the last of them.
+    Without eviction no row is dropped for being old, and a replay gives the same marks
+    on any day.
     """
 
-    def __init__(self, ttl_ms: int | None = None, evict: bool = False) -> None:
+    def __init__(self, keys: Sequence[str], ttl_ms: int | None = None, evict: bool = False) -> None:
         super().__init__(evict)
+        self.keys = keys
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "until bigint")
+        self.seen = handle.getValueState("seen", "until bigint, kept binary")
 
     def expire(self, at: int) -> None:
         if self.seen.exists() and self.seen.get()[0] <= at:
             self.seen.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = until = self.seen.get()[0] if self.seen.exists() else None
+        before, kept = None, {}
+        if self.seen.exists():
+            before, stored = self.seen.get()
+            kept = pickle.loads(stored)
         for row in _in_order(rows):
             values = row.asDict()
-            at = row["timestamp"]
+            del values[_SHARE]
+            name = tuple(values[k] for k in self.keys)
+            at, until = row["timestamp"], kept.get(name)
             new = until is None or (self.ttl_ms is not None and at >= until)
             values["isN"] = int(new)
             end = FOREVER if self.ttl_ms is None else at + self.ttl_ms
-            until = end if until is None else max(until, end)
+            kept[name] = end if until is None else max(until, end)
             yield Row(**values)
-        self.move_timer(before, until)
-        self.seen.update((until,))
+        last = max(kept.values())
+        if self.evict:
+            # Spent keys go with the next rows of their share, the last one by the timer.
+            now = timerValues.getCurrentWatermarkInMs()
+            kept = {name: until for name, until in kept.items() if until > now}
+        self.move_timer(before, last)
+        self.seen.update((last, pickle.dumps(kept)))
 
 
 class CountNew(StatefulProcessor):
@@ -147,12 +180,13 @@ class Audience(Expiring):
         state = self.counts.get() if self.counts.exists() else (0, 0, 0, None)
         uv, pv, online, until = state
         before = until
-        for row in _in_order(rows):
-            at = row["timestamp"]
+        # A crowded room has many rows, of which these are the least.
+        visits = ((r["timestamp"], r["id"], r["entered"], r["isN"]) for r in rows)
+        for at, row_id, entered, new in sorted(visits, key=lambda v: v[:2]):
             if until is not None and at >= until:
                 uv = pv = online = 0
-            if row["entered"]:
-                uv += row["isN"]
+            if entered:
+                uv += new
                 pv += 1
                 online += 1
             else:
@@ -162,7 +196,7 @@ class Audience(Expiring):
             end = FOREVER if self.ttl_ms is None else at + self.ttl_ms
             until = end if until is None else max(until, end)
             yield Row(
-                id=row["id"], timestamp=at, anchor_id=key[0],
+                id=row_id, timestamp=at, anchor_id=key[0],
                 uv=uv, pv=pv, online=online,
             )
         self.move_timer(before, until)
@@ -194,63 +228,75 @@ class AudienceTimer(Audience):
 
 
 class Popularity(StatefulProcessor):
-    """Emits a visitor's enters that count, each once it is certain.
+    """Emits the enters that count of a share of visitors, each once it is certain.
 
-    An enter waits with a timer at the end of its minimum stay. A leave before
-    that cancels it; a later leave or the timer confirms it.
+    An enter waits until the end of its minimum stay. A leave before that cancels it; a
+    later leave or the share's timer, which stands at the first such end, confirms it.
     """
 
-    def __init__(
-        self, min_stay_ms: int, revisit_gap_ms: int, id_type: str = "bigint"
-    ) -> None:
-        self.id_type = id_type
+    def __init__(self, min_stay_ms: int, revisit_gap_ms: int) -> None:
         self.min_stay_ms = min_stay_ms
         self.revisit_gap_ms = revisit_gap_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # The last leave and the waiting enters' times and ids.
-        self.state = handle.getValueState(
-            "visitor", f"left bigint, ats array<bigint>, ids array<{self.id_type}>"
-        )
-
-    def _load(self) -> tuple[int | None, list[tuple[int, Any]]]:
-        state = self.state.get() if self.state.exists() else None
-        if state is None:
-            return None, []
-        return state[0], list(zip(state[1], state[2]))
-
-    def _save(self, left: int | None, waiting: list[tuple[int, Any]]) -> None:
-        self.state.update((left, [w[0] for w in waiting], [w[1] for w in waiting]))
-
-    def _counted(self, key: Any, enters: list[tuple[int, Any]]) -> Iterator[Row]:
+        # The timer, and each visitor's last leave and waiting enters' times and ids.
+        self.state = handle.getValueState("visitors", "due bigint, kept binary")
+
+    def _load(self) -> tuple[int | None, dict[tuple, tuple[int | None, list[tuple[int, Any]]]]]:
+        if not self.state.exists():
+            return None, {}
+        due, stored = self.state.get()
+        return due, pickle.loads(stored)
+
+    def _save(self, before: int | None, kept: dict, now: int) -> None:
+        # After the gap a leave decides nothing about rows that the watermark lets pass.
+        kept = {
+            name: (left, waiting) for name, (left, waiting) in kept.items()
+            if waiting or (left is not None and left + self.revisit_gap_ms >= now)
+        }
+        enters = (w[0] for _, waiting in kept.values() for w in waiting)
+        first = min(enters, default=None)
+        due = None if first is None else first + self.min_stay_ms
+        if due != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if kept:
+            self.state.update((due, pickle.dumps(kept)))
+        else:
+            self.state.clear()
+
+    def _counted(self, name: tuple, enters: list[tuple[int, Any]]) -> Iterator[Row]:
         for at, row_id in enters:
-            yield Row(anchor_id=key[0], deviceId=key[1], timestamp=at, id=row_id)
+            yield Row(anchor_id=name[0], deviceId=name[1], timestamp=at, id=row_id)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        left, before = self._load()
-        waiting, counted = list(before), []
+        due, kept = self._load()
         for row in _in_order(rows):
-            at = row["timestamp"]
+            name, at = (row["anchor_id"], row["deviceId"]), row["timestamp"]
+            left, waiting = kept.get(name, (None, []))
             if row["entered"]:
                 if left is None or at - left > self.revisit_gap_ms:
                     waiting.append((at, row["id"]))
+                    kept[name] = left, waiting
                 continue
-            counted += [w for w in waiting if at - w[0] >= self.min_stay_ms]
-            waiting = []
-            left = at if left is None else max(left, at)
-        for at in {w[0] for w in before} - {w[0] for w in waiting}:
-            self.handle.deleteTimer(at + self.min_stay_ms)
-        for at in {w[0] for w in waiting} - {w[0] for w in before}:
-            self.handle.registerTimer(at + self.min_stay_ms)
-        self._save(left, waiting)
-        yield from self._counted(key, counted)
+            kept[name] = at if left is None else max(left, at), []
+            yield from self._counted(name, [w for w in waiting if at - w[0] >= self.min_stay_ms])
+        self._save(due, kept, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due = expiredTimerInfo.getExpiryTimeInMs() - self.min_stay_ms
-        left, waiting = self._load()
-        self._save(left, [w for w in waiting if w[0] > due])
-        yield from self._counted(key, [w for w in waiting if w[0] <= due])
+        # Of all ends the watermark has passed only the first has a timer.
+        now, fired = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        last = max(fired, now - 1) - self.min_stay_ms
+        _, kept = self._load()
+        for name, (left, waiting) in kept.items():
+            due = [w for w in waiting if w[0] <= last]
+            if due:
+                kept[name] = left, [w for w in waiting if w[0] > last]
+                yield from self._counted(name, due)
+        self._save(None, kept, now)
 
     def close(self) -> None:
         pass
@@ -328,16 +374,16 @@ def flag_first_seen_stream(
     latest row, has passed their life. Rows further behind are then dropped, and the
     event time stays as column ``_ts`` for the next keyed step.
     """
-    rows = df.drop("isN")
+    rows, keys = df.drop("isN"), (*scope, user)
     if evict_delay is None or ttl_hours is None:
-        return rows.groupBy(*scope, user).transformWithState(
-            FirstSeen(_ttl(ttl_hours)), _with_column(rows.schema, "isN"), "Append", "None"
+        return _by_share(rows, keys).transformWithState(
+            FirstSeen(keys, _ttl(ttl_hours)), _with_column(rows.schema, "isN"), "Append", "None"
         )
     timed = rows.withColumn("_ts", event_time("timestamp")).withWatermark(
         "_ts", f"{duration_ms(evict_delay)} milliseconds"
     )
-    return timed.groupBy(*scope, user).transformWithState(
-        FirstSeen(_ttl(ttl_hours), True), _with_column(timed.schema, "isN"), "Append", "EventTime",
+    return _by_share(timed, keys).transformWithState(
+        FirstSeen(keys, _ttl(ttl_hours), True), _with_column(timed.schema, "isN"), "Append", "EventTime",
         eventTimeColumnName="_ts",
     )
 
@@ -432,8 +478,8 @@ def popular_entries_stream(
         .withColumn("_ts", event_time("timestamp"))
         .withWatermark("_ts", f"{duration_ms(delay)} milliseconds")
     )
-    return rows.groupBy("anchor_id", "deviceId").transformWithState(
-        Popularity(duration_ms(min_stay), duration_ms(revisit_gap), id_type),
+    return _by_share(rows, ("anchor_id", "deviceId")).transformWithState(
+        Popularity(duration_ms(min_stay), duration_ms(revisit_gap)),
         f"anchor_id string, deviceId string, timestamp bigint, id {id_type}",
         "Append",
         "EventTime",
