@@ -198,7 +198,7 @@ def _multi(spark, folder):
         (detail, tables.table_writer(f"{path}/detail")),
         (increments, tables.table_writer(f"{path}/increments")),
     )
-    _run(rows, lambda batch, batch_id: writer(flagged(batch), batch_id), path)
+    _run(rows, tables.held(lambda batch, batch_id: writer(flagged(batch), batch_id)), path)
     empty = flagged(spark.createDataFrame([], rows.schema))
     details = tables.read_table(spark, f"{path}/detail", detail(empty).schema)
     added = tables.read_table(spark, f"{path}/increments", increments(empty).schema)

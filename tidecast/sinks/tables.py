@@ -181,6 +181,22 @@ def multi_writer(*writers: tuple[Callable[[DataFrame], DataFrame], BatchWriter])
     return write
 
 
+def held(write: BatchWriter) -> BatchWriter:
+    """``write`` for batches that it reads more than once: each is computed once.
+
+    Otherwise every read runs the stream's operators anew, state included.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return each
+
+
 def console(stream: DataFrame, rows: int | None = None):
     """A writer that prints each micro-batch, all of it unless ``rows`` is given."""
     most = 2**31 - 1 if rows is None else rows

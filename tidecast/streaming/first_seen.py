@@ -7,7 +7,6 @@ before, in the same micro-batch. :func:`flagged_batch` joins the two in ``foreac
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +35,12 @@ def flagged_batch(
     """The rows of a :func:`marked` batch with ``isN``: 1 on the first row of a new key.
 
     The last column of ``order`` identifies the row. The flag is joined on it, so a busy
-    device costs one row per task.
+    device costs one row per task. The batch is read twice; see :func:`sinks.tables.held`.
     """
     keys, row_id = [*scope, user], order[-1]
     rows = batch.where(~F.col(_MARK)).drop(_MARK, "isN")
-    new = batch.where(_MARK).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    first = first.join(new, same, "left_semi").select(f"_first.{row_id}", F.lit(1).alias("isN"))
+    first = batch.groupBy(*keys).agg(
+        F.min(F.when(~F.col(_MARK), F.struct(*order))).alias("_first"), F.max(_MARK).alias("_new")
+    )
+    first = first.where("_new").select(f"_first.{row_id}", F.lit(1).alias("isN"))
     return rows.join(first, row_id, "left").withColumn("isN", F.coalesce("isN", F.lit(0)))

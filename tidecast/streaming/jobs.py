@@ -93,7 +93,7 @@ def new_users(records: DataFrame, write: BatchWriter) -> DataStreamWriter:
     """Launches with a first-seen mark per device type."""
     launches = filters.app_launches(_events(records))
     return _each(
-        marked(launches), lambda batch, n: write(flagged_batch(batch), n)
+        marked(launches), tables.held(lambda batch, n: write(flagged_batch(batch), n))
     )
 
 
@@ -153,7 +153,9 @@ def room_detail_and_snapshot(
         (tables.anchor_detail_rows, write_detail),
         (lambda b: audience.snapshot_increments(b, every), write_increments),
     )
-    return _each(rows, lambda batch, n: both(flagged_batch(batch, "deviceId", ENTERS), n))
+    return _each(
+        rows, tables.held(lambda batch, n: both(flagged_batch(batch, "deviceId", ENTERS), n))
+    )
 
 
 def room_popularity(

@@ -64,13 +64,16 @@ def batches_to_table(
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
     output_mode: str = "append",
 ) -> DataFrame:
-    """Run a stream whose micro-batches are shaped and written one by one."""
-    from ..sinks.tables import read_table, table_writer
+    """Run a stream whose micro-batches are shaped and written one by one.
+
+    A batch is computed once, however often the shape reads it.
+    """
+    from ..sinks.tables import held, read_table, table_writer
 
     spark = stream.sparkSession
     folder = shared_folder(spark, purpose)
     writer = stream.writeStream.outputMode(output_mode).foreachBatch(
-        table_writer(f"{folder}/rows", shape)
+        held(table_writer(f"{folder}/rows", shape))
     )
     finish(writer, f"{folder}/checkpoint")
     schema = shape(spark.createDataFrame([], stream.schema)).schema
