@@ -26,9 +26,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each SimHash group, then of near copies out of its reach.
+
+    Fingerprints at most 2 bits apart are linked. Of what is left, texts whose shingle sets
+    are alike are near copies too, most of which differ in more bits.
+    """
     prepare(spark)
-    return simhash.drop_near_copies(docs)
+    return simhash.drop_near_copies(simhash.drop_simhash_copies(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

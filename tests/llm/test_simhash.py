@@ -239,3 +239,26 @@ def test_sets_of_the_similarity_share_a_first_shingle():
         y = np.sort(np.concatenate([union[:both], union[mine:]]))
         common = simhash.placed(rng.permutation(union)[: int(rng.integers(0, n + 1))])
         assert np.intersect1d(*(simhash.first_shingles(z, common, 0.8) for z in (x, y))).size
+
+
+def test_the_pipeline_drops_by_fingerprints(spark):
+    """Texts of one fingerprint whose shingle sets have little in common; ids that repeat."""
+    import corpus_pipeline
+
+    def text(seed):
+        return "red green blue " * 300 + " ".join(f"w{seed}x{i}" for i in range(40))
+
+    marks = {seed: simhash.shingle_fingerprint(text(seed), 3) for seed in range(3)}
+    assert all((marks[a] ^ marks[b]).bit_count() <= 2 for a in marks for b in marks)
+    docs = [(10, text(0)), (11, text(1)), (12, "one other text of its own"), (12, text(2))]
+    docs += [(None, text(0)), (13, "again " + text(0).upper())]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    few = df.where("doc_id IN (10, 11)")
+    assert simhash.drop_near_copies(few).count() == 2
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert [r["doc_id"] for r in stage(spark, few, "").collect()] == [10]
+    # Of the rows of a repeated id the least fingerprint stands for the document.
+    own = simhash.shingle_fingerprint(docs[2][1], 3)
+    want = [None, 10] + ([12, 12] if own < marks[2] else [])
+    left = [r["doc_id"] for r in simhash.drop_simhash_copies(df).collect()]
+    assert sorted(left, key=lambda x: x or 0) == want

@@ -201,7 +201,11 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
     and are linked like others. A row with a null doc_id gets the component of its
     fingerprint, null if no row of it has an id; repeated rows repeat.
     """
-    marks = written(fingerprints(docs, k), "fingerprints")
+    return _grouped(written(fingerprints(docs, k), "fingerprints"))
+
+
+def _grouped(marks: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id of rows (doc_id, fp); see :func:`simhash_groups`."""
     nodes = written(
         marks.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("id", F.col("fp")),
         "nodes",
@@ -225,6 +229,20 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
+def drop_simhash_copies(docs: DataFrame, k: int = 3) -> DataFrame:
+    """``docs`` without those that have a smaller id in their group of fingerprints.
+
+    Rows with a null doc_id stay. Rows that repeat a doc_id are one document, for which the
+    least of their fingerprints stands, and stay or go together.
+    """
+    rows = docs.where(F.col("doc_id").isNotNull())
+    marks = fingerprints(rows, k).groupBy("doc_id").agg(F.min("fp").alias("fp"))
+    groups = _grouped(written(marks, "fingerprints"))
+    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone"))
+    gone = _ids(written(gone, "simhash-gone"))
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
 @dataclass(frozen=True)
 class Settings:
     """Near copies: Jaccard of ``k``-word shingles of ``similarity`` or more."""
