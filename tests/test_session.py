@@ -47,3 +47,9 @@ class _Cluster:
 def test_cluster_without_the_setting_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(_Cluster, "a")
+
+
+def test_state_stores_share_bounded_memory(spark):
+    store = "spark.sql.streaming.stateStore.rocksdb."
+    assert spark.conf.get(store + "boundedMemoryUsage") == "true"
+    assert spark.conf.get(store + "trackTotalNumberOfRows") == "false"
