@@ -16,6 +16,7 @@ from ..streaming.first_seen import flagged_batch, marked
 from ..streaming.late import late_splitter, with_on_time_keys
 from ..streaming.orders import order_filler, order_stream
 from ..streaming.runs import append_to_table, batches_to_table, finish, run_batches, stream_files
+from ..streaming.window_joins import arrived, window_joined
 from . import inputs
 from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
 from .orders import DELAY, DELAY_MS, order_table
@@ -498,21 +499,30 @@ GROUP_CLOSED_SQL = f"""WITH {inputs.GROUPS_SQL},
 
 @query("stream_group_buy_join", GROUP_CLOSED_SQL)
 def _group_buy(spark, folder):
+    """Open windows are carried from batch to batch and joined as tables."""
     lineitem = inputs.table(spark, folder, "lineitem")
     opened = shared_folder(spark, "group-mains")
     inputs.group_mains(lineitem).write.parquet(opened)
     mains = spark.read.parquet(opened)
-    joined = orders.group_buy(
-        inputs.group_details(inputs.table_stream(spark, folder, "lineitem")),
-        inputs.group_orders(inputs.table_stream(spark, folder, "orders")),
-        spark.readStream.schema(mains.schema).parquet(opened),
+    joined = window_joined(
+        {
+            "details": inputs.group_details(inputs.table_stream(spark, folder, "lineitem")),
+            "orders": inputs.group_orders(inputs.table_stream(spark, folder, "orders")),
+            "groups": spark.readStream.schema(mains.schema).parquet(opened),
+        },
+        {"details": "ts", "orders": "ts", "groups": "ts"},
+        "stream-groups",
+        lambda d, o, g: orders.group_buy(
+            d, o, g, size=inputs.ORDER_WINDOW, along=(arrived("orders"), arrived("groups"))
+        ),
         size=inputs.ORDER_WINDOW,
+        delay="0 seconds",
     )
     columns = (
         "ts user_id group_id order_id windowStart order_ts order_amount"
         " group_ts group_category"
     )
-    return append_to_table(joined.select(*columns.split()), "stream-groups")
+    return joined.select(*columns.split())
 
 
 # Events arrive in four portions, some after the portion they belong to.

@@ -170,12 +170,14 @@ def group_buy(
     groups: DataFrame,
     size: str | int = "5 seconds",
     delay: str | int = "0 seconds",
+    along: Sequence[str] = (),
 ) -> DataFrame:
     """Group-purchase details with their order and then their group, window by window.
 
     Columns: details ``ts, user_id, group_id, order_id``; orders ``ts, order_id,
     status, amount``; groups ``ts, group_id, status, category``. A detail without
-    an order or a group keeps nulls on that side.
+    an order or a group keeps nulls on that side. Further columns of orders and groups
+    come along if named.
     """
     o = _in_window(
         orders.select(
@@ -183,6 +185,7 @@ def group_buy(
             "order_id",
             F.col("status").alias("order_status"),
             F.col("amount").alias("order_amount"),
+            *[c for c in along if c in orders.columns],
         ),
         "order_ts", size, delay,
     )
@@ -192,6 +195,7 @@ def group_buy(
             "group_id",
             F.col("status").alias("group_status"),
             F.col("category").alias("group_category"),
+            *[c for c in along if c in groups.columns],
         ),
         "group_ts", size, delay,
     )
