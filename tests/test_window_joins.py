@@ -119,7 +119,10 @@ def test_group_buy_carries_three_sides(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("name,purpose", [("stream_group_buy_join", "stream-groups")])
+@pytest.mark.parametrize(
+    "name,purpose",
+    [("stream_group_buy_join", "stream-groups"), ("stream_order_detail_left_join", "stream-orders")],
+)
 def test_query_keeps_no_row_in_a_state_store(spark, data, name, purpose):
     queries()[name](spark, data).count()
     folder = shared_folder(spark, purpose).rsplit("/", 1)[0]

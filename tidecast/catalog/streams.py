@@ -355,15 +355,25 @@ JOIN_CLOSED_SQL = f"""WITH {inputs.ORDERS_SQL},
 
 @query("stream_order_detail_left_join", JOIN_CLOSED_SQL)
 def _order_join(spark, folder):
-    joined = orders.windowed_left_join(
-        inputs.order_detail(inputs.table_stream(spark, folder, "lineitem")),
-        inputs.order_main(inputs.table_stream(spark, folder, "orders")),
-        "order_id", "oid", size=inputs.ORDER_WINDOW, right_ts="main_update_ms",
+    """Open windows are carried from batch to batch and joined as tables."""
+    lines = inputs.order_detail(inputs.table_stream(spark, folder, "lineitem"))
+    mains = inputs.order_main(inputs.table_stream(spark, folder, "orders"))
+    joined = window_joined(
+        {
+            "details": lines.select("order_id", "line", "sku", "money", "update_ms"),
+            "mains": mains.select("oid", "total_money", "main_update_ms"),
+        },
+        {"details": "update_ms", "mains": "main_update_ms"},
+        "stream-orders",
+        lambda d, m: orders.windowed_left_join(
+            d, m, "order_id", "oid", size=inputs.ORDER_WINDOW, right_ts="main_update_ms"
+        ),
+        size=inputs.ORDER_WINDOW,
     )
     columns = (
         "order_id line sku money update_ms windowStart oid total_money main_update_ms"
     )
-    return append_to_table(joined.select(*columns.split()), "stream-orders")
+    return joined.select(*columns.split())
 
 
 # Rows of both sides come in four portions of the time in which details arrive. Spark takes
