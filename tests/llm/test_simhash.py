@@ -207,6 +207,31 @@ def test_crowded_buckets_compare_all_that_no_link_joins(spark):
     assert len(simhash.led(crowded, (), every).collect()) == 299
 
 
+def test_ids_that_share_many_crowded_keys_meet_once(spark):
+    """In the first key they share; an id with keys of several sets meets in every one."""
+    ids, keys = range(20), range(30)
+    of = {i: [k for k in keys if (i * 7 + k) % 5 or k > 25] for i in ids}
+    rows = [(k, i, 20, p) for i in ids for p, k in enumerate(of[i])]
+    crowded = spark.createDataFrame(rows, "key long, id long, n long, pos long")
+    none = spark.createDataFrame([], "node long, root long")
+    every = lambda x, y: F.lit(True)
+    met = simhash.unlinked_meetings(crowded, none, ("pos",), every).select("x.id", "y.id")
+    pairs = sorted(tuple(sorted(r)) for r in met.collect())
+    assert pairs == [(i, j) for i in ids for j in ids if i < j]
+    twice = spark.createDataFrame([(3,)], "id long")
+    met = simhash.unlinked_meetings(crowded, none, ("pos",), every, twice).select("x.id", "y.id")
+    assert sum(3 in tuple(r) for r in met.collect()) == sum(len(set(of[3]) & set(of[j])) for j in ids if j != 3)
+
+
+def test_common_shingles_go_by_a_share_of_the_table(spark, monkeypatch):
+    """A passage of one text in forty is common in a table far larger than the least sample."""
+    monkeypatch.setattr(simhash, "SAMPLED", 64)
+    line = "a line that many of them hold"
+    texts = [(i, f"{i}a {i}b {i}c {i}d {i}e " + (line if i % 40 == 0 else f"{i}f")) for i in range(8000)]
+    found = simhash.common_shingles(spark.createDataFrame(texts, "doc_id long, text string"), 8000, 5)
+    assert set(simhash.shingle_set(line, 5)) <= set(found)
+
+
 def test_near_copies_with_edits_in_one_block_are_all_found(spark):
     """Appended, cut off and replaced passages around the limit: groups equal brute force."""
     from .conftest import prose

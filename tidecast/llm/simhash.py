@@ -274,14 +274,17 @@ def _described(docs: DataFrame) -> DataFrame:
     )
 
 
-#: About so many documents are looked at for common shingles, so many of these are kept.
-#: They decide in which order sets are read, that is the work, not what is found.
-SAMPLED, COMMON = 4_096, 100_000
+#: So many documents at least, and one in so many, are looked at for common shingles, so
+#: many of which are kept. A share of the table and not a number of documents, so that what
+#: counts as common, and with it a bucket, does not grow with the table. They decide in which
+#: order sets are read, that is the work, not what is found.
+SAMPLED, SAMPLED_SHARE, COMMON = 4_096, 20, 100_000
 
 
 def common_shingles(texts: DataFrame, n: int, k: int) -> np.ndarray:
     """Hashes of common shingles in ``n`` texts (doc_id, text), the rarer ones first."""
-    share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(max(1, n // SAMPLED)))
+    step = max(1, min(n // SAMPLED, SAMPLED_SHARE))
+    share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(step))
     some = _shingle_sets(texts.where(share == 0), k).select(F.explode("set").alias("h"))
     counts = some.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 3)
     found = [r["h"] for r in counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()]
@@ -435,15 +438,33 @@ def led(crowded: DataFrame, fields: tuple[str, ...], near: Near) -> DataFrame:
 
 #: Rows of a crowded bucket are dealt into parts of about so many.
 BUCKET_PART = 128
+#: A row knows so many of its id's crowded keys, the first ones.
+KNOWN_KEYS = 32
 
 
 def unlinked_pairs(
-    crowded: DataFrame, roots: DataFrame, fields: tuple[str, ...], near: Near
+    crowded: DataFrame, roots: DataFrame, fields: tuple[str, ...], near: Near,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs (a, b) near in crowded buckets (key, id, n) that components do not join yet.
+    """Pairs (a, b) near in crowded buckets (key, id, n) that components do not join yet."""
+    met = unlinked_meetings(crowded, roots, fields, near, repeated)
+    return met.select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
+    ).distinct()
+
+
+def unlinked_meetings(
+    crowded: DataFrame, roots: DataFrame, fields: tuple[str, ...], near: Near,
+    repeated: DataFrame | None = None,
+) -> DataFrame:
+    """Rows (x, y) of :func:`unlinked_pairs`, in which a pair is seldom repeated.
 
     A bucket is dealt into parts; each two parts meet by themselves, so a large bucket
-    is spread over tasks.
+    is spread over tasks. Edited copies share most of their keys: two ids meet in the
+    first bucket they share, and not in others if that is one of the first
+    ``KNOWN_KEYS`` of both. First goes by ``pos`` if there is one, whose order is the
+    same in all sets, as ``near`` holds for the first shared key only. The ids of
+    ``repeated`` have keys of several sets, and meet in every bucket.
     """
     rooted = crowded.join(roots, crowded["id"] == roots["node"], "left").select(
         *crowded.columns, F.coalesce("root", "id").alias("root")
@@ -453,24 +474,30 @@ def unlinked_pairs(
     mixed_keys = mixed_keys.where(F.col("r") != F.col("s")).select("key")
     parts = F.ceil(F.col("n") / BUCKET_PART)
     rooted = rooted.join(mixed_keys, "key").withColumns(
-        {"parts": parts, "part": F.pmod(F.xxhash64("id"), parts)}
+        {
+            "parts": parts, "part": F.pmod(F.xxhash64("id"), parts),
+            "at": F.col("pos" if "pos" in fields else "key"),
+        }
     )
+    keys = F.slice(F.sort_array(F.collect_list(F.struct("at", "key"))), 1, KNOWN_KEYS)
+    alone = rooted if repeated is None else rooted.join(repeated, "id", "left_anti")
+    rooted = rooted.join(alone.groupBy("id").agg(keys.alias("keys")), "id", "left")
+    before = F.transform(F.filter("keys", lambda k: k["at"] < F.col("at")), lambda k: k["key"])
+    rooted = rooted.withColumn("before", F.coalesce(before, F.array().cast("array<bigint>")))
     low = rooted.select(
         "key", F.col("part").alias("low"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("high"),
-        F.struct("id", "root", *fields).alias("x"),
+        F.struct("id", "root", "before", *fields).alias("x"),
     )
     high = rooted.select(
         "key", F.explode(F.sequence(F.lit(0).cast("long"), "part")).alias("low"), F.col("part").alias("high"),
-        F.struct("id", "root", *fields).alias("y"),
+        F.struct("id", "root", "before", *fields).alias("y"),
     )
-    met = low.join(high, ["key", "low", "high"]).where(
+    return low.join(high, ["key", "low", "high"]).where(
         (F.col("x.root") != F.col("y.root"))
         & ((F.col("low") < F.col("high")) | (F.col("x.id") < F.col("y.id")))
         & near(F.col("x"), F.col("y"))
+        & ~F.arrays_overlap("x.before", "y.before")
     )
-    return met.select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-    ).distinct()
 
 
 def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -498,7 +525,9 @@ def near_copy_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     pairs = small_pairs(buckets, *by).unionByName(led(crowded, *by)).where(F.col("a") != F.col("b"))
     pairs = written(pairs.distinct(), "near-pairs")
     links = written(_alike(rows, pairs, settings), "near-links")
-    pairs = written(unlinked_pairs(crowded, components(links), *by), "near-pairs")
+    texts_of = marks.groupBy("doc_id").agg(F.countDistinct("same", "other").alias("texts"))
+    repeated = written(texts_of.where(F.col("texts") > 1).select(F.col("doc_id").alias("id")), "near-repeated")
+    pairs = written(unlinked_pairs(crowded, components(links), *by, repeated), "near-pairs")
     if not pairs.isEmpty():
         links = links.unionByName(_alike(rows, pairs, settings))
     roots = components(links)
