@@ -16,7 +16,7 @@ from ..streaming.first_seen import flagged_batch, marked
 from ..streaming.late import late_splitter, with_on_time_keys
 from ..streaming.orders import order_filler, order_stream
 from ..streaming.runs import append_to_table, batches_to_table, finish, run_batches, stream_files
-from ..streaming.window_joins import arrived, window_joined
+from ..streaming.window_joins import arrived, finish_windows, window_joined
 from . import inputs
 from .audience import AUDIENCE_SQL, _snapshot_sql, entries_sql
 from .orders import DELAY, DELAY_MS, order_table
@@ -404,13 +404,13 @@ STREAM_FILL_SQL = f"""WITH {inputs.ORDERS_SQL},
 
 @query("stream_order_lookup_fill", STREAM_FILL_SQL)
 def _order_fill(spark, folder):
-    """Windows, late details and the order table in one job."""
+    """Windows, late details and the order table in one job; open windows are carried."""
     path = shared_folder(spark, "stream-fill")
     details = inputs.arriving_details(inputs.table(spark, folder, "lineitem"))
     mains = inputs.order_main(inputs.table(spark, folder, "orders"))
     low, high = details.agg(F.min("arrival"), F.max("arrival")).first()
     ids = ("order_id", "line", "sku", "update_ms")
-    sides = []
+    sides = {}
     for name, rows, at in (
         ("details", details.select(*ids, "arrival"), "arrival"),
         ("mains", mains, "main_update_ms"),
@@ -419,13 +419,15 @@ def _order_fill(spark, folder):
         portion = F.least(F.lit(inputs.BATCHES - 1), F.greatest(F.lit(0), portion))
         files = inputs.write_portions(rows, portion, f"{path}/{name}")
         like = rows.drop("arrival")
-        sides.append(stream_files(spark, like, f"{path}/{name}", "*.parquet", files))
-    stream = order_stream(*sides, ids, inputs.ORDER_WINDOW, DELAY)
-    joined = [*ids, "windowStart", *mains.columns]
+        sides[name] = stream_files(spark, like, f"{path}/{name}", "*.parquet", files)
     filler = order_filler(
-        lambda: order_table(spark, folder), tables.table_writer(f"{path}/rows"), ids, ids, joined
+        f"{path}/state",
+        lambda: order_table(spark, folder),
+        tables.table_writer(f"{path}/rows"),
+        {name: side.schema for name, side in sides.items()},
+        ids, inputs.ORDER_WINDOW, DELAY,
     )
-    finish(stream.writeStream.foreachBatch(filler), f"{path}/checkpoint")
+    finish_windows(order_stream(**sides), filler, f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/rows").select(
         "order_id", "line", "sku", "update_ms", "windowStart", "oid", "total_money", "main_source"
     )

@@ -9,11 +9,13 @@ Their number depends on the batch alone, and the keys leave the state with their
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import duration_ms, event_time
+from ..operators.orders import tumbling_start
 
 _MARK, _WINDOW = "_on_time_key", "_window"
 
@@ -45,6 +47,31 @@ def mark_late_batch(batch: DataFrame, ids: Sequence[str] = ("id",), ts: str = "t
     return met.withColumn("is_late", late).drop("_on_time")
 
 
+def late_by_open_windows(
+    rows: DataFrame, earlier: DataFrame, ids: Sequence[str], ts: str, size: str | int, closed: int
+) -> DataFrame:
+    """The late rows of a batch as :func:`mark_late_batch` tells them, without a state store.
+
+    Windows that end by ``closed`` have closed before the batch; ``earlier`` are the rows of
+    earlier batches in windows still open. A key that came before, or that has a null, does
+    not come through a deduplication, so rows with such keys are late as well.
+    """
+    start = tumbling_start(ts, size)
+    timed = rows.where(F.col(ts).isNotNull())
+    closed_or_null = reduce(
+        lambda x, y: x | y, [F.col(i).isNull() for i in ids], start + duration_ms(size) <= closed
+    )
+    late, others = timed.where(closed_or_null), timed.where(~closed_or_null)
+    high = earlier.agg(F.max(start)).first()[0]
+    low = others.agg(F.min(start)).first()[0]
+    if high is None or low is None:
+        return late
+    # Only windows that have rows on both sides can hold a key twice.
+    known = earlier.where(start >= low).select(*ids, start.alias(_WINDOW))
+    again = others.where(start <= high).withColumn(_WINDOW, start)
+    return late.unionByName(again.join(known, [*ids, _WINDOW], "left_semi").drop(_WINDOW))
+
+
 def late_splitter(
     on_time: Callable[[DataFrame, int], None],
     late: Callable[[DataFrame, int], None],

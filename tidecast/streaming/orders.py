@@ -1,65 +1,54 @@
 """The order job as one stream: windows, late rows, and the order table for the rest.
 
-Details and orders meet in Spark's stream-stream join, whose watermark follows the slower
-side. Details that it drops as late come beside it, marked by :mod:`.late` under the same
-watermark, and go straight to the order table, as do details that met no order.
+Details and orders meet window by window in :mod:`.window_joins`, whose watermark follows
+the slower side. Details that are late under it, and those that met no order until their
+window closed, go to the order table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.orders import late_row_shape, lookup_fill, windowed_left_join
-from .late import mark_late_batch, with_on_time_keys
+from ..operators.orders import lookup_fill, windowed_left_join
+from ..sinks.tables import BatchWriter
+from .window_joins import tagged, window_join_batches
 
-_JOINED = "_joined"
+TIMES = {"details": "update_ms", "mains": "main_update_ms"}
 
 
-def order_stream(
-    details: DataFrame,
-    mains: DataFrame,
-    ids: Sequence[str],
-    size: str | int = "5 seconds",
-    delay: str | int = "2 seconds",
-) -> DataFrame:
-    """Joined details, and every detail with its on-time key, for :func:`order_filler`.
+def order_stream(details: DataFrame, mains: DataFrame) -> DataFrame:
+    """Details and orders as one stream, for :func:`order_filler`.
 
     Details have ``order_id`` and ``update_ms``, orders ``oid`` and ``main_update_ms``.
     """
-    joined = windowed_left_join(
-        details, mains, "order_id", "oid", size, delay, right_ts="main_update_ms"
-    )
-    arrived = with_on_time_keys(details, ids, "update_ms", size, delay)
-    return joined.withColumn(_JOINED, F.lit(True)).unionByName(
-        arrived.withColumn(_JOINED, F.lit(False)), allowMissingColumns=True
-    )
+    return tagged({"details": details, "mains": mains})
 
 
 def order_filler(
+    path: str,
     read_orders: Callable[[], DataFrame],
-    write: Callable[[DataFrame, int], None],
+    write: BatchWriter,
+    schemas: Mapping[str, T.StructType],
     ids: Sequence[str],
-    details: Sequence[str],
-    joined: Sequence[str],
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function over :func:`order_stream`; each detail comes out once.
+    size: str | int = "5 seconds",
+    delay: str | int = "2 seconds",
+) -> BatchWriter:
+    """A ``foreachBatch`` function over :func:`order_stream`, with its state below ``path``.
 
-    ``details`` and ``joined`` are the columns of a detail and of a joined row. A detail
-    that is on time comes out when it meets its order or its window closes.
+    A detail that is on time comes out when it meets its order or its window closes, a late
+    one at once. ``ids`` identify a detail; with a null in them, or if they came in an earlier
+    batch, it comes out as late as well. The order table is read anew for every batch.
     """
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            met = batch.where(_JOINED).select(*joined)
-            arrived = batch.where(~F.col(_JOINED)).select(*details, "_on_time_key")
-            late = mark_late_batch(arrived, ids, "update_ms").where("is_late").drop("is_late")
-            rows = met.unionByName(late_row_shape(late, met.schema))
-            write(lookup_fill(rows, read_orders()), batch_id)
-        finally:
-            batch.unpersist()
+    def join(details: DataFrame, mains: DataFrame) -> DataFrame:
+        return windowed_left_join(
+            details, mains, "order_id", "oid", size, delay, right_ts=TIMES["mains"]
+        )
+
+    def fill(rows: DataFrame, batch_id: int) -> None:
+        write(lookup_fill(rows, read_orders()), batch_id)
 
-    return each
+    return window_join_batches(path, fill, schemas, TIMES, join, size, delay, late_ids=ids)

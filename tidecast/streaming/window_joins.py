@@ -8,7 +8,7 @@ comes out, and in which batch, is as in the stream-stream join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import duration_ms
-from ..operators.orders import WINDOW_START, tumbling_start
+from ..operators.orders import WINDOW_START, late_row_shape, tumbling_start
 from ..session import shared_folder
 from ..sinks.tables import BatchWriter, read_table, table_writer
 from .carried import Carried
+from .late import late_by_open_windows
 from .runs import finish
 
 Join = Callable[..., DataFrame]
@@ -48,6 +49,7 @@ def window_join_batches(
     join: Join,
     size: str | int = "5 seconds",
     delay: str | int = "2 seconds",
+    late_ids: Sequence[str] | None = None,
 ) -> BatchWriter:
     """A ``foreachBatch`` function over :func:`tagged` rows that joins them window by window.
 
@@ -57,6 +59,9 @@ def window_join_batches(
     of them, others once the watermark has passed their window. The watermark is the least
     of the sides' highest times in earlier batches, less ``delay``; rows whose window the
     previous batch's watermark had passed are late and dropped, as are those without a time.
+
+    With ``late_ids``, the columns that identify a row of the first side, its late rows come
+    out in their own batch, without a window, as :func:`.late.late_by_open_windows` tells them.
     """
     width, wait, names = duration_ms(size), duration_ms(delay), list(times)
     tops = [f"top_{side}" for side in names]
@@ -77,10 +82,10 @@ def window_join_batches(
         known = [before[top] if before else None for top in tops]
         # A side without any time holds the watermark back.
         closed = max(closed_before, min(top - wait for top in known)) if None not in known else closed_before
-        rows = {}
+        arrivals, rows = {}, {}
         for side, ts in times.items():
-            new = batch.where(F.col(side).isNotNull()).select(f"{side}.*")
-            new = new.where(tumbling_start(ts, size) + width > closed_before)
+            arrivals[side] = batch.where(F.col(side).isNotNull()).select(f"{side}.*")
+            new = arrivals[side].where(tumbling_start(ts, size) + width > closed_before)
             rows[side] = new.withColumn(arrived(side), F.lit(batch_id).cast("long")).unionByName(
                 opened[side].before(spark, batch_id)
             )
@@ -90,7 +95,13 @@ def window_join_batches(
         joined = join(*rows.values()).where(
             F.when(met, F.greatest(*came) == batch_id).otherwise(past)
         )
-        write(joined.drop(*map(arrived, names)), batch_id)
+        joined = joined.drop(*map(arrived, names))
+        if late_ids is not None:
+            side, ts = names[0], times[names[0]]
+            still_open = opened[side].before(spark, batch_id)
+            late = late_by_open_windows(arrivals[side], still_open, late_ids, ts, size, closed_before)
+            joined = joined.unionByName(late_row_shape(late, joined.schema))
+        write(joined, batch_id)
         for side, ts in times.items():
             opened[side].leave(rows[side].where(tumbling_start(ts, size) + width > closed), batch_id)
         found = batch.agg(*[F.max(f"{side}.{ts}").alias(top) for top, (side, ts) in zip(tops, times.items())])
@@ -100,6 +111,22 @@ def window_join_batches(
     return each
 
 
+def finish_windows(stream: DataFrame, each: BatchWriter, checkpoint: str) -> None:
+    """Run :func:`tagged` rows through :func:`window_join_batches` to the streams' end.
+
+    A last call without rows closes what the last batch's times have closed. A batch that
+    comes later has its number, and replaces its rows.
+    """
+    done = []
+
+    def batch_done(batch: DataFrame, batch_id: int) -> None:
+        each(batch, batch_id)
+        done.append(batch_id)
+
+    finish(stream.writeStream.foreachBatch(batch_done), checkpoint)
+    each(stream.sparkSession.createDataFrame([], stream.schema), max(done, default=-1) + 1)
+
+
 def window_joined(
     sides: Mapping[str, DataFrame],
     times: Mapping[str, str],
@@ -108,11 +135,7 @@ def window_joined(
     size: str | int = "5 seconds",
     delay: str | int = "2 seconds",
 ) -> DataFrame:
-    """Run :func:`window_join_batches` over streams to their end; the table of its rows.
-
-    A last call without rows closes what the last batch's times have closed. A batch that
-    comes later has its number, and replaces its rows.
-    """
+    """Run :func:`window_join_batches` over streams to their end; the table of its rows."""
     stream = tagged(sides)
     spark = stream.sparkSession
     folder = shared_folder(spark, purpose)
@@ -120,14 +143,7 @@ def window_joined(
     each = window_join_batches(
         f"{folder}/state", table_writer(f"{folder}/rows"), schemas, times, join, size, delay
     )
-    done = []
-
-    def batch_done(batch: DataFrame, batch_id: int) -> None:
-        each(batch, batch_id)
-        done.append(batch_id)
-
-    finish(stream.writeStream.foreachBatch(batch_done), f"{folder}/checkpoint")
-    each(spark.createDataFrame([], stream.schema), max(done, default=-1) + 1)
+    finish_windows(stream, each, f"{folder}/checkpoint")
     none = [spark.createDataFrame([], _marked(schemas[side], side)) for side in times]
     schema = join(*none).drop(*map(arrived, times)).schema
     return read_table(spark, f"{folder}/rows", schema).drop("batch")
